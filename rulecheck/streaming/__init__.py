@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The engine this package reproduces is batch only (no streams, watermarks or
+state anywhere in it), so there is no streaming operator here. A rule run is a
+batch job; to run a queue per micro-batch, call ``rulecheck.run_queue`` from a
+``foreachBatch`` of the caller's own query.
+"""
