@@ -63,6 +63,8 @@ class JdbcSink:
     batchsize: int = JDBC_BATCH_SIZE
     isolation_level: str = JDBC_ISOLATION_LEVEL
     num_partitions: int = 8
+    # Extra writer options, e.g. ``createTableColumnTypes`` for a new table.
+    write_options: dict[str, str] = field(default_factory=dict)
 
     def _options(self) -> dict[str, str]:
         return {"url": self.url, "dbtable": self.table, **self.properties}
@@ -71,6 +73,7 @@ class JdbcSink:
         (
             df.write.format("jdbc")
             .options(**self._options())
+            .options(**self.write_options)
             .option("batchsize", str(self.batchsize))
             .option("isolationLevel", self.isolation_level)
             .option("numPartitions", str(self.num_partitions))

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType
 
 from rulecheck.functions.render import render_placeholders, unresolved_placeholders
 from rulecheck.schema import ACTIVE_FLAG, CATALOG_COLUMNS, OPTIONAL_CATALOG_COLUMNS
@@ -63,18 +64,32 @@ def project_catalog(df: DataFrame) -> DataFrame:
     if missing:
         raise ValueError(f"Rule catalog is missing columns: {missing}. Got: {df.columns}")
 
+    types = {f.name: f.dataType for f in df.schema.fields}
+
     def pick(name: str):
         return F.col(f"`{present[name]}`") if name in present else F.lit(None).cast("string")
 
+    def as_text(name: str):
+        # No cast on columns that already are text: a cast (also from a JDBC
+        # VARCHAR(n)) would keep the equality filters out of the source query.
+        if name in present and isinstance(types[present[name]], StringType):
+            return pick(name)
+        return pick(name).cast("string")
+
+    def as_long(name: str):
+        if name in present and isinstance(types[present[name]], LongType):
+            return pick(name)
+        return pick(name).try_cast("bigint")
+
     return df.select(
-        pick("DQ_ID").try_cast("bigint").alias("DQ_ID"),
-        F.coalesce(pick("DQ_CHK_ID").cast("string"), F.lit("None")).alias("DQ_CHK_ID"),
-        pick("DQ_QUEUE_ID").try_cast("bigint").alias("DQ_QUEUE_ID"),
-        pick("DQ_LRI").cast("string").alias("DQ_LRI"),
-        pick("DQ_DMN").cast("string").alias("DQ_DMN"),
-        pick("DQ_SCHEMA").cast("string").alias("DQ_SCHEMA"),
-        pick("DQ_SOR").cast("string").alias("DQ_SOR"),
-        pick("DQ_SQL").cast("string").alias("DQ_SQL"),
+        as_long("DQ_ID").alias("DQ_ID"),
+        F.coalesce(as_text("DQ_CHK_ID"), F.lit("None")).alias("DQ_CHK_ID"),
+        as_long("DQ_QUEUE_ID").alias("DQ_QUEUE_ID"),
+        as_text("DQ_LRI").alias("DQ_LRI"),
+        as_text("DQ_DMN").alias("DQ_DMN"),
+        as_text("DQ_SCHEMA").alias("DQ_SCHEMA"),
+        as_text("DQ_SOR").alias("DQ_SOR"),
+        as_text("DQ_SQL").alias("DQ_SQL"),
     )
 
 
