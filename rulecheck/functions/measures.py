@@ -68,6 +68,22 @@ def sor_label(c: Column, dtype: DataType) -> Column:
     return F.when(c.isNull(), na).otherwise(c.cast("string"))
 
 
+def percent_overflow_guard(fail: Column, total: Column, name: str) -> Column:
+    """``fail`` unchanged, or an error when ``fail / total * 100`` rounded
+    half-to-even at two decimals would not fit DECIMAL(5,2).
+
+    The rounded value exceeds 999.99 exactly when |fail| * 10000 / total >= 99999.5
+    (at 99999.5 the tie goes to the even 100000), i.e. when
+    20000 * |fail| >= 199999 * total. Checked in the rule's own job, so an
+    overflow fails that rule only; the percentage itself is computed later,
+    once for all rules of a run (:func:`exact_percents`).
+    """
+    big = F.abs(fail.cast("decimal(20,0)")) * F.lit(20000).cast("decimal(5,0)")
+    limit = total.cast("decimal(20,0)") * F.lit(199999).cast("decimal(6,0)")
+    message = F.concat(F.lit(f"{name} does not fit DECIMAL(5,2): "), fail.cast("string"), F.lit(" of "), total.cast("string"))
+    return F.when((total > 0) & (big >= limit), F.raise_error(message)).otherwise(fail)
+
+
 def exact_percents(df: DataFrame, specs: list[tuple[str, str, str]]) -> DataFrame:
     """Adds, for each ``(fail, total, out)``, ``out`` = ``fail / total * 100``
     rounded half-to-even at two decimals, exactly, as DECIMAL(5,2); 0.00 when

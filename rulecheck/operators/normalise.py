@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rulecheck.functions.measures import exact_percents, measure_to_long, sor_label
+from rulecheck.functions.measures import exact_percents, measure_to_long, percent_overflow_guard, sor_label
 from rulecheck.schema import STAGED_SCHEMA, SUMMARY_COLUMNS
 
 
@@ -29,12 +29,14 @@ def summary_positions(df: DataFrame) -> dict[str, int]:
 
 
 def normalise_summary(df: DataFrame) -> DataFrame:
-    """The seven measured result columns of each summary row.
+    """The five measured columns of each summary row: label and four longs.
 
     Columns are picked by position, so duplicate or oddly cased names cannot be
     ambiguous. Measures become longs (truncated toward zero, see
-    :func:`measure_to_long`); percentages use the truncated values. Extra
-    summary columns are pruned away by the optimizer.
+    :func:`measure_to_long`). Fail measures whose percentage would not fit
+    DECIMAL(5,2) raise here, inside the rule's job. Extra summary columns are
+    pruned away by the optimizer. Percentages are added by
+    :func:`with_percentages`, once per run over all rules' rows.
     """
     positions = summary_positions(df)
     fields = df.schema.fields
@@ -54,8 +56,21 @@ def normalise_summary(df: DataFrame) -> DataFrame:
         sor_label(src("SOR"), dtype("SOR")).alias("SOR"),
         *[col.alias(name) for name, col in longs.items()],
     )
+    return measured.select(
+        "SOR",
+        "TOTAL_COUNT",
+        "TOTAL_DOLLAR_AMOUNT",
+        percent_overflow_guard(F.col("FAIL_COUNT"), F.col("TOTAL_COUNT"), "FAIL_COUNT_PERCENTAGE").alias("FAIL_COUNT"),
+        percent_overflow_guard(
+            F.col("FAIL_DOLLAR_AMOUNT"), F.col("TOTAL_DOLLAR_AMOUNT"), "FAIL_DOLLAR_PERCENTAGE"
+        ).alias("FAIL_DOLLAR_AMOUNT"),
+    )
+
+
+def with_percentages(df: DataFrame) -> DataFrame:
+    """Adds both exact half-even percentages (DECIMAL(5,2)) to normalised rows."""
     return exact_percents(
-        measured,
+        df,
         [
             ("FAIL_COUNT", "TOTAL_COUNT", "FAIL_COUNT_PERCENTAGE"),
             ("FAIL_DOLLAR_AMOUNT", "TOTAL_DOLLAR_AMOUNT", "FAIL_DOLLAR_PERCENTAGE"),

@@ -4,8 +4,9 @@ result frame -> one append.
 Only the rule list (metadata) is collected. Each rule's summary rows are
 staged by its own job (see :mod:`rulecheck.operators.execute`); the run's
 result frame is then one scan over the staged folders of the successful rules,
-stamped with per-rule keys and times by a join against the outcome table (one
-row per rule, broadcast behind a size check), plus one row per failed rule.
+with the exact percentages computed in one projection for all of them, stamped
+with per-rule keys and times by a join against the outcome table (one row per
+rule, broadcast behind a size check), plus one row per failed rule.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from rulecheck.operators.execute import RuleOutcome, RunContext, execute_rule, failure_values
+from rulecheck.operators.normalise import with_percentages
 from rulecheck.schema import (
     OUTCOME_SCHEMA,
     RESULT_COLUMNS,
@@ -118,7 +120,7 @@ def staged_results(spark: SparkSession, outcomes: list[RuleOutcome], ctx: RunCon
     if not ok:
         return None
     schema = StructType(STAGED_SCHEMA.fields + [StructField("RULE_SEQ", IntegerType(), False)])
-    staged = (
+    staged = with_percentages(
         spark.read.schema(schema).option("basePath", ctx.staging_dir).parquet(*[o.stage_path for o in ok])
     )
     meta = outcome_frame(spark, ok).drop("ERROR_MESSAGE", "EXECUTION_STATUS", "RESULT_ROWS")

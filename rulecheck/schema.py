@@ -73,11 +73,9 @@ PERCENT_TYPE = DecimalType(5, 2)
 # Largest value of DECIMAL(5,2), in hundredths.
 PERCENT_LIMIT_HUNDREDTHS = 99999
 
-# What a rule's summary is staged as (the measured part of a result row).
-STAGED_SCHEMA = StructType(
-    [RESULT_SCHEMA[name] for name in ("SOR",) + MEASURE_COLUMNS]
-    + [RESULT_SCHEMA["FAIL_COUNT_PERCENTAGE"], RESULT_SCHEMA["FAIL_DOLLAR_PERCENTAGE"]]
-)
+# What a rule's summary is staged as: label and the four integer measures
+# (percentages are derived from these when a run's rows are assembled).
+STAGED_SCHEMA = StructType([RESULT_SCHEMA[name] for name in ("SOR",) + MEASURE_COLUMNS])
 
 # Per-rule outcome kept for a run: one row per executed rule.
 OUTCOME_SCHEMA = StructType(

@@ -115,3 +115,20 @@ def test_percent_out_of_range_raises(spark):
     df = spark.createDataFrame([(1000, 1)], "fail bigint, total bigint")
     with pytest.raises(PySparkException, match="does not fit"):
         exact_percent(df, "fail", "total", "pct").collect()
+
+
+def test_overflow_guard_matches_rounding(spark):
+    from rulecheck.functions.measures import percent_overflow_guard
+
+    # around the 999.99 limit: 999.99 fits, 999.995 (tie -> 1000.00) and above do not
+    rows = [(99999, 10000), (199999, 20000), (199998, 20000), (-199999, 20000), (10, 0), (1000, 1)]
+    df = spark.createDataFrame(rows, "fail bigint, total bigint")
+    for fail, total in rows:
+        one = df.where((F.col("fail") == fail) & (F.col("total") == total))
+        guarded = one.select(percent_overflow_guard(F.col("fail"), F.col("total"), "P").alias("g"))
+        fits = total <= 0 or half_even_percent(abs(fail), total) <= Decimal("999.99")
+        if fits:
+            assert guarded.first().g == fail
+        else:
+            with pytest.raises(PySparkException, match="does not fit"):
+                guarded.collect()

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rulecheck import RunConfig, run_queue
 from rulecheck.operators.execute import RunContext, execute_rule
-from rulecheck.operators.normalise import SummaryContractError, normalise_summary, summary_positions
+from rulecheck.operators.normalise import SummaryContractError, normalise_summary, summary_positions, with_percentages
 from rulecheck.plans.run import assemble_results
 from rulecheck.schema import RESULT_SCHEMA
 from rulecheck.session import new_staging_dir
@@ -45,7 +45,7 @@ def test_contract_missing_sorted_and_first_wins(spark):
         "SELECT 'a' AS sor, 7 AS total_count, 9 AS TOTAL_COUNT, 0 AS total_dollar_amount, "
         "1 AS fail_count, 0 AS fail_dollar_amount, 'extra' AS x"
     )
-    row = normalise_summary(df).first()
+    row = with_percentages(normalise_summary(df)).first()
     assert (row.SOR, row.TOTAL_COUNT, row.FAIL_COUNT_PERCENTAGE) == ("a", 7, Decimal("14.29"))
 
 
