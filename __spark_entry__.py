@@ -43,7 +43,7 @@ FLAGSHIP_SF_DIR = "/root/testdata/sf0.001"
 # ---------------------------------------------------------------------------
 def _prepare(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Register the tables and return the test catalog (corpus + supplier family)."""
-    ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="rulecheck-ckpt-"))
+    ensure_checkpoint_dir(spark, lambda: tempfile.mkdtemp(prefix="rulecheck-ckpt-"))
     register_parquet_tables(spark, sf_dir, C.TABLES)
     return C.test_catalog(spark)
 

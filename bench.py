@@ -47,7 +47,7 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="rulecheck-bench-"))
+    ensure_checkpoint_dir(spark, lambda: tempfile.mkdtemp(prefix="rulecheck-bench-"))
     register_parquet_tables(spark, sf_dir, C.TABLES)
     catalog = C.test_catalog(spark)
     sink_root = f"{checkpoint_root(spark)}/rulecheck-bench-results"

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import threading
 import uuid
+from collections.abc import Callable
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
@@ -33,13 +34,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     )
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
-    """Use the session's checkpoint folder; set ``fallback`` only where none is set
-    (tests and local runs)."""
+def ensure_checkpoint_dir(spark: SparkSession, fallback: str | Callable[[], str]) -> str:
+    """Use the session's checkpoint folder; set ``fallback`` (a path, or a function
+    making one) only where none is set: tests and single-machine runs."""
     try:
         return checkpoint_root(spark)
     except ValueError:
-        spark.sparkContext.setCheckpointDir(fallback)
+        spark.sparkContext.setCheckpointDir(fallback() if callable(fallback) else fallback)
         return checkpoint_root(spark)
 
 

@@ -53,7 +53,7 @@ class JdbcSink:
 
     Each write partition opens one connection and inserts in batches;
     ``num_partitions`` bounds the number of concurrent connections. With
-    isolation ``NONE`` there is no transaction, as in the original job; pass
+    isolation ``NONE`` (the default) there is no transaction; pass
     ``READ_COMMITTED`` to get one transaction per partition.
     """
 
