@@ -66,6 +66,16 @@ class RunResult:
     written: bool = False
     extra: dict = field(default_factory=dict)
 
+    def cleanup(self, spark: SparkSession) -> bool:
+        """Delete the run's staged rule output. Call only after ``results`` has
+        been written or is no longer needed (``results`` reads the staged rows)."""
+        if not self.staging_dir:
+            return False
+        jvm = spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.staging_dir)
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return bool(fs.delete(path, True))
+
     @property
     def tally(self) -> dict[str, int]:
         succeeded = sum(1 for o in self.outcomes if o.succeeded)
@@ -86,13 +96,28 @@ def empty_results(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], RESULT_SCHEMA)
 
 
+# Thread-local job properties handed from the calling thread to rule threads,
+# so cancelling the caller's job group or choosing a scheduler pool covers
+# every rule of the run.
+_INHERITED_PROPERTIES = ("spark.jobGroup.id", "spark.job.interruptOnCancel", "spark.scheduler.pool")
+
+
 def execute_rules(spark: SparkSession, rules: list[Rule], ctx: RunContext, max_parallel: int = 1) -> list[RuleOutcome]:
     """Execute rules in ``DQ_ID`` order; with ``max_parallel > 1`` their jobs are
     submitted from a thread pool and share the cluster. Outcomes keep rule order."""
     if max_parallel <= 1 or len(rules) <= 1:
         return [execute_rule(spark, rule, ctx, set_sql_mode=False) for rule in rules]
+    sc = spark.sparkContext
+    inherited = {key: sc.getLocalProperty(key) for key in _INHERITED_PROPERTIES}
+
+    def run_one(rule: Rule) -> RuleOutcome:
+        for key, value in inherited.items():
+            if value is not None:
+                sc.setLocalProperty(key, value)
+        return execute_rule(spark, rule, ctx, set_sql_mode=False)
+
     with ThreadPoolExecutor(max_workers=max_parallel, thread_name_prefix="rule") as pool:
-        return list(pool.map(lambda rule: execute_rule(spark, rule, ctx, set_sql_mode=False), rules))
+        return list(pool.map(run_one, rules))
 
 
 def outcome_frame(spark: SparkSession, outcomes: list[RuleOutcome]) -> DataFrame:

@@ -163,3 +163,27 @@ def test_result_plan_reads_staged_rows_with_broadcast_stamp(spark, catalog):
     run = run_queue(spark, catalog.where(F.col("DQ_CHK_ID").isin("C01", "C13")), config())
     plan = run.results._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "FileScan parquet" in plan
+
+
+def test_cleanup_removes_staged_rows(spark, catalog):
+    import os
+    from urllib.parse import urlparse
+
+    run = run_queue(spark, catalog.where(F.col("DQ_CHK_ID").isin("C01")), config())
+    local = urlparse(run.staging_dir).path
+    assert os.path.isdir(local)
+    assert run.cleanup(spark)
+    assert not os.path.exists(local)
+
+
+def test_parallel_rules_inherit_job_group(spark, catalog):
+    sc = spark.sparkContext
+    sc.setJobGroup("dq-run-group", "rule run", interruptOnCancel=False)
+    try:
+        run = run_queue(spark, catalog.where(F.col("DQ_CHK_ID").isin("C01", "C05", "C06")), config(max_parallel_rules=3))
+        jobs = sc.statusTracker().getJobIdsForGroup("dq-run-group")
+        assert run.tally["RULES_SUCCEEDED"] == 3
+        assert len(jobs) >= 4  # catalog collect + one write per rule
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        sc.setLocalProperty("spark.job.description", None)
