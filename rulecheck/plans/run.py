@@ -26,6 +26,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from rulecheck.operators.execute import RuleOutcome, RunContext, execute_rule, failure_values
 from rulecheck.operators.normalise import with_percentages
 from rulecheck.schema import (
+    DOMAINS,
     OUTCOME_SCHEMA,
     RESULT_COLUMNS,
     RESULT_SCHEMA,
@@ -54,6 +55,11 @@ class RunConfig:
     clock: Callable[[], datetime] = datetime.now
     # Rules submitted concurrently (Spark runs their jobs side by side).
     max_parallel_rules: int = 1
+    allowed_domains: tuple[str, ...] = DOMAINS
+
+    def __post_init__(self) -> None:
+        if self.allowed_domains and self.domain not in self.allowed_domains:
+            raise ValueError(f"Domain {self.domain!r} is not one of {list(self.allowed_domains)}")
 
 
 @dataclass

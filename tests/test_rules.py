@@ -187,3 +187,9 @@ def test_parallel_rules_inherit_job_group(spark, catalog):
     finally:
         sc.setLocalProperty("spark.jobGroup.id", None)
         sc.setLocalProperty("spark.job.description", None)
+
+
+def test_domain_must_be_known():
+    with pytest.raises(ValueError, match="not one of"):
+        config(domain="fmr")
+    assert config(domain="XYZ", allowed_domains=()).domain == "XYZ"
