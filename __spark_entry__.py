@@ -122,7 +122,7 @@ def q_results_sink_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_typed_result_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The typed 19-column result frame (times as text under the test clock)."""
-    return comparable(_run(spark, sf_dir, ["C10", "C13"]).results, with_times=True)
+    return comparable(_run(spark, sf_dir, ["C05", "C13"]).results, with_times=True)
 
 
 # ---------------------------------------------------------------------------
@@ -251,8 +251,9 @@ def q_fail_dollar_pct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_error_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Error text cut at 4000 characters."""
-    res = _run(spark, sf_dir, ["C29"], queue=5).results
+    """Error text cut at 4000 characters (the engine's own message, and a
+    runtime error raised inside the rule's job)."""
+    res = _run(spark, sf_dir, ["C29", "C30"], queue=5).results
     return res.select(
         "DQ_ID",
         "ERROR_MESSAGE",
@@ -397,7 +398,7 @@ def _oracles() -> dict[str, str]:
             + ", strftime(TIMESTAMP '"
             + C.CLOCK_START.isoformat(sep=" ")
             + "' + to_seconds(2 * (row_number() OVER (ORDER BY r.DQ_ID) - 1) + 1), '%Y-%m-%d %H:%M:%S') AS CREATED_DT "
-            f"FROM ({O.rules_rows_sql(['C10', 'C13'])}) r"
+            f"FROM ({O.rules_rows_sql(['C05', 'C13'])}) r"
         ),
         "rule_select": O.with_catalog(f"{projected} FROM ({sel_1_3}) c"),
         "empty_queue": O.with_catalog(
@@ -446,9 +447,11 @@ def _oracles() -> dict[str, str]:
             f"FROM ({O.rules_rows_sql(['C26'])}) r"
         ),
         "error_truncate": O.with_catalog(
-            f"SELECT CAST(DQ_ID AS BIGINT) AS DQ_ID, {O.unresolved_message_expr(render)} AS ERROR_MESSAGE, "
-            f"CAST(length({O.unresolved_message_expr(render)}) AS BIGINT) AS MESSAGE_LENGTH "
-            "FROM catalog WHERE DQ_CHK_ID = 'C29'"
+            "SELECT DQ_ID, ERROR_MESSAGE, CAST(length(ERROR_MESSAGE) AS BIGINT) AS MESSAGE_LENGTH FROM ("
+            f"SELECT CAST(DQ_ID AS BIGINT) AS DQ_ID, {O.unresolved_message_expr(render)} AS ERROR_MESSAGE "
+            "FROM catalog WHERE DQ_CHK_ID = 'C29' UNION ALL "
+            "SELECT CAST(30 AS BIGINT), left('[USER_RAISED_EXCEPTION] lineitem rows: ' || "
+            "CAST((SELECT COUNT(*) FROM lineitem) AS VARCHAR) || ' ' || repeat('x', 5000), 4000)) m"
         ),
         "execution_id_default": O.with_catalog(
             "SELECT CAST(1 AS BIGINT) AS N_EXECUTION_IDS, true AS IS_UUID4, CAST(COUNT(*) AS BIGINT) AS RESULT_ROWS "

@@ -164,6 +164,12 @@ _C29 = (
     + ")"
 )
 
+# A runtime error whose text (it carries the lineitem row count) exceeds 4000 characters.
+_C30 = """SELECT 'X' AS SOR, n AS TOTAL_COUNT, 0 AS TOTAL_DOLLAR_AMOUNT,
+  CASE WHEN n >= 0 THEN raise_error(concat('lineitem rows: ', CAST(n AS STRING), ' ', repeat('x', 5000))) ELSE n END
+    AS FAIL_COUNT, 0 AS FAIL_DOLLAR_AMOUNT
+FROM (SELECT COUNT(*) AS n FROM $ds.lineitem) t"""
+
 # Expected ERROR_TEXT of failing rules, as DuckDB SQL expressions.
 ZERO_ROWS = "'DQ SQL returned zero rows.'"
 PARSE = "'[PARSE_SYNTAX_ERROR]'"
@@ -210,6 +216,7 @@ CORPUS: tuple[CorpusRule, ...] = (
     CorpusRule(27, "C27", _C27, queue=4, desc="NOT EXISTS anti join"),
     CorpusRule(28, "C28", _C28, queue=4, desc="grouping sets over a join"),
     CorpusRule(29, "C29", _C29, queue=5, error=UNRESOLVED, desc="error text over 4000 characters"),
+    CorpusRule(30, "C30", _C30, queue=5, error=RAISED, desc="runtime error text over 4000 characters"),
     # rendering cases (queue 9, never executed)
     CorpusRule(91, "R1", "$ds.t $dsx $vdo $DS", queue=RENDER_QUEUE, schema="S", sor=None),
     CorpusRule(92, "R2", "a $x ${y} $1 $_Z", queue=RENDER_QUEUE, schema="S", sor="V"),
