@@ -104,7 +104,7 @@ def q_rule_catalog_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _scratch(spark, "catalog")
     catalog.write.parquet(path)
     stored = spark.read.parquet(path)
-    return select_rules(project_catalog(stored), C.FAMILY_QUEUE, C.DOMAIN)
+    return project_catalog(select_rules(stored, C.FAMILY_QUEUE, C.DOMAIN))
 
 
 def q_target_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

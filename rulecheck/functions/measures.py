@@ -26,7 +26,6 @@ from rulecheck.schema import PERCENT_LIMIT_HUNDREDTHS, PERCENT_TYPE
 
 _INTEGRAL = (ByteType, ShortType, IntegerType, LongType)
 _FRACTIONAL = (DecimalType, FloatType, DoubleType)
-MEASURE_TYPES = _INTEGRAL + _FRACTIONAL + (BooleanType, StringType, NullType)
 
 
 class UnsupportedMeasureType(TypeError):
@@ -142,8 +141,3 @@ def exact_percent(df: DataFrame, fail: str, total: str, out: str) -> DataFrame:
 def truncate_error(message: str | None, limit: int) -> str | None:
     """First ``limit`` characters of an error text."""
     return None if message is None else message[:limit]
-
-
-def truncate_error_col(message: Column, limit: int) -> Column:
-    """Column form of :func:`truncate_error` (Spark ``substring`` is 1-based)."""
-    return F.substring(message, 1, limit)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rulecheck.functions.measures import exact_percents, measure_to_long, percent_overflow_guard, sor_label
-from rulecheck.schema import STAGED_SCHEMA, SUMMARY_COLUMNS
+from rulecheck.schema import SUMMARY_COLUMNS
 
 
 class SummaryContractError(ValueError):
@@ -76,7 +76,3 @@ def with_percentages(df: DataFrame) -> DataFrame:
             ("FAIL_DOLLAR_AMOUNT", "TOTAL_DOLLAR_AMOUNT", "FAIL_DOLLAR_PERCENTAGE"),
         ],
     )
-
-
-def staged_columns() -> list[str]:
-    return [f.name for f in STAGED_SCHEMA.fields]

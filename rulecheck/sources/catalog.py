@@ -50,6 +50,16 @@ def read_catalog_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def check_catalog_columns(df: DataFrame) -> dict[str, str]:
+    """Upper-case name -> actual name of the catalog's columns; raises when a
+    required column is missing (reads the schema only)."""
+    present = {c.upper(): c for c in df.columns}
+    missing = [c for c in CATALOG_COLUMNS if c not in present and c not in OPTIONAL_CATALOG_COLUMNS]
+    if missing:
+        raise ValueError(f"Rule catalog is missing columns: {missing}. Got: {df.columns}")
+    return present
+
+
 def project_catalog(df: DataFrame) -> DataFrame:
     """The eight catalog columns used, with keys coerced.
 
@@ -59,11 +69,7 @@ def project_catalog(df: DataFrame) -> DataFrame:
     integer becomes null and is rejected at :func:`collect_rules`);
     ``DQ_CHK_ID`` becomes text with null written as ``'None'``.
     """
-    present = {c.upper(): c for c in df.columns}
-    missing = [c for c in CATALOG_COLUMNS if c not in present and c not in OPTIONAL_CATALOG_COLUMNS]
-    if missing:
-        raise ValueError(f"Rule catalog is missing columns: {missing}. Got: {df.columns}")
-
+    present = check_catalog_columns(df)
     types = {f.name: f.dataType for f in df.schema.fields}
 
     def pick(name: str):
@@ -95,7 +101,12 @@ def project_catalog(df: DataFrame) -> DataFrame:
 
 def select_rules(df: DataFrame, queue_id: int, domain: str) -> DataFrame:
     """Active rules of one queue and domain: exact, case-sensitive equality;
-    nulls never match."""
+    nulls never match.
+
+    Applied to the catalog as read (before :func:`project_catalog`), the
+    comparison is on the stored values, as a database would make it, and all
+    three predicates reach the source (JDBC query or parquet row-group filter)
+    whatever the key type."""
     return df.where(
         (F.col("DQ_QUEUE_ID") == F.lit(int(queue_id)))
         & (F.col("DQ_LRI") == F.lit(ACTIVE_FLAG))
@@ -115,8 +126,9 @@ def with_rendering(df: DataFrame, fic_mis_date: str, as_of_dt: str) -> DataFrame
 
 
 def prepared_rules(df: DataFrame, queue_id: int, domain: str, fic_mis_date: str, as_of_dt: str) -> DataFrame:
-    """Project, select, render and order: the whole catalog plan before the collect."""
-    selected = select_rules(project_catalog(df), queue_id, domain)
+    """Select, project, render and order: the whole catalog plan before the collect."""
+    check_catalog_columns(df)
+    selected = project_catalog(select_rules(df, queue_id, domain))
     return order_rules(with_rendering(selected, fic_mis_date, as_of_dt))
 
 

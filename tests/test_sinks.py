@@ -85,3 +85,19 @@ def test_jdbc_selection_is_pushed_down(spark, catalog):
         spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert "EqualTo(DQ_LRI,Y)" in plan and "EqualTo(DQ_DMN,FMR)" in plan and "EqualTo(DQ_QUEUE_ID,1)" in plan
     assert len(df.collect()) == 18
+
+
+def test_stored_catalog_scan_pushes_selection(spark, catalog):
+    from rulecheck.sources.catalog import project_catalog, select_rules
+
+    path = f"{checkpoint_root(spark)}/catalog-{uuid.uuid4().hex}"
+    catalog.write.parquet(path)
+    df = project_catalog(select_rules(spark.read.parquet(path), C.QUEUE, C.DOMAIN))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    try:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "EqualTo(DQ_LRI,Y)" in plan and "EqualTo(DQ_DMN,FMR)" in plan and "EqualTo(DQ_QUEUE_ID,1)" in plan
+    assert "DQ_DESC" not in plan.split("ReadSchema:")[1].split("\n")[0]  # pruned
+    assert [r.DQ_CHK_ID for r in df.orderBy("DQ_ID").collect()] == [f"C{i:02d}" for i in range(1, 21)]
