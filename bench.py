@@ -57,10 +57,23 @@ def main() -> None:
     def config(queue: int, parallel: int) -> RunConfig:
         return RunConfig(queue, C.DOMAIN, C.FIC_MIS_DATE, C.AS_OF_DT, None, max_parallel_rules=parallel)
 
+    sc = spark.sparkContext
+
     def timed(name: str, cat, queue: int, parallel: int) -> tuple[float, dict]:
-        start = time.perf_counter()
-        run = run_queue(spark, cat, config(queue, parallel), ParquetSink(f"{sink_root}/{name}"))
-        return time.perf_counter() - start, run.tally
+        group = f"bench-{name}"
+        sc.setJobGroup(group, name)
+        try:
+            start = time.perf_counter()
+            run = run_queue(spark, cat, config(queue, parallel), ParquetSink(f"{sink_root}/{name}"))
+            secs = time.perf_counter() - start
+        finally:
+            sc.setLocalProperty("spark.jobGroup.id", None)
+            sc.setLocalProperty("spark.job.description", None)
+        executed = sorted((o.end - o.start).total_seconds() for o in run.outcomes if o.succeeded)
+        stats = dict(run.tally)
+        stats["jobs"] = len(sc.statusTracker().getJobIdsForGroup(group))
+        stats["rule_sec_median"] = round(executed[len(executed) // 2], 3) if executed else None
+        return secs, stats
 
     # warm-up: JIT, catalog and footer caches (not timed)
     run_queue(spark, catalog.where(F.col("DQ_CHK_ID").isin("C01", "C10")), config(C.QUEUE, 1))
@@ -89,6 +102,8 @@ def main() -> None:
                 "cpus": cpus,
                 "rules": {k: v["RULES_TOTAL"] for k, v in tallies.items()},
                 "result_rows": {k: v["RESULT_ROWS"] for k, v in tallies.items()},
+                "spark_jobs": {k: v["jobs"] for k, v in tallies.items()},
+                "succeeded_rule_sec_median": {k: v["rule_sec_median"] for k, v in tallies.items()},
             }
         )
     )

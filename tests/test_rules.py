@@ -193,3 +193,12 @@ def test_domain_must_be_known():
     with pytest.raises(ValueError, match="not one of"):
         config(domain="fmr")
     assert config(domain="XYZ", allowed_domains=()).domain == "XYZ"
+
+
+def test_collected_order_equals_spark_order(spark, catalog):
+    from rulecheck.sources.catalog import order_rules
+
+    prepared = prepared_rules(catalog, C.FAMILY_QUEUE, C.DOMAIN, C.FIC_MIS_DATE, C.AS_OF_DT)
+    in_spark = [(r.DQ_ID, r.DQ_CHK_ID) for r in order_rules(prepared).collect()]
+    collected = [(r.dq_id, r.chk_id) for r in collect_rules(prepared)]
+    assert collected == in_spark
