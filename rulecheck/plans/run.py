@@ -12,6 +12,7 @@ rule, broadcast behind a size check), plus one row per failed rule.
 from __future__ import annotations
 
 import logging
+import threading
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -114,11 +115,16 @@ def execute_rules(spark: SparkSession, rules: list[Rule], ctx: RunContext, max_p
         return [execute_rule(spark, rule, ctx, set_sql_mode=False) for rule in rules]
     sc = spark.sparkContext
     inherited = {key: sc.getLocalProperty(key) for key in _INHERITED_PROPERTIES}
+    # Under FAIR scheduling, a pool per rule thread lets small rules get
+    # executors while a large one runs (pools named here are created on use).
+    own_pools = inherited["spark.scheduler.pool"] is None and sc.getConf().get("spark.scheduler.mode", "FIFO") == "FAIR"
 
     def run_one(rule: Rule) -> RuleOutcome:
         for key, value in inherited.items():
             if value is not None:
                 sc.setLocalProperty(key, value)
+        if own_pools:
+            sc.setLocalProperty("spark.scheduler.pool", f"rulecheck-{threading.current_thread().name}")
         return execute_rule(spark, rule, ctx, set_sql_mode=False)
 
     with ThreadPoolExecutor(max_workers=max_parallel, thread_name_prefix="rule") as pool:
