@@ -15,6 +15,7 @@ CASES = [
     ("x $misdate y $asofdt", None, None, "x 2024-01-15 y 2000-12-31", []),
     ("FROM $ds.customer", None, None, "FROM .customer", []),
     ("v$session and $ds", "a$1b", None, "v$session and a$1b", ["$session"]),
+    ("regexp_like(c, 'x$')", None, None, "regexp_like(c, 'x$')", []),
 ]
 
 

@@ -101,3 +101,16 @@ def test_stored_catalog_scan_pushes_selection(spark, catalog):
     assert "EqualTo(DQ_LRI,Y)" in plan and "EqualTo(DQ_DMN,FMR)" in plan and "EqualTo(DQ_QUEUE_ID,1)" in plan
     assert "DQ_DESC" not in plan.split("ReadSchema:")[1].split("\n")[0]  # pruned
     assert [r.DQ_CHK_ID for r in df.orderBy("DQ_ID").collect()] == [f"C{i:02d}" for i in range(1, 21)]
+
+
+def test_failed_write_aborts_the_run(spark, catalog):
+    import os
+    import tempfile
+
+    import pytest
+
+    target = os.path.join(tempfile.mkdtemp(prefix="rulecheck-not-a-dir-"), "file")
+    with open(target, "w") as fh:
+        fh.write("x")  # a plain file where the results folder should be
+    with pytest.raises(Exception):
+        run_queue(spark, catalog.where(F.col("DQ_CHK_ID").isin("C05")), config(), ParquetSink(target))
