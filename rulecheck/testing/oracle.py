@@ -20,7 +20,6 @@ from rulecheck.testing.corpus import (
     FAMILY_QUEUE,
     FAMILY_SQL_HEAD,
     FIC_MIS_DATE,
-    SOR,
     UNRESOLVED,
     CorpusRule,
 )
@@ -206,5 +205,4 @@ __all__ = [
     "unresolved_expr",
     "unresolved_message_expr",
     "with_catalog",
-    "SOR",
 ]
