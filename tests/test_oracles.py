@@ -8,7 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from tools.check_oracles import VIEWS, canon
+from tools.check_oracles import VIEWS, canon, types_of
 
 SF = "/root/testdata/sf0.001"
 
@@ -27,9 +27,11 @@ def duck():
 def test_query_matches_oracle(spark, duck, key):
     df = E.queries()[key](spark, SF)
     s_cols, s_rows = canon(df.columns, [tuple(r) for r in df.collect()])
-    res = duck.execute(E.oracle_sql()[key])
-    d_cols, d_rows = canon([d[0] for d in res.description], res.fetchall())
+    rel = duck.sql(E.oracle_sql()[key])
+    d_types = types_of(duck_columns=rel.columns, duck_types=rel.types)
+    d_cols, d_rows = canon(rel.columns, rel.fetchall())
     assert s_cols == d_cols
+    assert types_of(spark_dtypes=df.dtypes) == d_types
     assert s_rows == d_rows
 
 
