@@ -202,3 +202,16 @@ def test_collected_order_equals_spark_order(spark, catalog):
     in_spark = [(r.DQ_ID, r.DQ_CHK_ID) for r in order_rules(prepared).collect()]
     collected = [(r.dq_id, r.chk_id) for r in collect_rules(prepared)]
     assert collected == in_spark
+
+
+def test_comments_and_trailing_semicolon(spark, tables):
+    ok = (
+        "-- completeness of regions\n"
+        "SELECT 'R' AS SOR, COUNT(*) AS TOTAL_COUNT, 0 AS TOTAL_DOLLAR_AMOUNT, /* none */ 0 AS FAIL_COUNT,\n"
+        "  0 AS FAIL_DOLLAR_AMOUNT FROM global_temp.region;"
+    )
+    outcome, _ = one_rule(spark, ok)
+    assert outcome.succeeded, outcome.error
+    two = "SELECT 1 AS SOR; SELECT 2 AS SOR"
+    outcome, _ = one_rule(spark, two)
+    assert not outcome.succeeded and "PARSE_SYNTAX_ERROR" in outcome.error
