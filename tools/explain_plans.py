@@ -25,6 +25,9 @@ from rulecheck.testing import corpus as C  # noqa: E402
 
 
 def formatted(df) -> str:
+    """The final adaptive plan: the frame is executed first (all frames here are
+    small), so AQE's runtime decisions and the codegen stages are shown."""
+    df.collect()
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
         df.explain("formatted")
@@ -74,7 +77,8 @@ def main() -> None:
     out = [
         "# Physical plans",
         "",
-        f"Generated by `python tools/explain_plans.py {sf_dir}` (Spark {spark.version}, local[8]).",
+        f"Generated by `python tools/explain_plans.py {sf_dir}` (Spark {spark.version}, local[8]); "
+        "final adaptive plans after execution (`[codegen id : n]` marks whole-stage-codegen stages).",
         "",
     ]
     for title, plan in sections:
