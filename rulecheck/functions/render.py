@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from rulecheck.schema import PLACEHOLDER_TOKENS, UNRESOLVED_PATTERN
+from rulecheck.schema import PLACEHOLDER_TOKENS, UNRESOLVED_MESSAGE, UNRESOLVED_PATTERN
 
 
 def _col(c: Column | str) -> Column:
@@ -49,4 +49,4 @@ def unresolved_placeholders(rendered: Column | str) -> Column:
 
 def unresolved_message(unresolved: list[str], rendered: str, excerpt: int) -> str:
     """Error text for a rule whose rendered SQL still holds placeholders."""
-    return f"Unresolved placeholders in SQL: {unresolved!r}. Final SQL: {rendered[:excerpt]}"
+    return UNRESOLVED_MESSAGE.format(unresolved=repr(unresolved), sql=rendered[:excerpt])

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rulecheck.functions.measures import exact_percents, measure_to_long, percent_overflow_guard, sor_label
-from rulecheck.schema import SUMMARY_COLUMNS
+from rulecheck.schema import MISSING_COLUMNS_MESSAGE, SUMMARY_COLUMNS
 
 
 class SummaryContractError(ValueError):
@@ -24,7 +24,7 @@ def summary_positions(df: DataFrame) -> dict[str, int]:
     upper = [c.upper() for c in df.columns]
     missing = sorted(set(SUMMARY_COLUMNS) - set(upper))
     if missing:
-        raise SummaryContractError(f"Result is missing required columns: {missing}. Got: {df.columns}")
+        raise SummaryContractError(MISSING_COLUMNS_MESSAGE.format(missing=missing, got=df.columns))
     return {name: upper.index(name) for name in SUMMARY_COLUMNS}
 
 

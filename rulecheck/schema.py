@@ -66,6 +66,14 @@ DEFAULT_SOR = "NA"
 ERROR_MESSAGE_LIMIT = 4000
 SQL_EXCERPT_LIMIT = 500
 ZERO_ROWS_MESSAGE = "DQ SQL returned zero rows."
+UNRESOLVED_MESSAGE = "Unresolved placeholders in SQL: {unresolved}. Final SQL: {sql}"
+MISSING_COLUMNS_MESSAGE = "Result is missing required columns: {missing}. Got: {got}"
+
+# JDBC: rows fetched per round trip when reading the catalog; rows per INSERT
+# batch and transaction isolation when appending results.
+CATALOG_FETCH_SIZE = 10000
+JDBC_BATCH_SIZE = 1000
+JDBC_ISOLATION_LEVEL = "NONE"
 # --- end of fixed values ----------------------------------------------------
 
 MEASURE_COLUMNS = SUMMARY_COLUMNS[1:]

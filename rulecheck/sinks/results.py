@@ -7,14 +7,10 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rulecheck.schema import RESULT_SCHEMA
+from rulecheck.schema import JDBC_BATCH_SIZE, JDBC_ISOLATION_LEVEL, RESULT_SCHEMA
 
 logger = logging.getLogger(__name__)
 
-# JDBC write defaults: rows per INSERT batch and transaction isolation.
-JDBC_BATCH_SIZE = 1000
-JDBC_ISOLATION_LEVEL = "NONE"
-
 
 @dataclass(frozen=True)
 class ParquetSink:

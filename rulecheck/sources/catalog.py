@@ -11,10 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType
 
 from rulecheck.functions.render import render_placeholders, unresolved_placeholders
-from rulecheck.schema import ACTIVE_FLAG, CATALOG_COLUMNS, OPTIONAL_CATALOG_COLUMNS
-
-# JDBC fetch size used for the catalog read.
-CATALOG_FETCH_SIZE = 10000
+from rulecheck.schema import ACTIVE_FLAG, CATALOG_COLUMNS, CATALOG_FETCH_SIZE, OPTIONAL_CATALOG_COLUMNS
 
 
 @dataclass(frozen=True)
