@@ -215,3 +215,21 @@ def test_comments_and_trailing_semicolon(spark, tables):
     two = "SELECT 1 AS SOR; SELECT 2 AS SOR"
     outcome, _ = one_rule(spark, two)
     assert not outcome.succeeded and "PARSE_SYNTAX_ERROR" in outcome.error
+
+
+def test_missing_catalog_column_aborts_run(spark):
+    df = spark.createDataFrame(
+        [(1, "A", 1, "Y", "FMR")], "DQ_ID bigint, DQ_CHK_ID string, DQ_QUEUE_ID bigint, DQ_LRI string, DQ_DMN string"
+    )
+    with pytest.raises(ValueError, match=r"missing columns: \['DQ_SQL'\]"):
+        run_queue(spark, df, config())
+
+
+def test_decimal_keys_truncate_like_int(spark):
+    sql = "SELECT 'A' AS SOR, 1 AS TOTAL_COUNT, 0 AS TOTAL_DOLLAR_AMOUNT, 0 AS FAIL_COUNT, 0 AS FAIL_DOLLAR_AMOUNT"
+    df = spark.createDataFrame(
+        [(Decimal("7.9"), 7, Decimal("1"), "Y", "FMR", sql)],
+        "DQ_ID decimal(10,1), DQ_CHK_ID int, DQ_QUEUE_ID decimal(38,0), DQ_LRI string, DQ_DMN string, DQ_SQL string",
+    )
+    row = run_queue(spark, df, config()).results.first()
+    assert (row.DQ_ID, row.DQ_CHK_ID, row.DQ_QUEUE_ID, row.EXECUTION_STATUS) == (7, "7", 1, "SUCCESS")
