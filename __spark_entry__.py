@@ -376,7 +376,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rule_failure_row": _run_rules(["C12", "C13", "C14", "C15", "C16", "C17", "C18", "C19", "C20"]),
     "rule_queue_run": q_rule_queue_run,
     "rule_queue_run_generated": q_rule_queue_run_generated,
-    "pass_through_joins_windows_sets": _run_rules(["C26", "C27", "C28"], queue=4),
+    "pass_through_joins_windows_sets": _run_rules(["C26", "C27", "C28", "C31"], queue=4),
 }
 
 
@@ -493,7 +493,7 @@ def _oracles() -> dict[str, str]:
         "rule_failure_row": _rules_oracle(["C12", "C13", "C14", "C15", "C16", "C17", "C18", "C19", "C20"]),
         "rule_queue_run": O.with_catalog(queue1_rows),
         "rule_queue_run_generated": O.with_catalog(O.family_rows_sql()),
-        "pass_through_joins_windows_sets": _rules_oracle(["C26", "C27", "C28"]),
+        "pass_through_joins_windows_sets": _rules_oracle(["C26", "C27", "C28", "C31"]),
     }
 
 

@@ -170,6 +170,13 @@ _C30 = """SELECT 'X' AS SOR, n AS TOTAL_COUNT, 0 AS TOTAL_DOLLAR_AMOUNT,
     AS FAIL_COUNT, 0 AS FAIL_DOLLAR_AMOUNT
 FROM (SELECT COUNT(*) AS n FROM $ds.lineitem) t"""
 
+# Window: orders of a customer on a day beyond the first one, per priority.
+_C31 = """SELECT o_orderpriority AS SOR, COUNT(*) AS TOTAL_COUNT, SUM(amt) AS TOTAL_DOLLAR_AMOUNT,
+  SUM(CASE WHEN rn > 1 THEN 1 ELSE 0 END) AS FAIL_COUNT, SUM(CASE WHEN rn > 1 THEN amt END) AS FAIL_DOLLAR_AMOUNT
+FROM (SELECT o_orderpriority, CAST(o_totalprice AS DECIMAL(18,2)) AS amt,
+        ROW_NUMBER() OVER (PARTITION BY o_custkey, o_orderdate ORDER BY o_orderkey) AS rn FROM $ds.orders) x
+GROUP BY o_orderpriority"""
+
 # Expected ERROR_TEXT of failing rules, as DuckDB SQL expressions.
 ZERO_ROWS = "'DQ SQL returned zero rows.'"
 PARSE = "'[PARSE_SYNTAX_ERROR]'"
@@ -215,6 +222,7 @@ CORPUS: tuple[CorpusRule, ...] = (
     CorpusRule(26, "C26", _C26, queue=4, desc="per-customer summary"),
     CorpusRule(27, "C27", _C27, queue=4, desc="NOT EXISTS anti join"),
     CorpusRule(28, "C28", _C28, queue=4, desc="grouping sets over a join"),
+    CorpusRule(31, "C31", _C31, queue=4, desc="ROW_NUMBER window per customer and day"),
     CorpusRule(29, "C29", _C29, queue=5, error=UNRESOLVED, desc="error text over 4000 characters"),
     CorpusRule(30, "C30", _C30, queue=5, error=RAISED, desc="runtime error text over 4000 characters"),
     # rendering cases (queue 9, never executed)
