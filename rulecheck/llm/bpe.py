@@ -14,6 +14,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 
+LONG_WORD = 192  # bytes; longer words go one by one to the library's own merge queue
 _NONE = np.iinfo(np.int32).max
 
 
@@ -113,6 +114,8 @@ def load_model(path: str) -> BpeModel:
 def encode_words(model: BpeModel, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Ids of distinct words (UTF-8 bytes, none empty): flat ids and offsets."""
     n = len(words)
+    if any(len(w) > LONG_WORD for w in words):
+        return _encode_mixed(model, words)
     length = np.fromiter(map(len, words), np.int64, n)
     flat = np.frombuffer(b"".join(words), np.uint8)
     at = np.concatenate([[0], np.cumsum(length)])
@@ -136,6 +139,18 @@ def encode_words(model: BpeModel, words: list[bytes]) -> tuple[np.ndarray, np.nd
     return ids[keep], np.concatenate([[0], np.cumsum(out_len)])
 
 
+def _encode_mixed(model: BpeModel, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    short = [i for i, w in enumerate(words) if len(w) <= LONG_WORD]
+    flat, at = encode_words(model, [words[i] for i in short]) if short else (np.zeros(0, np.int32), np.zeros(1, np.int64))
+    parts = dict(zip(short, np.split(flat, at[1:-1]), strict=True)) if short else {}
+    chars = byte_characters()
+    for i, w in enumerate(words):
+        if i not in parts:
+            parts[i] = np.array([t.id for t in model.library.model.tokenize("".join(chars[b] for b in w))], np.int32)
+    out = [parts[i] for i in range(len(words))]
+    return np.concatenate(out), np.concatenate([[0], np.cumsum([len(p) for p in out])])
+
+
 def _merge(model: BpeModel, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Merge every row of a matrix of symbol ids as far as it goes."""
     rows, width = block.shape

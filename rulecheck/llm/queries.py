@@ -6,10 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rulecheck.llm.chat import OP1_SQL, op1_chat
+from rulecheck.llm.encoding import op10_encoding
 from rulecheck.llm.packing import op9_packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat": op1_chat,
     "op9_packing": op9_packing,
+    "op10_encoding": op10_encoding,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_chat": OP1_SQL,
+}
