@@ -48,12 +48,12 @@ def text_buffer(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndar
     return raw, offs - offs[0]
 
 
-def slices(offsets: np.ndarray, most_bytes: int) -> list[tuple[int, int]]:
-    """Row ranges of at most ``most_bytes`` text bytes each (one row at least)."""
+def slices(offsets: np.ndarray, most_bytes: int, most_rows: int = 1 << 30) -> list[tuple[int, int]]:
+    """Row ranges of at most ``most_bytes`` text bytes and ``most_rows`` rows each (one row at least)."""
     out, lo, n = [], 0, len(offsets) - 1
     while lo < n:
         hi = int(np.searchsorted(offsets, offsets[lo] + most_bytes, "right")) - 1
-        hi = min(max(hi, lo + 1), n)
+        hi = min(max(hi, lo + 1), n, lo + most_rows)
         out.append((lo, hi))
         lo = hi
     return out

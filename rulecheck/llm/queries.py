@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rulecheck.llm.chat import OP1_SQL, op1_chat
 from rulecheck.llm.encoding import op10_encoding
+from rulecheck.llm.fingerprints import op2_fingerprints
 from rulecheck.llm.packing import op9_packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
+    "op2_fingerprints": op2_fingerprints,
     "op9_packing": op9_packing,
     "op10_encoding": op10_encoding,
 }
