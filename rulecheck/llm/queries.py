@@ -10,14 +10,17 @@ from rulecheck.llm.chat import OP1_SQL, op1_chat
 from rulecheck.llm.encoding import op10_encoding
 from rulecheck.llm.fingerprints import op2_fingerprints
 from rulecheck.llm.packing import op9_packing
+from rulecheck.llm.substrings import OP4_SQL, op4_substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
     "op2_fingerprints": op2_fingerprints,
+    "op4_substrings": op4_substrings,
     "op9_packing": op9_packing,
     "op10_encoding": op10_encoding,
 }
 
 ORACLES: dict[str, str] = {
     "op1_chat": OP1_SQL,
+    "op4_substrings": OP4_SQL,
 }
