@@ -10,13 +10,17 @@ from rulecheck.llm.chat import OP1_SQL, op1_chat
 from rulecheck.llm.encoding import op10_encoding
 from rulecheck.llm.fingerprints import op2_fingerprints
 from rulecheck.llm.jaccard import op7_jaccard
+from rulecheck.llm.language import op6_language
 from rulecheck.llm.packing import op9_packing
+from rulecheck.llm.quality import op3_quality
 from rulecheck.llm.substrings import OP4_SQL, op4_substrings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
     "op2_fingerprints": op2_fingerprints,
+    "op3_quality": op3_quality,
     "op4_substrings": op4_substrings,
+    "op6_language": op6_language,
     "op7_jaccard": op7_jaccard,
     "op9_packing": op9_packing,
     "op10_encoding": op10_encoding,
