@@ -152,39 +152,40 @@ def _encode_mixed(model: BpeModel, words: list[bytes]) -> tuple[np.ndarray, np.n
 
 
 def _merge(model: BpeModel, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Merge every row of a matrix of symbol ids as far as it goes."""
-    rows, width = block.shape
-    slot = model.lookup(block[:, :-1].ravel(), block[:, 1:].ravel()).reshape(rows, width - 1)
+    """Merge every row of a matrix of symbol ids as far as it goes: the ids, and how many.
+
+    Rows that still merge do so once per step, so they all have the same length.
+    """
+    done, size = block.copy(), np.full(len(block), block.shape[1], np.int64)
+    live = np.arange(len(block))
+    slot = model.lookup(block[:, :-1].ravel(), block[:, 1:].ravel()).astype(np.int32).reshape(len(block), -1)
     rank = np.where(slot >= 0, model.ranks[slot], _NONE)
-    size = np.full(rows, width, np.int64)
-    live = np.arange(rows)
-    done_block = block.copy()
-    cols = np.arange(width)
     while True:
         pick = rank.argmin(axis=1)
-        r = np.arange(len(live))
-        able = rank[r, pick] != _NONE
+        able = rank[np.arange(len(live)), pick] != _NONE
         if not able.all():
-            rest = np.flatnonzero(~able)
-            done_block[live[rest]] = block[rest]
-            go = np.flatnonzero(able)
+            rest, go = np.flatnonzero(~able), np.flatnonzero(able)
+            done[live[rest], : block.shape[1]] = block[rest]
+            size[live[rest]] = block.shape[1]
             live, block, rank, slot, pick = live[go], block[go], rank[go], slot[go], pick[go]
-            r = np.arange(len(live))
         if not len(live):
-            return done_block, size
+            return done, size
+        rows, m = block.shape
+        r = np.arange(rows)
         new = model.merged[slot[r, pick]]
-        shift = np.minimum(cols + (cols > pick[:, None]), width - 1)
-        block = np.take_along_axis(block, shift, 1)
+        shift = np.arange(m - 1) + (np.arange(m - 1) > pick[:, None])
+        block = np.take(block.ravel(), shift + (r * m)[:, None])
         block[r, pick] = new
-        pairs = np.minimum(cols[:-1] + (cols[:-1] > pick[:, None]), width - 2)
-        slot, rank = np.take_along_axis(slot, pairs, 1), np.take_along_axis(rank, pairs, 1)
-        size[live] -= 1
-        m = size[live]
-        rank[r, m - 1] = _NONE
+        if m == 2:
+            done[live, :1], size[live] = block, 1
+            return done, size
+        old = shift[:, :-1] + (r * (m - 1))[:, None]
+        slot, rank = np.take(slot.ravel(), old), np.take(rank.ravel(), old)
         for side in (-1, 0):
             j = pick + side
-            ok = np.flatnonzero((j >= 0) & (j + 1 < m))
+            ok = np.flatnonzero((j >= 0) & (j < m - 2))
             if len(ok):
-                s = model.lookup(block[ok, j[ok]], block[ok, j[ok] + 1])
-                slot[ok, j[ok]] = s
-                rank[ok, j[ok]] = np.where(s >= 0, model.ranks[s], _NONE)
+                at = j[ok]
+                s = model.lookup(block[ok, at], block[ok, at + 1])
+                slot[ok, at] = s
+                rank[ok, at] = np.where(s >= 0, model.ranks[s], _NONE)

@@ -7,6 +7,7 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +32,18 @@ def ship_package(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_kept: dict[str, object] = {}
+
+
+def kept_in_worker(key: str, make: Callable[[], object]):
+    """An object that a Python worker keeps from one task of a query to the next
+    (caches of pure functions only, so results never depend on it); one at a time."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/llm-staging/{name}-{uuid.uuid4().hex[:12]}"

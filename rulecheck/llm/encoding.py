@@ -35,11 +35,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rulecheck.llm.bpe import BpeModel, encode_words, load_model
-from rulecheck.llm.common import documents, ship_package, stage
+from rulecheck.llm.common import documents, kept_in_worker, ship_package, stage
 from rulecheck.llm.lexicon import Lexicon, build
 
 LEXICON_WORDS = 50_000
-CACHE_RUNS = 300_000
+CACHE_RUNS = 1_000_000
 COUNT_WORDS = 200_000
 BATCH_CHARS = 1 << 20
 # Fixed value: the split pattern stated in the vocabulary file.
@@ -81,17 +81,17 @@ class WordEncoder:
         if len(self.runs) + len(self.words) > self.most:
             self.runs, self.words = {"": b""}, {}
         cut = [t.split(" ") if t else [] for t in texts]
-        self._learn(list({r for c in cut for r in c} - self.runs.keys()))
+        self._learn(set().union(*cut).difference(self.runs))
         return [b"".join(map(self.runs.__getitem__, c)) for c in cut]
 
-    def _learn(self, runs: list[str]) -> None:
+    def _learn(self, runs: set[str]) -> None:
         parts = {}
         for r in runs:
             if any(s in r for s in self.model.special):
                 self.runs[r] = np.array(self.model.library.encode(r, add_special_tokens=False).ids, "<u4").tobytes()
             else:
                 parts[r] = split_words(r)
-        new = list({w for p in parts.values() for w in p} - self.words.keys())
+        new = list({w for p in parts.values() for w in p}.difference(self.words))
         if new:
             coded = [w.encode() for w in new]
             known = self.lexicon.lookup(coded)
@@ -166,7 +166,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, lexicon_words: int =
     shared = sc.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(shared.value, Lexicon.open(SparkFiles.get(name)))
+        encoder = kept_in_worker(name, lambda: WordEncoder(shared.value, Lexicon.open(SparkFiles.get(name))))
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for lo, hi in _blocks(texts):

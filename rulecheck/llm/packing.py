@@ -21,6 +21,7 @@ are ignored; a text of any length is cut at window ends.
 from __future__ import annotations
 
 import heapq
+import uuid
 from collections import deque
 from collections.abc import Iterator
 
@@ -32,13 +33,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rulecheck.llm.bpe import BpeModel, encode_words, load_model
-from rulecheck.llm.common import documents, ship_package
+from rulecheck.llm.common import documents, kept_in_worker, ship_package
 
 TIERS = (1024, 512, 256, 128)
 END_ID = 0
 STEP_TOKENS = 16 * 1024
 BUFFER_TOKENS = 1 << 18
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_000_000
+MARKS = ".,!?;:"
 PIECE_SCHEMA = (
     "doc_id bigint, start bigint, length bigint, doc_tokens bigint, sequence_id bigint, offset bigint, "
     "sequence_length bigint, tier int, step_group bigint, ids binary"
@@ -51,67 +53,74 @@ class ByteLevelEncoder:
     """Ids of whole texts as little-endian 32-bit bytes, with a bounded cache of words.
 
     A split never crosses the place before a space that follows a non-space, so a
-    text cut there is encoded run by run from the cache. Texts where a run is
-    empty or ends in white space (several spaces in a row) are split as a whole.
+    text cut there is encoded run by run from the cache: the first run by ``heads``,
+    those behind a space by ``runs``. Texts where a run is empty or ends in white
+    space (several spaces in a row) are split as a whole.
     """
 
     def __init__(self, model: BpeModel, cache_words: int = CACHE_WORDS):
         self.model, self.most = model, cache_words
         self.split = regex.compile(SPLIT)
+        self.heads: dict[str, bytes | None] = {}
         self.runs: dict[str, bytes | None] = {}
         self.tokens: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.runs) + len(self.tokens) > self.most:
-            self.runs.clear()
-            self.tokens.clear()
-        cut = [self._cut(t) if t else [] for t in texts]
-        self._learn({r for c in cut if c for r in c} - self.runs.keys())
+        if len(self.heads) + len(self.runs) + len(self.tokens) > self.most:
+            for cache in (self.heads, self.runs, self.tokens):
+                cache.clear()
+        cut = [t.split(" ") if t and not self._special(t) else None for t in texts]
+        self._learn(self.heads, "", {c[0] for c in cut if c})
+        self._learn(self.runs, " ", set().union(*[c[1:] for c in cut if c]))
         return [self._join(t, c) for t, c in zip(texts, cut, strict=True)]
 
-    def _cut(self, text: str) -> list[str] | None:
-        if any(s in text for s in self.model.special):
-            return None
-        head, *rest = text.split(" ")
-        return [head, *[" " + r for r in rest]] if head else None
+    def _special(self, text: str) -> bool:
+        return any(s in text for s in self.model.special)
 
     def _join(self, text: str, cut: list[str] | None) -> bytes:
-        if cut is not None:
-            try:
-                return b"".join(map(self.runs.__getitem__, cut))
-            except TypeError:  # a run that must not be cut off
-                pass
-        if any(s in text for s in self.model.special):
+        if not text:
+            return b""
+        if cut is None:
             return np.array(self.model.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        parts = self.split.findall(text)
-        self._merge({p for p in parts if p not in self.tokens})
-        return b"".join(map(self.tokens.__getitem__, parts))
-
-    def _learn(self, runs: set[str]) -> None:
-        single: list[str] = []
-        several: list[tuple[str, list[str]]] = []
-        for r in runs:
-            if r[-1:].isspace():
-                self.runs[r] = None
-            elif (r[1:] if r[0] == " " else r).isalpha():
-                single.append(r)
+        try:
+            head = self.heads[cut[0]]
+            cut[0] = cut[-1]
+            parts = list(map(self.runs.__getitem__, cut)) if len(cut) > 1 else [head]
+            parts[0] = head
+            return b"".join(parts)
+        except TypeError:  # a run that must not be cut off
+            parts = self.split.findall(text)
+            self._merge(self.tokens, "", set(parts).difference(self.tokens))
+            return b"".join(map(self.tokens.__getitem__, parts))
+
+    def _learn(self, cache: dict[str, bytes | None], before: str, runs: set[str]) -> None:
+        """Add runs to a cache; a run of letters, maybe with one mark behind, needs no split."""
+        words: set[str] = set()
+        marked: list[str] = []
+        others: list[tuple[str, list[str]]] = []
+        for r in runs.difference(cache):
+            if r.isalpha():
+                words.add(r)
+            elif not r or r[-1].isspace():
+                cache[r] = None
+            elif r[-1] in MARKS and r[:-1].isalpha():
+                words.add(r[:-1])
+                marked.append(r)
             else:
-                several.append((r, self.split.findall(r)))
-        if single:
-            self.runs.update(zip(single, self._ids(single), strict=True))
-        self._merge({p for _, parts in several for p in parts if p not in self.tokens})
-        for r, parts in several:
-            self.runs[r] = b"".join(map(self.tokens.__getitem__, parts))
-
-    def _merge(self, parts: set[str]) -> None:
-        if parts:
-            todo = list(parts)
-            self.tokens.update(zip(todo, self._ids(todo), strict=True))
-
-    def _ids(self, words: list[str]) -> list[bytes]:
-        ids, at = encode_words(self.model, [w.encode() for w in words])
-        blob, ends = ids.astype("<u4").tobytes(), (at * 4).tolist()
-        return [blob[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+                others.append((r, self.split.findall(before + r)))
+        self._merge(cache, before, words.difference(cache))
+        self._merge(self.tokens, "", {p for _, parts in others for p in parts}.union(MARKS).difference(self.tokens))
+        for r in marked:
+            cache[r] = cache[r[:-1]] + self.tokens[r[-1]]
+        for r, parts in others:
+            cache[r] = b"".join(map(self.tokens.__getitem__, parts))
+
+    def _merge(self, cache: dict, before: str, words: set[str]) -> None:
+        if words:
+            todo = list(words)
+            ids, at = encode_words(self.model, [(before + w).encode() for w in todo])
+            blob, ends = ids.astype("<u4").tobytes(), (at * 4).tolist()
+            cache.update(zip(todo, [blob[a:b] for a, b in zip(ends, ends[1:], strict=False)], strict=True))
 
 
 class Packer:
@@ -202,9 +211,10 @@ def pack_documents(
         raise ValueError("tiers must be powers of two, longest first")
     model = ship_package(docs.sparkSession).sparkContext.broadcast(load_model(tokenizer_path))
     end = np.array([end_id], "<u4").tobytes()
+    key = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ByteLevelEncoder(model.value)
+        encoder = kept_in_worker(key, lambda: ByteLevelEncoder(model.value))
         packer = Packer(TaskContext.get().partitionId(), tiers, step_tokens)
         for batch in batches:
             doc_ids = batch.column("doc_id").to_pylist()
