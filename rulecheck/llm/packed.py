@@ -38,3 +38,9 @@ def unpack_places(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         cells = flat[lo * n : (lo + width) * n].reshape(width, n).T
         out.append(np.cumsum(np.ascontiguousarray(cells).view(kind).ravel(), dtype=kind))
     return out[0], out[1], out[2]
+
+
+def home_of(key: np.ndarray, homes: int) -> np.ndarray:
+    """The partition in which all facts about a document meet."""
+    x = key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return bucket_of(x ^ (x >> np.uint64(31)), homes)

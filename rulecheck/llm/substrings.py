@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from rulecheck.llm.common import partitions, ship_package, stage
 from rulecheck.llm.kernels import mix, rolling, slices, text_buffer, window_starts, words
-from rulecheck.llm.packed import bucket_of, pack_places, segments, unpack_places
+from rulecheck.llm.packed import bucket_of, home_of, pack_places, segments, unpack_places
 
 WINDOW = 20
 BLOCK = WINDOW // 2
@@ -92,7 +92,7 @@ def _index_and_probes(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterat
 _BUCKET = pa.schema([("bucket", pa.int32()), ("probes", pa.binary()), ("blocks", pa.binary()), ("places", pa.binary())])
 
 
-def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _anchors(homes: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One bucket: the reference blocks whose words occur at least twice."""
     probes, blocks, places = [], [], []
     for batch in batches:
@@ -110,20 +110,46 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     del every
     if not len(again):
         return
+    found = []
     for value, packed in zip(blocks, places, strict=True):
         at = np.minimum(np.searchsorted(again, value), len(again) - 1)
         hit = again[at] == value
         if hit.any():
-            key, tie, pos = unpack_places(packed)
-            yield from _rows(key[hit], tie[hit], pos[hit])
+            found.append([x[hit] for x in unpack_places(packed)])
+    if found:
+        yield from _homeward(homes, *[np.concatenate([f[i] for f in found]) for i in range(3)])
 
 
-def _rows(key: np.ndarray, tie: np.ndarray, pos: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """One row per document with the list of its positions (input sorted by document)."""
+def _homeward(homes: int, key: np.ndarray, tie: np.ndarray, pos: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Places dealt to the homes of their documents, one compact row per home."""
+    if len(key):
+        home = home_of(key, homes)
+        order = np.lexsort((pos, tie, key, home))
+        out: dict[str, list] = {"home": [], "places": []}
+        for lo, hi in segments(home[order]):
+            o = order[lo:hi]
+            out["home"].append(int(home[o[0]]))
+            out["places"].append(pack_places(key[o], tie[o], pos[o]))
+        yield pa.RecordBatch.from_pydict(out, schema=_HOME)
+
+
+_HOME = pa.schema([("home", pa.int32()), ("places", pa.binary())])
+
+
+def _at_home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One home: one row per document with the sorted list of its positions."""
+    places = [unpack_places(p) for batch in batches for p in batch.column("places").to_pylist()]
+    if not places:
+        return
+    key, tie, pos = (np.concatenate([p[i] for p in places]) for i in range(3))
+    del places
+    order = np.lexsort((pos, tie, key))
+    key, tie, pos = key[order], tie[order], pos[order]
     new = np.flatnonzero((np.diff(key, prepend=key[:1] - 1) != 0) | (np.diff(tie, prepend=tie[:1] - 1) != 0))
-    at = pa.array(np.append(new, len(key)), pa.int32())
-    lists = pa.ListArray.from_arrays(at, pa.array(pos, pa.int32()))
-    yield pa.RecordBatch.from_arrays([pa.array(key[new]), pa.array(tie[new]), lists], names=["_k", "_h", "at"])
+    for lo in range(0, len(new), 4096):
+        part = np.append(new, len(key))[lo : lo + 4097]
+        lists = pa.ListArray.from_arrays(pa.array(part - part[0], pa.int32()), pa.array(pos[part[0] : part[-1]], pa.int32()))
+        yield pa.RecordBatch.from_arrays([pa.array(key[part[:-1]]), pa.array(tie[part[:-1]]), lists], names=["_k", "_h", "at"])
 
 
 def _windows(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,8 +162,8 @@ def _windows(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Rec
             n_words = len(w.starts)
             marked = np.zeros(n_words + 1, np.int32)
             lists = batch.column("at")
-            lens = np.array([sum(map(len, x)) for x in lists.to_pylist()], np.int64)
-            flat = lists.flatten().flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            lens = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
             row = np.repeat(np.arange(len(batch)), lens)
             lo = w.rows[row] + np.maximum(flat - BLOCK, 0)
             hi = np.minimum(w.rows[row] + flat + 1, w.rows[row + 1] - WINDOW + 1)
@@ -185,16 +211,18 @@ def _pack_windows(bucket: np.ndarray, value: np.ndarray, key: np.ndarray, tie: n
     yield pa.RecordBatch.from_pydict(out, schema=_WINDOW)
 
 
-def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One bucket: all windows but the earliest of each word sequence, as positions by document."""
-    values, places = [], []
+def _repeats(homes: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One bucket: all windows but the earliest of each word sequence, sent to their documents' homes."""
+    values, places, settled = [], [], []
     for batch in batches:
         for h, p in zip(batch.column("hashes").to_pylist(), batch.column("places").to_pylist(), strict=True):
             if h:
                 values.append(np.frombuffer(h, np.uint64))
                 places.append(unpack_places(p))
             else:
-                yield from _rows(*unpack_places(p))
+                settled.append(unpack_places(p))
+    if settled:
+        yield from _homeward(homes, *[np.concatenate([p[i] for p in settled]) for i in range(3)])
     if not values:
         return
     value = np.concatenate(values)
@@ -205,10 +233,7 @@ def _repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     first = np.concatenate([[True], value[1:] != value[:-1]])
     leader = np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))
     later = (key != key[leader]) | (tie != tie[leader]) | (pos != pos[leader])
-    key, tie, pos = key[later], tie[later], pos[later]
-    if len(key):
-        order = np.lexsort((pos, tie, key))
-        yield from _rows(key[order], tie[order], pos[order])
+    yield from _homeward(homes, key[later], tie[later], pos[later])
 
 
 def spans(starts: np.ndarray, width: int) -> list[tuple[int, int]]:
@@ -229,7 +254,7 @@ def _cut(kind: pa.DataType, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
             kept, n_words, removed, ranges = [], [], [], []
             for text, at in zip(part.column("text").to_pylist(), part.column("at").to_pylist(), strict=True):
                 w = (text or "").encode().split()
-                cut = spans(np.concatenate([np.array(a, np.int64) for a in at]), WINDOW) if at else []
+                cut = spans(np.array(at, np.int64), WINDOW) if at else []
                 n_words.append(len(w))
                 removed.append(sum(b - a for a, b in cut))
                 ranges.append([{"start": a, "end": b} for a, b in cut])
@@ -255,16 +280,16 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         F.struct(*others).alias("_rest"),
     )
     ranges = "array<struct<start:bigint,end:bigint>>"
-    place = "_k bigint, _h int, at array<int>"
+    place, sent = "_k bigint, _h int, at array<int>", "home int, places binary"
 
     probes = keyed.select("_k", "_h", "text").mapInArrow(lambda b: _index_and_probes(buckets, b), "bucket int, probes binary, blocks binary, places binary")
-    anchors = stage(probes.repartitionById(buckets, "bucket").mapInArrow(_anchors, place), "anchors")
-    by_document = anchors.groupBy("_k", "_h").agg(F.collect_list("at").alias("at"))
-    windows = keyed.join(by_document, ["_k", "_h"], "left").select("_k", "_h", "text", "_rest", "at")
+    anchors = probes.repartitionById(buckets, "bucket").mapInArrow(lambda b: _anchors(buckets, b), sent)
+    anchors = stage(anchors, "anchors").repartitionById(buckets, "home").mapInArrow(_at_home, place)
+    windows = keyed.join(anchors, ["_k", "_h"], "left").select("_k", "_h", "text", "_rest", "at")
     windows = windows.mapInArrow(lambda b: _windows(buckets, b), "bucket int, hashes binary, places binary")
-    repeats = windows.repartitionById(buckets, "bucket").mapInArrow(_repeats, place)
-    by_document = repeats.groupBy("_k", "_h").agg(F.collect_list("at").alias("at"))
-    found = keyed.join(by_document, ["_k", "_h"], "left").select("_k", "_h", "text", "_rest", "at")
+    repeats = windows.repartitionById(buckets, "bucket").mapInArrow(lambda b: _repeats(buckets, b), sent)
+    repeats = repeats.repartitionById(buckets, "home").mapInArrow(_at_home, place)
+    found = keyed.join(repeats, ["_k", "_h"], "left").select("_k", "_h", "text", "_rest", "at")
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     rest = found.schema["_rest"].dataType.simpleString()
     return found.mapInArrow(lambda b: _cut(kind, b), f"_rest {rest}, text string, n_words bigint, n_removed bigint, removed {ranges}")
@@ -280,11 +305,11 @@ def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP4_SQL = r"""
 WITH w AS (SELECT doc_id, string_split_regex(trim(regexp_replace(COALESCE(text, ''), '[\x20\x09-\x0D]+', ' ', 'g'), ' '), ' ') AS words FROM documents),
 n AS (SELECT doc_id, CASE WHEN words = [''] THEN [] ELSE words END AS words FROM w),
-s AS (SELECT doc_id, words, UNNEST(range(0, len(words) - 19)) AS p FROM n),
-g AS (SELECT doc_id, p, row_number() OVER (PARTITION BY md5(array_to_string(words[p + 1 : p + 20], ' ')) ORDER BY doc_id, p) AS r FROM s),
+e AS (SELECT doc_id, len(words) AS n, UNNEST(words) AS word, UNNEST(range(0, len(words))) AS i FROM n),
+s AS (SELECT doc_id, n, i AS p, md5(string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)) AS h FROM e),
+g AS (SELECT doc_id, p, row_number() OVER (PARTITION BY h ORDER BY doc_id, p) AS r FROM s WHERE p + 20 <= n),
 c AS (SELECT DISTINCT doc_id, UNNEST(range(p, p + 20)) AS i FROM g WHERE r > 1),
-e AS (SELECT doc_id, words, UNNEST(range(0, len(words))) AS i FROM n),
-k AS (SELECT e.doc_id, string_agg(e.words[e.i + 1], ' ' ORDER BY e.i) AS kept, COUNT(*) AS n_kept
+k AS (SELECT e.doc_id, string_agg(e.word, ' ' ORDER BY e.i) AS kept, COUNT(*) AS n_kept
       FROM e ANTI JOIN c ON e.doc_id = c.doc_id AND e.i = c.i GROUP BY e.doc_id)
 SELECT n.doc_id, CAST(len(n.words) AS BIGINT) AS n_words, CAST(len(n.words) - COALESCE(k.n_kept, 0) AS BIGINT) AS n_removed,
   sha256(COALESCE(k.kept, '')) AS kept_sha256
