@@ -45,7 +45,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rulecheck.llm.common import partitions, ship_package, stage
@@ -468,6 +468,16 @@ def jaccard_components(docs: DataFrame, num: int = NUM, den: int = DEN) -> DataF
     return linked.unionByName(alone)
 
 
+def keep_first(docs: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
+    """Rows of ``docs``, all columns, without the documents that link (over any number of
+    links) to one of smaller ``doc_id``; of repeated rows one stays. Texts without words stay."""
+    found = jaccard_components(docs, num, den)
+    first = found.where("_k = first_k AND _h = first_h").select("_k", "_h", "n").distinct()
+    kept = keyed(docs).join(first, ["_k", "_h"])
+    copy = F.row_number().over(Window.partitionBy("_k", "_h").orderBy(F.lit(0)))
+    return kept.withColumn("copy", copy).where("copy = 1 OR n = 0").select("_rest.*")
+
+
 def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract query: set size and component of every document."""
     found = jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))

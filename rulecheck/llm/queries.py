@@ -14,6 +14,7 @@ from rulecheck.llm.language import op6_language
 from rulecheck.llm.packing import op9_packing
 from rulecheck.llm.quality import op3_quality
 from rulecheck.llm.substrings import OP4_SQL, op4_substrings
+from rulecheck.llm.warc import op8_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_substrings": op4_substrings,
     "op6_language": op6_language,
     "op7_jaccard": op7_jaccard,
+    "op8_warc": op8_warc,
     "op9_packing": op9_packing,
     "op10_encoding": op10_encoding,
 }
