@@ -2,8 +2,12 @@
 
 Every query registers the driver's parquet tables (``sf_dir``) as
 ``global_temp`` views and works on them: rules run over the whole tables, and
-the rule catalog itself is partly derived by Spark from ``supplier`` (one rule
-per supplier), so catalog work grows with the data too.
+the rule catalog holds one row per supplier derived by Spark from ``supplier``
+(queue 6, read, selected, rendered and ordered, never run) and one rule per
+region (queue 3), next to the hand-written rules.
+
+Results that are not written to a sink are lazy: they read the rows that the
+run staged below the checkpoint folder, which therefore stay.
 
 Run-level queries return the comparable part of the results table: the 19
 result columns without the three timestamps (the ``execution_times`` query
@@ -16,22 +20,21 @@ from __future__ import annotations
 
 import importlib.util
 import os
-import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rulecheck.operators.execute import RunContext, execute_rule
 from rulecheck.operators.normalise import uppercase_columns
 from rulecheck.plans.run import RunConfig, RunResult, assemble_results, run_queue, tally_frame
 from rulecheck.schema import RESULT_COLUMNS, TIME_COLUMNS
-from rulecheck.session import checkpoint_root, ensure_checkpoint_dir, new_staging_dir
+from rulecheck.session import checkpoint_root, ensure_checkpoint_dir, new_staging_dir, non_ansi
 from rulecheck.sinks.results import ParquetSink
 from rulecheck.functions.measures import measure_to_long, sor_label
 from rulecheck.functions.render import render_placeholders, unresolved_placeholders
-from rulecheck.sources.catalog import collect_rules, prepared_rules, project_catalog, select_rules
+from rulecheck.sources.catalog import collect_rules, count_rules, number_rules, prepared_rules, project_catalog, select_rules
 from rulecheck.sources.tables import register_parquet_tables
 from rulecheck.testing import corpus as C
 from rulecheck.testing import oracle as O
@@ -43,8 +46,8 @@ FLAGSHIP_SF_DIR = "/root/testdata/sf0.001"
 # helpers
 # ---------------------------------------------------------------------------
 def _prepare(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Register the tables and return the test catalog (corpus + supplier family)."""
-    ensure_checkpoint_dir(spark, lambda: tempfile.mkdtemp(prefix="rulecheck-ckpt-"))
+    """Register the tables and return the test catalog (corpus, region and supplier rows)."""
+    ensure_checkpoint_dir(spark)
     register_parquet_tables(spark, sf_dir, C.TABLES)
     return C.test_catalog(spark)
 
@@ -80,7 +83,7 @@ def comparable(results: DataFrame, with_times: bool = False) -> DataFrame:
     return results.select(*cols)
 
 
-def _run_rules(chk_ids: list[str], queue: int = C.QUEUE) -> Callable[[SparkSession, str], DataFrame]:
+def _run_rules(chk_ids: list[str] | None, queue: int = C.QUEUE) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         return comparable(_run(spark, sf_dir, chk_ids, queue).results)
 
@@ -95,17 +98,27 @@ def _scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/rulecheck-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _stored_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The test catalog as a stored table, so selections reach its scan."""
+    path = _scratch(spark, "catalog")
+    _prepare(spark, sf_dir).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _selected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Active rules of queues 1 and 6 (domain FMR): selected on the stored values, then projected."""
+    stored = _stored_catalog(spark, sf_dir)
+    parts = [project_catalog(select_rules(stored, queue, C.DOMAIN)) for queue in (C.QUEUE, C.SUPPLIER_QUEUE)]
+    return parts[0].unionByName(parts[1])
+
+
 # ---------------------------------------------------------------------------
 # sources / sinks
 # ---------------------------------------------------------------------------
 def q_rule_catalog_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The catalog as a stored table, read back with the queue selection
     pushed into the scan."""
-    catalog = _prepare(spark, sf_dir)
-    path = _scratch(spark, "catalog")
-    catalog.write.parquet(path)
-    stored = spark.read.parquet(path)
-    return project_catalog(select_rules(stored, C.FAMILY_QUEUE, C.DOMAIN))
+    return project_catalog(select_rules(_stored_catalog(spark, sf_dir), C.SUPPLIER_QUEUE, C.DOMAIN))
 
 
 def q_target_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,31 +127,31 @@ def q_target_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_results_sink_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A run appended to a parquet results table, read back."""
-    sink = ParquetSink(_scratch(spark, "results"))
-    run = _run(spark, sf_dir, ["C01", "C05", "C13"], sink=sink)
-    assert run.written
+    """The queue-1 run appended to a results table partitioned by business date,
+    read back (the staged rows are gone by then)."""
+    sink = ParquetSink(_scratch(spark, "results"), partition_by=("RUN_FIC_MIS_DATE",))
+    run = _run(spark, sf_dir, sink=sink)
+    assert run.written and run.staging_dir is None
     return comparable(sink.read(spark))
 
 
 def q_typed_result_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The typed 19-column result frame (times as text under the test clock)."""
-    return comparable(_run(spark, sf_dir, ["C05", "C13"]).results, with_times=True)
+    """The typed 19-column result frame of the queue-1 run (times as text under the test clock)."""
+    return comparable(_run(spark, sf_dir).results, with_times=True)
 
 
 # ---------------------------------------------------------------------------
 # filters / checks
 # ---------------------------------------------------------------------------
 def q_rule_select(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Active rules of queue 1 and of queue 3 (domain FMR)."""
-    catalog = project_catalog(_prepare(spark, sf_dir))
-    return select_rules(catalog, C.QUEUE, C.DOMAIN).unionByName(select_rules(catalog, C.FAMILY_QUEUE, C.DOMAIN))
+    """Active rules of queue 1 and of the supplier rows (domain FMR)."""
+    return _selected(spark, sf_dir)
 
 
 def q_empty_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A queue with no active rule (queue 3 in domain EIDF) gives an empty result."""
-    run = _run(spark, sf_dir, queue=C.FAMILY_QUEUE, domain="EIDF")
-    return comparable(run.results)
+    """The suppliers' queue has no active row in domain EIDF, which only their
+    balances tell; the run is empty."""
+    return comparable(run_queue(spark, _stored_catalog(spark, sf_dir), _config(C.SUPPLIER_QUEUE, "EIDF")).results)
 
 
 def q_summary_contract_check(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,10 +173,11 @@ def q_catalog_wildcard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_summary_uppercase_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A summary with lower-case names, upper-cased."""
+    """A summary with lower-case names, upper-cased as a run does first."""
     catalog = _prepare(spark, sf_dir).where(F.col("DQ_CHK_ID") == "C01")
     rule = collect_rules(prepared_rules(catalog, C.QUEUE, C.DOMAIN, C.FIC_MIS_DATE, C.AS_OF_DT))[0]
-    summary = uppercase_columns(spark.sql(rule.rendered_sql))
+    with non_ansi(spark):
+        summary = uppercase_columns(spark.sql(rule.rendered_sql))
     return summary.select(
         F.col("SOR").cast("string").alias("SOR"),
         F.col("TOTAL_COUNT").cast("bigint").alias("TOTAL_COUNT"),
@@ -174,14 +188,14 @@ def q_summary_uppercase_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_run_metadata_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rule keys and run parameters stamped on every result row."""
-    res = _run(spark, sf_dir, ["C01", "C02", "C20"]).results
+    """Rule keys and run parameters stamped on every result row of the queue-1 run."""
+    res = _run(spark, sf_dir).results
     return res.select("DQ_ID", "DQ_CHK_ID", "DQ_QUEUE_ID", "EXECUTION_ID", "RUN_FIC_MIS_DATE", "RUN_AS_OF_DT", "RUN_DMN", "SOR")
 
 
 def q_result_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The result layout for grouped and rolled-up summaries."""
-    return comparable(_run(spark, sf_dir, ["C01", "C09"]).results)
+    """The result layout of every rule of queue 1."""
+    return comparable(_run(spark, sf_dir).results)
 
 
 # ---------------------------------------------------------------------------
@@ -226,18 +240,33 @@ def q_measure_to_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_sor_default(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labels of a ROLLUP over customer: null labels and the numeric label 0 give 'NA'."""
+    """Label text of every type a summary may hold: a ROLLUP's null labels and the
+    number 0, and per customer and order floats, doubles over the whole range of
+    exponents, timestamps with and without a fraction, and empty values."""
     _prepare(spark, sf_dir)
     cube = spark.sql(
         "SELECT c_mktsegment AS seg, c_nationkey AS nation, COUNT(*) AS n "
         "FROM global_temp.customer GROUP BY ROLLUP(c_mktsegment, c_nationkey)"
     )
-    return cube.select(
-        sor_label(F.col("seg"), cube.schema["seg"].dataType).alias("SEGMENT_LABEL"),
-        sor_label(F.col("nation"), cube.schema["nation"].dataType).alias("NATION_LABEL"),
-        F.col("n").cast("bigint").alias("N"),
+    values = spark.sql(
+        "SELECT c_custkey AS k, CAST(c_acctbal AS FLOAT) AS f, c_acctbal * power(10, c_custkey % 31 - 15) AS d, c_acctbal < 0 AS b, "
+        "timestamp_micros(1700000000000000 + c_custkey * 250000) AS t, CAST('' AS BINARY) AS e, slice(array(1), 1, 0) AS a "
+        "FROM global_temp.customer"
     )
 
+    def label(df: DataFrame, name: str):
+        return sor_label(F.col(name), df.schema[name].dataType)
+
+    rolled = cube.select(
+        F.lit(None).cast("bigint").alias("CUSTOMER"), label(cube, "seg").alias("LABEL_1"), label(cube, "nation").alias("LABEL_2"),
+        F.lit("").alias("LABEL_3"), F.lit("").alias("LABEL_4"), F.lit("").alias("LABEL_5"), F.col("n").cast("bigint").alias("N"),
+    )
+    typed = values.select(
+        F.col("k").alias("CUSTOMER"), label(values, "f").alias("LABEL_1"), label(values, "d").alias("LABEL_2"), label(values, "b").alias("LABEL_3"),
+        label(values, "t").alias("LABEL_4"), F.concat(label(values, "e"), label(values, "a")).alias("LABEL_5"), F.lit(0).cast("bigint").alias("N"),
+    )
+    return rolled.unionByName(typed)
+
 
 def q_fail_count_pct(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact half-even count percentages of a per-customer summary."""
@@ -264,7 +293,7 @@ def q_error_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_execution_id_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Without an execution id, one random UUID stamps every row of the run."""
-    res = _run(spark, sf_dir, ["C01", "C05", "C13"], execution_id=None).results
+    res = _run(spark, sf_dir, execution_id=None).results
     uuid_re = r"^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$"
     return res.agg(
         F.count_distinct("EXECUTION_ID").cast("bigint").alias("N_EXECUTION_IDS"),
@@ -275,7 +304,7 @@ def q_execution_id_default(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_execution_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Start before the rule, end after its rows, created = end (ticking test clock)."""
-    res = _run(spark, sf_dir, ["C01", "C05", "C13"]).results
+    res = _run(spark, sf_dir).results
     return res.select("DQ_ID", "SOR", *[F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in TIME_COLUMNS])
 
 
@@ -288,10 +317,8 @@ def q_rule_key_coercion(spark: SparkSession, sf_dir: str) -> DataFrame:
 # aggregations
 # ---------------------------------------------------------------------------
 def q_rule_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Number of selected rules per queue (queues 1 and 3, domain FMR)."""
-    catalog = project_catalog(_prepare(spark, sf_dir))
-    sel = select_rules(catalog, C.QUEUE, C.DOMAIN).unionByName(select_rules(catalog, C.FAMILY_QUEUE, C.DOMAIN))
-    return sel.groupBy("DQ_QUEUE_ID").agg(F.count(F.lit(1)).cast("bigint").alias("RULE_COUNT"))
+    """Number of selected rules per queue (queues 1 and 6, domain FMR)."""
+    return count_rules(_selected(spark, sf_dir))
 
 
 def q_run_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -300,19 +327,17 @@ def q_run_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_result_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows about to be written by the queue-1 run."""
-    return _run(spark, sf_dir).results.agg(F.count(F.lit(1)).cast("bigint").alias("RESULT_ROWS"))
+    """Rows about to be written by the queue-1 run, as the run itself counted them."""
+    run = _run(spark, sf_dir)
+    return spark.createDataFrame([(run.tally["RESULT_ROWS"],)], "RESULT_ROWS bigint")
 
 
 # ---------------------------------------------------------------------------
 # order / set / dataflow
 # ---------------------------------------------------------------------------
 def q_rule_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Execution order within each queue (DQ_ID, then DQ_CHK_ID)."""
-    catalog = project_catalog(_prepare(spark, sf_dir))
-    sel = select_rules(catalog, C.QUEUE, C.DOMAIN).unionByName(select_rules(catalog, C.FAMILY_QUEUE, C.DOMAIN))
-    w = Window.partitionBy("DQ_QUEUE_ID").orderBy(F.col("DQ_ID").asc(), F.col("DQ_CHK_ID").asc())
-    return sel.select("DQ_QUEUE_ID", "DQ_ID", "DQ_CHK_ID", F.row_number().over(w).cast("bigint").alias("EXEC_ORDER"))
+    """Execution order within each queue (DQ_ID, then DQ_CHK_ID), as a run numbers its rules."""
+    return number_rules(_selected(spark, sf_dir)).select("DQ_QUEUE_ID", "DQ_ID", "DQ_CHK_ID", (F.col("RULE_SEQ") + 1).alias("EXEC_ORDER"))
 
 
 def q_rule_execute(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -332,9 +357,9 @@ def q_rule_queue_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_rule_queue_run_generated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """O32 over the supplier-derived queue: one rule per active supplier."""
+    """O32 over the region-derived queue: one rule per region, one result row per supplier."""
     catalog = _prepare(spark, sf_dir)
-    config = RunConfig(C.FAMILY_QUEUE, C.DOMAIN, C.FIC_MIS_DATE, C.AS_OF_DT, C.EXECUTION_ID, C.TickingClock(), 4)
+    config = RunConfig(C.REGION_QUEUE, C.DOMAIN, C.FIC_MIS_DATE, C.AS_OF_DT, C.EXECUTION_ID, C.TickingClock(), 4)
     return comparable(run_queue(spark, catalog, config).results)
 
 
@@ -372,7 +397,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_tally": q_run_tally,
     "result_row_count": q_result_row_count,
     "rule_order": q_rule_order,
-    "result_union_all": _run_rules(["C01", "C02", "C13", "C16"]),
+    "result_union_all": _run_rules(None),
     "rule_execute": q_rule_execute,
     "rule_failure_row": _run_rules(["C12", "C13", "C14", "C15", "C16", "C17", "C18", "C19", "C20"]),
     "rule_queue_run": q_rule_queue_run,
@@ -383,28 +408,25 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 def _oracles() -> dict[str, str]:
     render = O.rendered_expr()
-    sel_1_3 = f"SELECT * FROM {O.selected(C.QUEUE)} UNION ALL SELECT * FROM {O.selected(C.FAMILY_QUEUE)}"
+    both = f"SELECT * FROM {O.selected(C.QUEUE)} UNION ALL SELECT * FROM {O.selected(C.SUPPLIER_QUEUE)}"
     projected = (
         "SELECT CAST(DQ_ID AS BIGINT) AS DQ_ID, COALESCE(DQ_CHK_ID, 'None') AS DQ_CHK_ID, "
         "CAST(DQ_QUEUE_ID AS BIGINT) AS DQ_QUEUE_ID, DQ_LRI, DQ_DMN, DQ_SCHEMA, DQ_SOR, DQ_SQL"
     )
     queue1_rows = O.rules_rows_sql(_QUEUE1)
+    times = f"SELECT DQ_ID, {O.ticking_times_sql('DQ_ID')} FROM (SELECT CAST(DQ_ID AS BIGINT) AS DQ_ID FROM {O.selected(C.QUEUE)}) k"
     return {
-        "rule_catalog_scan": O.with_catalog(f"{projected} FROM {O.selected(C.FAMILY_QUEUE)} c"),
+        "rule_catalog_scan": O.with_catalog(f"{projected} FROM {O.selected(C.SUPPLIER_QUEUE)} c"),
         "target_table_scan": _rules_oracle(["C03"]),
-        "results_sink_append": _rules_oracle(["C01", "C05", "C13"]),
+        "results_sink_append": O.with_catalog(queue1_rows),
         "typed_result_frame": O.with_catalog(
-            "SELECT r.*, "
-            + O.ticking_times_sql("r.DQ_ID")
-            + ", strftime(TIMESTAMP '"
-            + C.CLOCK_START.isoformat(sep=" ")
-            + "' + to_seconds(2 * (row_number() OVER (ORDER BY r.DQ_ID) - 1) + 1), '%Y-%m-%d %H:%M:%S') AS CREATED_DT "
-            f"FROM ({O.rules_rows_sql(['C05', 'C13'])}) r"
+            "SELECT r.*, t.EXECUTION_START_DT, t.EXECUTION_END_DT, t.EXECUTION_END_DT AS CREATED_DT "
+            f"FROM ({queue1_rows}) r JOIN ({times}) t ON r.DQ_ID = t.DQ_ID"
         ),
-        "rule_select": O.with_catalog(f"{projected} FROM ({sel_1_3}) c"),
+        "rule_select": O.with_catalog(f"{projected} FROM ({both}) c"),
         "empty_queue": O.with_catalog(
             f"SELECT r.* FROM ({O.rules_rows_sql(['C01'])}) r WHERE EXISTS "
-            f"(SELECT 1 FROM {O.selected(C.FAMILY_QUEUE, 'EIDF')} s)"
+            f"(SELECT 1 FROM {O.selected(C.SUPPLIER_QUEUE, 'EIDF')} s)"
         ),
         "summary_contract_check": _rules_oracle(["C01", "C10", "C11"]),
         "summary_zero_rows": _rules_oracle(["C07", "C08"]),
@@ -417,9 +439,9 @@ def _oracles() -> dict[str, str]:
         ),
         "run_metadata_stamp": O.with_catalog(
             "SELECT DQ_ID, DQ_CHK_ID, DQ_QUEUE_ID, EXECUTION_ID, RUN_FIC_MIS_DATE, RUN_AS_OF_DT, RUN_DMN, SOR "
-            f"FROM ({O.rules_rows_sql(['C01', 'C02', 'C20'])}) r"
+            f"FROM ({queue1_rows}) r"
         ),
-        "result_projection": _rules_oracle(["C01", "C09"]),
+        "result_projection": O.with_catalog(queue1_rows),
         "placeholder_render": O.with_catalog(
             f"SELECT CAST(DQ_ID AS BIGINT) AS DQ_ID, DQ_CHK_ID, {render} AS RENDERED_SQL FROM catalog"
         ),
@@ -435,10 +457,15 @@ def _oracles() -> dict[str, str]:
             "CAST(CASE WHEN c_acctbal < 0 THEN 1 ELSE 0 END AS BIGINT) AS NEGATIVE_FLAG FROM customer"
         ),
         "sor_default": (
-            "SELECT CASE WHEN seg IS NULL OR seg = '' THEN 'NA' ELSE seg END AS SEGMENT_LABEL, "
-            "CASE WHEN nation IS NULL OR nation = 0 THEN 'NA' ELSE CAST(nation AS VARCHAR) END AS NATION_LABEL, "
+            "SELECT CAST(NULL AS BIGINT) AS CUSTOMER, CASE WHEN seg IS NULL OR seg = '' THEN 'NA' ELSE seg END AS LABEL_1, "
+            "CASE WHEN nation IS NULL OR nation = 0 THEN 'NA' ELSE CAST(nation AS VARCHAR) END AS LABEL_2, '' AS LABEL_3, '' AS LABEL_4, '' AS LABEL_5, "
             "CAST(n AS BIGINT) AS N FROM (SELECT c_mktsegment AS seg, c_nationkey AS nation, COUNT(*) AS n "
-            "FROM customer GROUP BY ROLLUP(c_mktsegment, c_nationkey)) t"
+            "FROM customer GROUP BY ROLLUP(c_mktsegment, c_nationkey)) t UNION ALL "
+            "SELECT c_custkey, CASE WHEN c_acctbal = 0 THEN 'NA' ELSE CAST(CAST(CAST(c_acctbal AS FLOAT) AS DOUBLE) AS VARCHAR) END, "
+            "CASE WHEN c_acctbal = 0 THEN 'NA' ELSE CAST(c_acctbal * power(10, c_custkey % 31 - 15) AS VARCHAR) END, "
+            "CASE WHEN c_acctbal < 0 THEN 'True' ELSE 'NA' END, "
+            "strftime(make_timestamp(1700000000000000 + c_custkey * 250000), CASE WHEN c_custkey % 4 = 0 THEN '%Y-%m-%d %H:%M:%S' ELSE '%Y-%m-%d %H:%M:%S.%f' END), "
+            "'NANA', CAST(0 AS BIGINT) FROM customer"
         ),
         "fail_count_pct": O.with_catalog(
             f"SELECT SOR, TOTAL_COUNT, FAIL_COUNT, FAIL_COUNT_PERCENTAGE FROM ({O.rules_rows_sql(['C26'])}) r"
@@ -456,15 +483,11 @@ def _oracles() -> dict[str, str]:
         ),
         "execution_id_default": O.with_catalog(
             "SELECT CAST(1 AS BIGINT) AS N_EXECUTION_IDS, true AS IS_UUID4, CAST(COUNT(*) AS BIGINT) AS RESULT_ROWS "
-            f"FROM ({O.rules_rows_sql(['C01', 'C05', 'C13'])}) r"
+            f"FROM ({queue1_rows}) r"
         ),
         "execution_times": O.with_catalog(
-            "SELECT DQ_ID, SOR, EXECUTION_START_DT, EXECUTION_END_DT, EXECUTION_END_DT AS CREATED_DT FROM ("
-            "SELECT r.DQ_ID, r.SOR, t.EXECUTION_START_DT, t.EXECUTION_END_DT FROM "
-            f"({O.rules_rows_sql(['C01', 'C05', 'C13'])}) r JOIN "
-            f"(SELECT DQ_ID, {O.ticking_times_sql('DQ_ID')} FROM "
-            "(SELECT DISTINCT CAST(DQ_ID AS BIGINT) AS DQ_ID FROM catalog WHERE DQ_CHK_ID IN ('C01', 'C05', 'C13')) k) t "
-            "ON r.DQ_ID = t.DQ_ID) x"
+            "SELECT r.DQ_ID, r.SOR, t.EXECUTION_START_DT, t.EXECUTION_END_DT, t.EXECUTION_END_DT AS CREATED_DT "
+            f"FROM ({queue1_rows}) r JOIN ({times}) t ON r.DQ_ID = t.DQ_ID"
         ),
         "rule_key_coercion": O.with_catalog(
             "SELECT CAST(DQ_ID AS BIGINT) AS DQ_ID, COALESCE(DQ_CHK_ID, 'None') AS DQ_CHK_ID, "
@@ -474,7 +497,7 @@ def _oracles() -> dict[str, str]:
         "rule_summary_by_sor": _rules_oracle(["C01", "C03", "C09"]),
         "rule_count": O.with_catalog(
             "SELECT CAST(DQ_QUEUE_ID AS BIGINT) AS DQ_QUEUE_ID, CAST(COUNT(*) AS BIGINT) AS RULE_COUNT "
-            f"FROM ({sel_1_3}) s GROUP BY DQ_QUEUE_ID"
+            f"FROM ({both}) s GROUP BY DQ_QUEUE_ID"
         ),
         "run_tally": O.with_catalog(
             "SELECT CAST(COUNT(DISTINCT DQ_ID) AS BIGINT) AS RULES_TOTAL, "
@@ -487,13 +510,13 @@ def _oracles() -> dict[str, str]:
             "SELECT CAST(DQ_QUEUE_ID AS BIGINT) AS DQ_QUEUE_ID, CAST(DQ_ID AS BIGINT) AS DQ_ID, "
             "COALESCE(DQ_CHK_ID, 'None') AS DQ_CHK_ID, CAST(row_number() OVER (PARTITION BY DQ_QUEUE_ID "
             "ORDER BY DQ_ID, COALESCE(DQ_CHK_ID, 'None')) AS BIGINT) AS EXEC_ORDER "
-            f"FROM ({sel_1_3}) s"
+            f"FROM ({both}) s"
         ),
-        "result_union_all": _rules_oracle(["C01", "C02", "C13", "C16"]),
+        "result_union_all": O.with_catalog(queue1_rows),
         "rule_execute": _rules_oracle(["C02"]),
         "rule_failure_row": _rules_oracle(["C12", "C13", "C14", "C15", "C16", "C17", "C18", "C19", "C20"]),
         "rule_queue_run": O.with_catalog(queue1_rows),
-        "rule_queue_run_generated": O.with_catalog(O.family_rows_sql()),
+        "rule_queue_run_generated": O.with_catalog(O.region_rows_sql()),
         "pass_through_joins_windows_sets": _rules_oracle(["C26", "C27", "C28", "C31"]),
     }
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
     BooleanType,
     ByteType,
     DataType,
@@ -17,9 +19,13 @@ from pyspark.sql.types import (
     FloatType,
     IntegerType,
     LongType,
+    MapType,
     NullType,
     ShortType,
     StringType,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
 )
 
 from rulecheck.schema import PERCENT_LIMIT_HUNDREDTHS, PERCENT_TYPE
@@ -53,8 +59,10 @@ def measure_to_long(c: Column, dtype: DataType, name: str) -> Column:
 
 
 def sor_label(c: Column, dtype: DataType) -> Column:
-    """Source label of a summary row: null, '', numeric zero and false give 'NA';
-    true gives 'True'; anything else its text."""
+    """Source label of a summary row, as Python would print the value: null, '', numeric
+    zero, false, empty binary, arrays and maps give 'NA'; true gives 'True'; timestamps
+    have six digits behind the second or none; floats are printed as doubles. Other
+    binary and nested values have no label text and raise, which fails the rule."""
     na = F.lit("NA")
     if isinstance(dtype, NullType):
         return na
@@ -62,11 +70,44 @@ def sor_label(c: Column, dtype: DataType) -> Column:
         return F.when(c.isNull() | (c == F.lit("")), na).otherwise(c)
     if isinstance(dtype, BooleanType):
         return F.when(c.isNull() | ~c, na).otherwise(F.lit("True"))
+    if isinstance(dtype, (FloatType, DoubleType)):
+        return F.when(c.isNull() | (c == F.lit(0)), na).otherwise(float_text(c.cast("double")))
     if isinstance(dtype, _INTEGRAL + _FRACTIONAL):
         return F.when(c.isNull() | (c == F.lit(0)), na).otherwise(c.cast("string"))
+    if isinstance(dtype, (TimestampType, TimestampNTZType)):
+        whole = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+        precise = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        return F.when(c.isNull(), na).when(precise.endswith(".000000"), whole).otherwise(precise)
+    if isinstance(dtype, (BinaryType, ArrayType, MapType, StructType)):
+        size = F.lit(1) if isinstance(dtype, StructType) else F.octet_length(c) if isinstance(dtype, BinaryType) else F.size(c)
+        no_text = F.raise_error(F.lit(f"SOR of type {dtype.simpleString()} has no label text"))
+        return F.when(c.isNull() | (size == 0), na).otherwise(no_text.cast("string"))
     return F.when(c.isNull(), na).otherwise(c.cast("string"))
 
 
+def float_text(c: Column) -> Column:
+    """A double as Python prints it: plain from 1e-4 to below 1e16, else with an exponent
+    of at least two digits. Spark's text has the same digits, in another layout."""
+    text = F.abs(c).cast("string")
+    exponent = F.coalesce(F.regexp_extract(text, r"E(-?\d+)$", 1).try_cast("int"), F.lit(0))
+    digits = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, r"E.*$", ""), r"\.0$", ""), r"\.", "")
+    rest = F.substr(digits, F.lit(2))
+    padded = F.rpad(digits, F.greatest(exponent + 1, F.length(digits)), F.lit("0"))
+    behind = F.substr(padded, exponent + 2)
+    plain_large = F.concat(F.substr(padded, F.lit(1), exponent + 1), F.lit("."), F.when(behind == "", "0").otherwise(behind))
+    plain_small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
+    power = F.concat(F.when(exponent < 0, "-").otherwise("+"), F.when(F.abs(exponent) < 10, "0").otherwise(""), F.abs(exponent).cast("string"))
+    scientific = F.concat(F.substr(digits, F.lit(1), F.lit(1)), F.when(rest == "", "").otherwise(F.concat(F.lit("."), rest)), F.lit("e"), power)
+    laid_out = (
+        F.when(~text.contains("E"), text)
+        .when((exponent >= 16) | (exponent < -4), scientific)
+        .when(exponent > 0, plain_large)
+        .otherwise(plain_small)
+    )
+    special = F.when(F.isnan(c), "nan").when(F.abs(c) == float("inf"), F.when(c < 0, "-inf").otherwise("inf"))
+    return F.coalesce(special, F.concat(F.when(c < 0, "-").otherwise(""), laid_out))
+
+
 def percent_overflow_guard(fail: Column, total: Column, name: str) -> Column:
     """``fail`` unchanged, or an error when ``fail / total * 100`` rounded
     half-to-even at two decimals would not fit DECIMAL(5,2).
@@ -133,11 +174,6 @@ def exact_percents(df: DataFrame, specs: list[tuple[str, str, str]]) -> DataFram
     return df.drop(*[name for names in tmp for name in names])
 
 
-def exact_percent(df: DataFrame, fail: str, total: str, out: str) -> DataFrame:
-    """Single-column form of :func:`exact_percents`."""
-    return exact_percents(df, [(fail, total, out)])
-
-
 def truncate_error(message: str | None, limit: int) -> str | None:
     """First ``limit`` characters of an error text."""
     return None if message is None else message[:limit]

@@ -47,6 +47,7 @@ def unresolved_placeholders(rendered: Column | str) -> Column:
     return F.regexp_extract_all(_col(rendered), F.lit(UNRESOLVED_PATTERN), F.lit(0))
 
 
-def unresolved_message(unresolved: list[str], rendered: str, excerpt: int) -> str:
-    """Error text for a rule whose rendered SQL still holds placeholders."""
+def unresolved_message(unresolved: list[str], rendered: str, excerpt: int | None = None) -> str:
+    """Error text for a rule whose rendered SQL still holds placeholders, with all of
+    that SQL or its first ``excerpt`` characters."""
     return UNRESOLVED_MESSAGE.format(unresolved=repr(unresolved), sql=rendered[:excerpt])

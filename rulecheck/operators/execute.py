@@ -22,6 +22,7 @@ from dataclasses import dataclass
 from datetime import datetime
 from decimal import Decimal
 
+from py4j.protocol import Py4JError
 from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,12 +37,34 @@ from rulecheck.schema import (
     STATUS_SUCCESS,
     ZERO_ROWS_MESSAGE,
 )
-from rulecheck.session import ansi_mode
+from rulecheck.session import non_ansi
 from rulecheck.sources.catalog import Rule
 
 logger = logging.getLogger(__name__)
 
 
+class RunCancelled(RuntimeError):
+    """The run's jobs were cancelled, or its Spark context was stopped: no rule's failure."""
+
+
+def is_cancelled(spark: SparkSession, exc: BaseException) -> bool:
+    """True when Spark itself ended the job on request (by its error condition, along
+    the causes; a rule's own error text can say anything) or the context is gone."""
+    jsc = spark.sparkContext._jsc
+    if jsc is None or jsc.sc().isStopped():
+        return True
+    cause = getattr(exc, "_origin", None) or getattr(exc, "java_exception", None)
+    while cause is not None:
+        condition = getattr(cause, "getCondition", None)
+        try:
+            if condition is not None and condition() == "SPARK_JOB_CANCELLED":
+                return True
+        except Py4JError:  # not one of Spark's own exceptions: it names no condition
+            pass
+        cause = cause.getCause()
+    return False
+
+
 @dataclass(frozen=True)
 class RunContext:
     """Run parameters shared by every rule of one run."""
@@ -70,29 +93,30 @@ class RuleOutcome:
 
 
 def stage_path(ctx: RunContext, rule: Rule) -> str:
-    return f"{ctx.staging_dir}/RULE_SEQ={rule.seq}"
+    return f"{rows_dir(ctx)}/RULE_SEQ={rule.seq}"
+
 
+def rows_dir(ctx: RunContext) -> str:
+    """Staged rows of all rules of a run, partitioned by ``RULE_SEQ``."""
+    return f"{ctx.staging_dir}/rows"
 
-def execute_rule(spark: SparkSession, rule: Rule, ctx: RunContext, set_sql_mode: bool = True) -> RuleOutcome:
+
+def execute_rule(spark: SparkSession, rule: Rule, ctx: RunContext) -> RuleOutcome:
     """Execute one rule and stage its normalised rows.
 
-    ``set_sql_mode``: analyse the rule text with ANSI mode off (the semantics
-    rule text was written for). A run sets the mode once for all its rules and
-    passes False.
+    The rule text is analysed with ANSI mode off (the semantics it was written
+    for). Raises :class:`RunCancelled` when the job was cancelled from outside.
     """
     start = ctx.clock()
     sc = spark.sparkContext
     caller_description = sc.getLocalProperty("spark.job.description")
     sc.setJobDescription(f"rule DQ_ID={rule.dq_id} DQ_CHK_ID={rule.chk_id}")
     try:
-        if rule.sql is None:
+        if rule.rendered_sql is None:  # the catalog holds no text
             raise ValueError("DQ_SQL is null")
         if rule.unresolved:
-            raise ValueError(unresolved_message(list(rule.unresolved), rule.rendered_sql, SQL_EXCERPT_LIMIT))
-        if set_sql_mode:
-            with ansi_mode(spark, enabled=False):
-                staged = normalise_summary(spark.sql(rule.rendered_sql))
-        else:
+            raise ValueError(unresolved_message(list(rule.unresolved), rule.rendered_sql))
+        with non_ansi(spark):
             staged = normalise_summary(spark.sql(rule.rendered_sql))
         observation = Observation(f"rule_{rule.seq}_{uuid.uuid4().hex[:8]}")
         path = stage_path(ctx, rule)
@@ -101,19 +125,30 @@ def execute_rule(spark: SparkSession, rule: Rule, ctx: RunContext, set_sql_mode:
         if rows == 0:
             raise ValueError(ZERO_ROWS_MESSAGE)
         end = ctx.clock()
-        logger.info("Rule DQ_ID=%s: %d result row(s), %s", rule.dq_id, rows, end - start)
+        logger.info("rule %s staged %d row(s) in %s", rule.dq_id, rows, end - start)
         return RuleOutcome(rule, STATUS_SUCCESS, rows, None, start, end, path)
-    except Exception as exc:  # any failure is this rule's, never the run's
+    except Exception as exc:  # any other failure is this rule's, never the run's
+        if is_cancelled(spark, exc):
+            raise RunCancelled(f"cancelled during rule {rule.dq_id}") from exc
         end = ctx.clock()
-        message = truncate_error(str(exc), ERROR_MESSAGE_LIMIT)
-        logger.error("Rule DQ_ID=%s FAILED: %s", rule.dq_id, message)
-        return RuleOutcome(rule, STATUS_FAILED, 1, message, start, end, None)
+        logger.error("rule %s gives a failure row: %s", rule.dq_id, exc)
+        return RuleOutcome(rule, STATUS_FAILED, 1, str(exc), start, end, None)
     finally:
-        sc.setLocalProperty("spark.job.description", caller_description)
+        if sc._jsc is not None:
+            sc.setLocalProperty("spark.job.description", caller_description)
+
+
+def stored_error(outcome: RuleOutcome) -> str | None:
+    """Error text as the results table words it: a short excerpt of unresolved rule text."""
+    r = outcome.rule
+    if r.rendered_sql is not None and r.unresolved:
+        return unresolved_message(list(r.unresolved), r.rendered_sql, SQL_EXCERPT_LIMIT)
+    return outcome.error
 
 
 def failure_values(outcome: RuleOutcome, ctx: RunContext) -> tuple:
-    """The one result row of a failed rule, in result-column order."""
+    """The one result row of a failed rule, in result-column order; only here is its
+    error text cut to the column's size (the outcome and the log keep all of it)."""
     r = outcome.rule
     zero_pct = Decimal("0.00")
     return (
@@ -132,7 +167,7 @@ def failure_values(outcome: RuleOutcome, ctx: RunContext) -> tuple:
         zero_pct,
         zero_pct,
         STATUS_FAILED,
-        outcome.error,
+        truncate_error(stored_error(outcome), ERROR_MESSAGE_LIMIT),
         outcome.start,
         outcome.end,
         outcome.end,

@@ -18,29 +18,29 @@ def uppercase_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.upper() for c in df.columns])
 
 
-def summary_positions(df: DataFrame) -> dict[str, int]:
-    """Position of each required summary column (case-insensitive; with duplicate
-    names after upper-casing the first one wins). Reads only the schema."""
-    upper = [c.upper() for c in df.columns]
-    missing = sorted(set(SUMMARY_COLUMNS) - set(upper))
+def summary_positions(columns: list[str], given: list[str]) -> dict[str, int]:
+    """Position of each required summary column among upper-cased names (with
+    duplicates the first one wins); ``given`` are the names as the rule wrote them."""
+    missing = sorted(set(SUMMARY_COLUMNS) - set(columns))
     if missing:
-        raise SummaryContractError(MISSING_COLUMNS_MESSAGE.format(missing=missing, got=df.columns))
-    return {name: upper.index(name) for name in SUMMARY_COLUMNS}
+        raise SummaryContractError(MISSING_COLUMNS_MESSAGE.format(missing=missing, got=given))
+    return {name: columns.index(name) for name in SUMMARY_COLUMNS}
 
 
 def normalise_summary(df: DataFrame) -> DataFrame:
     """The five measured columns of each summary row: label and four longs.
 
-    Columns are picked by position, so duplicate or oddly cased names cannot be
-    ambiguous. Measures become longs (truncated toward zero, see
+    Names are upper-cased and columns then picked by position, so duplicate names
+    cannot be ambiguous. Measures become longs (truncated toward zero, see
     :func:`measure_to_long`). Fail measures whose percentage would not fit
     DECIMAL(5,2) raise here, inside the rule's job. Extra summary columns are
     pruned away by the optimizer. Percentages are added by
     :func:`with_percentages`, once per run over all rules' rows.
     """
-    positions = summary_positions(df)
-    fields = df.schema.fields
-    positional = df.toDF(*[f"_c{i}" for i in range(len(fields))])
+    upper = uppercase_columns(df)
+    positions = summary_positions(upper.columns, df.columns)
+    fields = upper.schema.fields
+    positional = upper.toDF(*[f"_c{i}" for i in range(len(fields))])
 
     def src(name: str):
         return F.col(f"_c{positions[name]}")

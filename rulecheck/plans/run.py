@@ -6,7 +6,8 @@ staged by its own job (see :mod:`rulecheck.operators.execute`); the run's
 result frame is then one scan over the staged folders of the successful rules,
 with the exact percentages computed in one projection for all of them, stamped
 with per-rule keys and times by a join against the outcome table (one row per
-rule, broadcast behind a size check), plus one row per failed rule.
+rule, staged next to the rows, so Spark knows its size), plus one row per failed
+rule.
 """
 
 from __future__ import annotations
@@ -20,11 +21,12 @@ from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from rulecheck.operators.execute import RuleOutcome, RunContext, execute_rule, failure_values
+from rulecheck.operators.execute import RuleOutcome, RunCancelled, RunContext, execute_rule, failure_values, rows_dir
 from rulecheck.operators.normalise import with_percentages
 from rulecheck.schema import (
     DOMAINS,
@@ -35,16 +37,12 @@ from rulecheck.schema import (
     STATUS_FAILED,
     STATUS_SUCCESS,
 )
-from rulecheck.session import ansi_mode, new_staging_dir
+from rulecheck.session import delete_folder, new_staging_dir
 from rulecheck.sinks.results import append_results
 from rulecheck.sources.catalog import Rule, collect_rules, prepared_rules
 
 logger = logging.getLogger(__name__)
 
-# Outcome rows are broadcast to stamp staged rows only below this estimate.
-BROADCAST_OUTCOME_BYTES = 32 * 1024 * 1024
-_OUTCOME_ROW_BYTES = 256
-
 
 @dataclass(frozen=True)
 class RunConfig:
@@ -73,14 +71,11 @@ class RunResult:
     written: bool = False
 
     def cleanup(self, spark: SparkSession) -> bool:
-        """Delete the run's staged rule output. Call only after ``results`` has
-        been written or is no longer needed (``results`` reads the staged rows)."""
-        if not self.staging_dir:
-            return False
-        jvm = spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.staging_dir)
-        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return bool(fs.delete(path, True))
+        """Delete the run's staged rule output, which ``results`` reads. A run with a
+        sink does this itself after the append; without one, call it when the
+        results are no longer needed."""
+        folder, self.staging_dir = self.staging_dir, None
+        return bool(folder) and delete_folder(spark, folder)
 
     @property
     def tally(self) -> dict[str, int]:
@@ -102,33 +97,33 @@ def empty_results(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], RESULT_SCHEMA)
 
 
-# Thread-local job properties handed from the calling thread to rule threads,
-# so cancelling the caller's job group or choosing a scheduler pool covers
-# every rule of the run.
-_INHERITED_PROPERTIES = ("spark.jobGroup.id", "spark.job.interruptOnCancel", "spark.scheduler.pool")
-
-
 def execute_rules(spark: SparkSession, rules: list[Rule], ctx: RunContext, max_parallel: int = 1) -> list[RuleOutcome]:
-    """Execute rules in ``DQ_ID`` order; with ``max_parallel > 1`` their jobs are
-    submitted from a thread pool and share the cluster. Outcomes keep rule order."""
-    if max_parallel <= 1 or len(rules) <= 1:
-        return [execute_rule(spark, rule, ctx, set_sql_mode=False) for rule in rules]
+    """Execute rules in their order; with ``max_parallel > 1`` their jobs are submitted
+    from threads that inherit the caller's job group, tags and other local properties,
+    and share the cluster. Outcomes keep rule order. A cancelled run starts no
+    further rule and raises."""
     sc = spark.sparkContext
-    inherited = {key: sc.getLocalProperty(key) for key in _INHERITED_PROPERTIES}
+    stop = threading.Event()
     # Under FAIR scheduling, a pool per rule thread lets small rules get
     # executors while a large one runs (pools named here are created on use).
-    own_pools = inherited["spark.scheduler.pool"] is None and sc.getConf().get("spark.scheduler.mode", "FIFO") == "FAIR"
+    own_pools = max_parallel > 1 and sc.getLocalProperty("spark.scheduler.pool") is None and sc.getConf().get("spark.scheduler.mode", "FIFO") == "FAIR"
 
     def run_one(rule: Rule) -> RuleOutcome:
-        for key, value in inherited.items():
-            if value is not None:
-                sc.setLocalProperty(key, value)
+        if stop.is_set():
+            raise RunCancelled(f"not started: rule {rule.dq_id}")
         if own_pools:
             sc.setLocalProperty("spark.scheduler.pool", f"rulecheck-{threading.current_thread().name}")
-        return execute_rule(spark, rule, ctx, set_sql_mode=False)
-
+        try:
+            return execute_rule(spark, rule, ctx)
+        except RunCancelled:
+            stop.set()
+            raise
+
+    if max_parallel <= 1:
+        return [run_one(rule) for rule in rules]
     with ThreadPoolExecutor(max_workers=max_parallel, thread_name_prefix="rule") as pool:
-        return list(pool.map(run_one, rules))
+        started = [pool.submit(inheritable_thread_target(spark)(run_one), rule) for rule in rules]
+        return [future.result() for future in started]
 
 
 def outcome_frame(spark: SparkSession, outcomes: list[RuleOutcome]) -> DataFrame:
@@ -150,19 +145,18 @@ def _run_stamps(ctx: RunContext) -> dict[str, F.Column]:
 
 
 def staged_results(spark: SparkSession, outcomes: list[RuleOutcome], ctx: RunContext) -> DataFrame | None:
-    """Result rows of the successful rules: one scan over their staged folders,
-    keys and times joined from the outcome table."""
+    """Result rows of the successful rules: one scan over the run's staged rows,
+    keys and times joined from the outcome table, which also leaves out what a failed
+    rule may have staged. The outcome table is staged too, so its real size decides
+    how Spark joins; a rule with very many rows is split like any skewed key."""
     ok = [o for o in outcomes if o.status == STATUS_SUCCESS]
     if not ok:
         return None
     schema = StructType(STAGED_SCHEMA.fields + [StructField("RULE_SEQ", IntegerType(), False)])
-    staged = with_percentages(
-        spark.read.schema(schema).option("basePath", ctx.staging_dir).parquet(*[o.stage_path for o in ok])
-    )
-    meta = outcome_frame(spark, ok).drop("ERROR_MESSAGE", "EXECUTION_STATUS", "RESULT_ROWS")
-    if len(ok) * _OUTCOME_ROW_BYTES <= BROADCAST_OUTCOME_BYTES:
-        meta = F.broadcast(meta)
-    joined = staged.join(meta, on="RULE_SEQ", how="inner")
+    staged = with_percentages(spark.read.schema(schema).parquet(rows_dir(ctx)))
+    path = f"{ctx.staging_dir}/outcomes"
+    outcome_frame(spark, ok).drop("ERROR_MESSAGE", "EXECUTION_STATUS", "RESULT_ROWS").write.mode("overwrite").parquet(path)
+    joined = staged.join(spark.read.parquet(path), on="RULE_SEQ", how="inner")
     stamps = _run_stamps(ctx)
     cols = []
     for name in RESULT_COLUMNS:
@@ -221,15 +215,20 @@ def run_queue(
     Rule failures never stop the run; each gives one FAILED row. An empty
     queue gives an empty result and writes nothing. Errors that make the run
     itself impossible (unreadable catalog, a rule without an integer id, a
-    failed write) raise.
+    failed write, cancelled jobs, a stopped context) raise, and nothing is
+    appended.
+
+    Without a sink, ``results`` is lazy and reads the run's staged rows, which
+    stay until :meth:`RunResult.cleanup`. With a sink, the staged rows are deleted
+    after the append and ``results`` reads this run's rows from the sink.
     """
     execution_id = resolve_execution_id(config.execution_id)
     rules = collect_rules(
         prepared_rules(catalog, config.queue_id, config.domain, config.fic_mis_date, config.as_of_dt)
     )
-    logger.info("Run %s: %d active rule(s) in queue %s / %s", execution_id, len(rules), config.queue_id, config.domain)
+    logger.info("run %s has %d rule(s): queue %s, domain %s", execution_id, len(rules), config.queue_id, config.domain)
     if not rules:
-        logger.warning("No active rules found.")
+        logger.warning("queue %s holds nothing to run for domain %s", config.queue_id, config.domain)
         return RunResult(execution_id, [], [], empty_results(spark), None)
 
     ctx = RunContext(
@@ -240,17 +239,14 @@ def run_queue(
         staging_dir=new_staging_dir(spark, execution_id),
         clock=config.clock,
     )
-    with ansi_mode(spark, enabled=False):
-        outcomes = execute_rules(spark, rules, ctx, config.max_parallel_rules)
+    outcomes = execute_rules(spark, rules, ctx, config.max_parallel_rules)
     results = assemble_results(spark, outcomes, ctx)
     run = RunResult(execution_id, rules, outcomes, results, ctx.staging_dir)
     tally = run.tally
-    logger.info(
-        "Execution complete: %d succeeded, %d failed out of %d rule(s)",
-        tally["RULES_SUCCEEDED"],
-        tally["RULES_FAILED"],
-        tally["RULES_TOTAL"],
-    )
+    logger.info("run %s ended, rules by outcome: %s", execution_id, tally)
     if sink is not None:
         run.written = append_results(results, sink, tally["RESULT_ROWS"])
+        if run.written:
+            run.results = sink.read(spark).where(F.col("EXECUTION_ID") == execution_id)
+            run.cleanup(spark)
     return run

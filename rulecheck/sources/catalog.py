@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType
 
@@ -14,6 +14,10 @@ from rulecheck.functions.render import render_placeholders, unresolved_placehold
 from rulecheck.schema import ACTIVE_FLAG, CATALOG_COLUMNS, CATALOG_FETCH_SIZE, OPTIONAL_CATALOG_COLUMNS
 
 
+# Ids per range when rules are numbered.
+ID_RANGE = 4096
+
+
 @dataclass(frozen=True)
 class Rule:
     """One selected rule, as the driver needs it to start its job."""
@@ -22,7 +26,6 @@ class Rule:
     dq_id: int
     chk_id: str
     queue_id: int
-    sql: str | None
     rendered_sql: str | None
     unresolved: tuple[str, ...]
 
@@ -42,11 +45,6 @@ def read_catalog_jdbc(
     return reader.load()
 
 
-def read_catalog_table(spark: SparkSession, name: str) -> DataFrame:
-    """Catalog held as a table of the session catalog."""
-    return spark.table(name)
-
-
 def check_catalog_columns(df: DataFrame) -> dict[str, str]:
     """Upper-case name -> actual name of the catalog's columns; raises when a
     required column is missing (reads the schema only)."""
@@ -111,9 +109,27 @@ def select_rules(df: DataFrame, queue_id: int, domain: str) -> DataFrame:
     )
 
 
-def order_rules(df: DataFrame) -> DataFrame:
-    """Execution order: ``DQ_ID`` ascending, ``DQ_CHK_ID`` as tie-break."""
-    return df.orderBy(F.col("DQ_ID").asc_nulls_first(), F.col("DQ_CHK_ID").asc())
+def number_rules(df: DataFrame) -> DataFrame:
+    """Adds ``RULE_SEQ``: the place of each rule in its queue's execution order
+    (``DQ_ID``, then ``DQ_CHK_ID``), from 0.
+
+    Rules are numbered inside ranges of ``ID_RANGE`` ids; the ranges' counts, a small
+    table, give what comes before each range. No task holds a whole queue.
+    """
+    ranged = df.withColumn("__range", F.floor(F.coalesce(F.col("DQ_ID"), F.lit(0)) / ID_RANGE))
+    counts = ranged.groupBy("DQ_QUEUE_ID", "__range").agg(F.count(F.lit(1)).alias("__rules"))
+    before = Window.partitionBy("DQ_QUEUE_ID").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("DQ_QUEUE_ID", "__range", F.coalesce(F.sum("__rules").over(before), F.lit(0)).alias("__before"))
+    inside = Window.partitionBy("DQ_QUEUE_ID", "__range").orderBy(F.col("DQ_ID").asc_nulls_first(), F.col("DQ_CHK_ID").asc())
+    numbered = ranged.withColumn("__place", F.row_number().over(inside) - 1)
+    same = numbered["DQ_QUEUE_ID"].eqNullSafe(counts["DQ_QUEUE_ID"]) & (numbered["__range"] == counts["__range"])
+    joined = numbered.join(counts, same).withColumn("RULE_SEQ", (F.col("__before") + F.col("__place")).cast("bigint"))
+    return joined.select(*[numbered[c] for c in df.columns], "RULE_SEQ")
+
+
+def count_rules(df: DataFrame) -> DataFrame:
+    """Number of rules per queue."""
+    return df.groupBy("DQ_QUEUE_ID").agg(F.count(F.lit(1)).cast("bigint").alias("RULE_COUNT"))
 
 
 def with_rendering(df: DataFrame, fic_mis_date: str, as_of_dt: str) -> DataFrame:
@@ -123,39 +139,31 @@ def with_rendering(df: DataFrame, fic_mis_date: str, as_of_dt: str) -> DataFrame
 
 
 def prepared_rules(df: DataFrame, queue_id: int, domain: str, fic_mis_date: str, as_of_dt: str) -> DataFrame:
-    """Select, project and render: the whole catalog plan before the collect.
-
-    Not ordered here: :func:`collect_rules` orders the collected list, which is
-    on the driver anyway, so a run spends no sampling job and no shuffle on a
-    metadata-sized sort. :func:`order_rules` is the same order as a Spark plan.
-    """
+    """Select, project, number and render: the whole catalog plan before the collect."""
     check_catalog_columns(df)
-    return with_rendering(project_catalog(select_rules(df, queue_id, domain)), fic_mis_date, as_of_dt)
+    return with_rendering(number_rules(project_catalog(select_rules(df, queue_id, domain))), fic_mis_date, as_of_dt)
 
 
 def collect_rules(prepared: DataFrame) -> list[Rule]:
-    """The one action on the catalog. The rule list is metadata (one row per
-    rule), the only thing a run brings to the driver; its length is the rule
-    count, so no separate count job runs. It is returned in execution order:
-    ``DQ_ID`` ascending, ``DQ_CHK_ID`` as tie-break (code-point order of
-    Python strings equals Spark's binary string order).
+    """The one action on the catalog. The rule list is metadata (one row per rule that
+    is about to run as a job of its own, with its text rendered once), the only thing a
+    run brings to the driver; its length is the rule count, so no separate count job
+    runs. It is returned in execution order (:func:`number_rules`).
 
     A rule without a usable ``DQ_ID`` stops the run here, before any rule runs.
     """
-    rows = prepared.select("DQ_ID", "DQ_CHK_ID", "DQ_QUEUE_ID", "DQ_SQL", "RENDERED_SQL", "UNRESOLVED").collect()
+    rows = prepared.select("RULE_SEQ", "DQ_ID", "DQ_CHK_ID", "DQ_QUEUE_ID", "RENDERED_SQL", "UNRESOLVED").collect()
     bad = [r["DQ_CHK_ID"] for r in rows if r["DQ_ID"] is None or r["DQ_QUEUE_ID"] is None]
     if bad:
         raise ValueError(f"Rules without an integer DQ_ID or DQ_QUEUE_ID: {bad}")
-    rows = sorted(rows, key=lambda r: (r["DQ_ID"], r["DQ_CHK_ID"]))
     return [
         Rule(
-            seq=i,
+            seq=int(r["RULE_SEQ"]),
             dq_id=int(r["DQ_ID"]),
             chk_id=r["DQ_CHK_ID"],
             queue_id=int(r["DQ_QUEUE_ID"]),
-            sql=r["DQ_SQL"],
             rendered_sql=r["RENDERED_SQL"],
             unresolved=tuple(r["UNRESOLVED"] or ()),
         )
-        for i, r in enumerate(rows)
+        for r in sorted(rows, key=lambda r: r["RULE_SEQ"])
     ]

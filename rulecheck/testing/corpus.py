@@ -2,9 +2,12 @@
 
 The catalog is the union of
   * hand-written rules (queue 1: rules that run and rules that must fail;
-    rows that must not be selected; rendering cases in queue 9), and
-  * a rule family derived by Spark from the ``supplier`` table: one rule per
-    supplier (queue 3), so the catalog and the queue-3 run grow with the data.
+    rows that must not be selected; rendering cases in queue 9),
+  * one rule per region, derived by Spark from ``region`` (queue 3): as many rules
+    at any size, each over all line items of its region's suppliers, with one
+    summary row per supplier, and
+  * one catalog row per supplier, derived by Spark from ``supplier`` (queue 6): rows
+    to be read, selected, rendered and ordered as the data grows, never run.
 
 Each hand-written rule records what a run must produce for it: ``None`` for a
 successful rule, else the expected ``ERROR_TEXT`` (the engine error class in
@@ -25,7 +28,8 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 # Run parameters of the checks.
 QUEUE = 1
-FAMILY_QUEUE = 3
+REGION_QUEUE = 3
+SUPPLIER_QUEUE = 6
 RENDER_QUEUE = 9
 DOMAIN = "FMR"
 FIC_MIS_DATE = "2024-01-15"
@@ -60,6 +64,8 @@ class CorpusRule:
     sor: str | None = SOR
     # None: the rule succeeds; else the expected ERROR_TEXT (SQL expression for DuckDB).
     error: str | None = None
+    # The rule's values decide whether it fails: the checks derive that from the tables.
+    by_value: bool = False
     desc: str = ""
 
 
@@ -112,8 +118,10 @@ _C09 = """SELECT event_type AS SOR, COUNT(*) AS TOTAL_COUNT,
   SUM(CASE WHEN value > 100 THEN CAST(value AS DECIMAL(18,2)) END) AS FAIL_DOLLAR_AMOUNT
 FROM $ds.events WHERE ts >= CAST('$misdate' AS TIMESTAMP) GROUP BY ROLLUP(event_type)"""
 
-_C10 = """SELECT 'TIE' AS SOR, 160 AS TOTAL_COUNT, 1.99 AS TOTAL_DOLLAR_AMOUNT,
-  23 AS FAIL_COUNT, 0.99 AS FAIL_DOLLAR_AMOUNT, 'x' AS EXTRA"""
+# 23 of 160 from the 25 nations: a tie at the second decimal.
+_C10 = """SELECT 'TIE' AS SOR, 6 * COUNT(*) + 10 AS TOTAL_COUNT, CAST(COUNT(DISTINCT n_regionkey) AS DECIMAL(9,2)) - 3.01 AS TOTAL_DOLLAR_AMOUNT,
+  COUNT(*) - 2 AS FAIL_COUNT, CAST(COUNT(DISTINCT n_regionkey) AS DECIMAL(9,2)) - 4.01 AS FAIL_DOLLAR_AMOUNT, MAX(n_name) AS EXTRA
+FROM $ds.nation"""
 
 _C11 = "SELECT r_name AS SOR, COUNT(*) AS TOTAL_COUNT FROM $ds.region GROUP BY r_name"
 
@@ -127,7 +135,7 @@ _C17 = """SELECT r_name AS SOR, CONCAT(CAST(COUNT(*) AS STRING), '.5') AS TOTAL_
   0 AS FAIL_COUNT, 0 AS FAIL_DOLLAR_AMOUNT FROM $ds.region GROUP BY r_name"""
 
 _C18 = """SELECT r_name AS SOR, CASE WHEN r_regionkey = 1 THEN 'abc' ELSE '5' END AS TOTAL_COUNT,
-  0 AS TOTAL_DOLLAR_AMOUNT, 0 AS FAIL_COUNT, 0 AS FAIL_DOLLAR_AMOUNT FROM $ds.region WHERE r_regionkey IN (0, 1)"""
+  0 AS TOTAL_DOLLAR_AMOUNT, 0 AS FAIL_COUNT, 0 AS FAIL_DOLLAR_AMOUNT FROM $ds.region"""
 
 _C19 = """SELECT 'X' AS SOR, 1 AS TOTAL_COUNT, 0 AS TOTAL_DOLLAR_AMOUNT, COUNT(*) AS FAIL_COUNT,
   0 AS FAIL_DOLLAR_AMOUNT FROM $ds.orders"""
@@ -140,12 +148,13 @@ _C26 = """SELECT CAST(o.o_custkey AS STRING) AS SOR, COUNT(*) AS TOTAL_COUNT,
 FROM $ds.lineitem l JOIN $ds.orders o ON l.l_orderkey = o.o_orderkey GROUP BY o.o_custkey"""
 
 # Orders without line items, through NOT EXISTS (an anti join in Spark).
-_C27 = """SELECT o.o_orderpriority AS SOR, COUNT(*) AS TOTAL_COUNT,
-  SUM(CAST(o.o_totalprice AS DECIMAL(18,2))) AS TOTAL_DOLLAR_AMOUNT,
-  SUM(CASE WHEN NOT EXISTS (SELECT 1 FROM $ds.lineitem l WHERE l.l_orderkey = o.o_orderkey) THEN 1 ELSE 0 END) AS FAIL_COUNT,
-  SUM(CASE WHEN NOT EXISTS (SELECT 1 FROM $ds.lineitem l WHERE l.l_orderkey = o.o_orderkey)
-      THEN CAST(o.o_totalprice AS DECIMAL(18,2)) END) AS FAIL_DOLLAR_AMOUNT
-FROM $ds.orders o GROUP BY o.o_orderpriority"""
+_C27 = """SELECT o_orderpriority AS SOR, COUNT(*) AS TOTAL_COUNT,
+  SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS TOTAL_DOLLAR_AMOUNT,
+  SUM(CASE WHEN empty THEN 1 ELSE 0 END) AS FAIL_COUNT,
+  SUM(CASE WHEN empty THEN CAST(o_totalprice AS DECIMAL(18,2)) END) AS FAIL_DOLLAR_AMOUNT
+FROM (SELECT o.o_orderpriority, o.o_totalprice,
+        NOT EXISTS (SELECT 1 FROM $ds.lineitem l WHERE l.l_orderkey = o.o_orderkey) AS empty FROM $ds.orders o) x
+GROUP BY o_orderpriority"""
 
 # Grouping sets over a join with a dimension table.
 _C28 = """SELECT COALESCE(n.n_name, 'ALL') AS SOR, COUNT(*) AS TOTAL_COUNT,
@@ -208,9 +217,9 @@ CORPUS: tuple[CorpusRule, ...] = (
     CorpusRule(14, "C14", "SELECT * FROM $ds.nope", error=NOT_FOUND, desc="unknown table"),
     CorpusRule(15, "C15", "SELECT * FROM $ds.customer", schema=None, error=PARSE, desc="null schema"),
     CorpusRule(16, "C16", _C16, error=RAISED, desc="runtime error in the rule's job"),
-    CorpusRule(17, "C17", _C17, error=RAISED, desc="fractional text measure"),
-    CorpusRule(18, "C18", _C18, error=RAISED, desc="one bad row fails the rule"),
-    CorpusRule(19, "C19", _C19, error=RAISED, desc="percentage beyond DECIMAL(5,2)"),
+    CorpusRule(17, "C17", _C17, error=RAISED, by_value=True, desc="fractional text measure"),
+    CorpusRule(18, "C18", _C18, error=RAISED, by_value=True, desc="one bad row fails the rule"),
+    CorpusRule(19, "C19", _C19, error=RAISED, by_value=True, desc="percentage beyond DECIMAL(5,2)"),
     CorpusRule(20, "C20", None, error="'DQ_SQL is null'", desc="null rule text"),
     # never selected for queue 1 / FMR
     CorpusRule(21, "C21", _C06, lri="N", desc="inactive"),
@@ -252,16 +261,24 @@ CATALOG_SCHEMA = StructType(
     ]
 )
 
-# Template of the per-supplier rule family. Rendered per supplier by Spark.
-FAMILY_SQL_HEAD = (
-    "SELECT '$vdo' AS SOR, COUNT(*) AS TOTAL_COUNT, "
-    "SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS TOTAL_DOLLAR_AMOUNT, "
-    "SUM(CASE WHEN l_shipdate > CAST('$asofdt' AS TIMESTAMP) THEN 1 ELSE 0 END) AS FAIL_COUNT, "
-    "SUM(CASE WHEN l_shipdate > CAST('$asofdt' AS TIMESTAMP) THEN CAST(l_extendedprice AS DECIMAL(18,2)) END) "
-    "AS FAIL_DOLLAR_AMOUNT FROM $ds.lineitem WHERE l_suppkey = "
+# Rule text per region, completed by Spark from the region table.
+REGION_SQL_HEAD = (
+    "SELECT s.s_name AS SOR, COUNT(*) AS TOTAL_COUNT, "
+    "SUM(CAST(l.l_extendedprice AS DECIMAL(18,2))) AS TOTAL_DOLLAR_AMOUNT, "
+    "SUM(CASE WHEN l.l_shipdate > CAST('$asofdt' AS TIMESTAMP) THEN 1 ELSE 0 END) AS FAIL_COUNT, "
+    "SUM(CASE WHEN l.l_shipdate > CAST('$asofdt' AS TIMESTAMP) THEN CAST(l.l_extendedprice AS DECIMAL(18,2)) END) "
+    "AS FAIL_DOLLAR_AMOUNT FROM $ds.lineitem l JOIN $ds.supplier s ON l.l_suppkey = s.s_suppkey "
+    "JOIN $ds.nation n ON s.s_nationkey = n.n_nationkey "
 )
-FAMILY_ID_OFFSET = 100000
-FAMILY_ACTIVE_BELOW = 1000.0
+REGION_SQL_TAIL = " GROUP BY s.s_suppkey, s.s_name"
+REGION_ID_OFFSET = 50000
+
+# Rule text per supplier; $vdo is the supplier's name.
+SUPPLIER_SQL_HEAD = (
+    "SELECT '$vdo' AS SOR, COUNT(*) AS TOTAL_COUNT, SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS TOTAL_DOLLAR_AMOUNT, "
+    "0 AS FAIL_COUNT, 0 AS FAIL_DOLLAR_AMOUNT FROM $ds.lineitem WHERE l_shipdate > CAST('$misdate' AS TIMESTAMP) AND l_suppkey = "
+)
+SUPPLIER_ID_OFFSET = 100000
 
 
 def corpus_catalog(spark: SparkSession) -> DataFrame:
@@ -282,26 +299,42 @@ def corpus_catalog(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, CATALOG_SCHEMA)
 
 
-def family_catalog(suppliers: DataFrame) -> DataFrame:
-    """One rule per supplier, derived with Column expressions: active when the
-    supplier's balance is below 1000, labelled with the supplier name, check
-    id null for nation 13 (exercises the ``'None'`` coercion)."""
-    key = F.col("s_suppkey")
+def region_catalog(regions: DataFrame) -> DataFrame:
+    """One active rule per region."""
+    key = F.col("r_regionkey")
+    return regions.select(
+        (key + F.lit(REGION_ID_OFFSET)).cast(DecimalType(38, 0)).alias("DQ_ID"),
+        F.concat(F.lit("REGION-"), F.col("r_name")).alias("DQ_CHK_ID"),
+        F.lit(REGION_QUEUE).cast(DecimalType(38, 0)).alias("DQ_QUEUE_ID"),
+        F.lit("Y").alias("DQ_LRI"),
+        F.lit(DOMAIN).alias("DQ_DMN"),
+        F.lit(SCHEMA).alias("DQ_SCHEMA"),
+        F.col("r_name").alias("DQ_SOR"),
+        F.concat(F.lit(REGION_SQL_HEAD), F.lit("WHERE n.n_regionkey = "), key.cast("string"), F.lit(REGION_SQL_TAIL)).alias("DQ_SQL"),
+        F.lit("late shipments by supplier of one region").alias("DQ_DESC"),
+    )
+
+
+def supplier_catalog(suppliers: DataFrame) -> DataFrame:
+    """One catalog row per supplier: in debt means inactive and in the other domain, so
+    that domain has no active row; check id null for nation 13 (``'None'`` coercion)."""
+    key, in_debt = F.col("s_suppkey"), F.col("s_acctbal") < 0
     return suppliers.select(
-        (key + F.lit(FAMILY_ID_OFFSET)).cast(DecimalType(38, 0)).alias("DQ_ID"),
+        (key + F.lit(SUPPLIER_ID_OFFSET)).cast(DecimalType(38, 0)).alias("DQ_ID"),
         F.when(F.col("s_nationkey") == 13, F.lit(None).cast("string"))
         .otherwise(F.concat(F.lit("S"), key.cast("string")))
         .alias("DQ_CHK_ID"),
-        F.lit(FAMILY_QUEUE).cast(DecimalType(38, 0)).alias("DQ_QUEUE_ID"),
-        F.when(F.col("s_acctbal") < F.lit(FAMILY_ACTIVE_BELOW), F.lit("Y")).otherwise(F.lit("N")).alias("DQ_LRI"),
-        F.lit(DOMAIN).alias("DQ_DMN"),
+        F.lit(SUPPLIER_QUEUE).cast(DecimalType(38, 0)).alias("DQ_QUEUE_ID"),
+        F.when(in_debt, F.lit("N")).otherwise(F.lit("Y")).alias("DQ_LRI"),
+        F.when(in_debt, F.lit("EIDF")).otherwise(F.lit(DOMAIN)).alias("DQ_DMN"),
         F.lit(SCHEMA).alias("DQ_SCHEMA"),
         F.col("s_name").alias("DQ_SOR"),
-        F.concat(F.lit(FAMILY_SQL_HEAD), key.cast("string")).alias("DQ_SQL"),
-        F.lit("per-supplier late shipments").alias("DQ_DESC"),
+        F.concat(F.lit(SUPPLIER_SQL_HEAD), key.cast("string")).alias("DQ_SQL"),
+        F.lit("shipments of one supplier").alias("DQ_DESC"),
     )
 
 
 def test_catalog(spark: SparkSession) -> DataFrame:
-    """Corpus rules plus the supplier-derived family (needs ``global_temp.supplier``)."""
-    return corpus_catalog(spark).unionByName(family_catalog(spark.table(f"{SCHEMA}.supplier")))
+    """Corpus rules and the rows derived from ``global_temp.region`` and ``.supplier``."""
+    derived = region_catalog(spark.table(f"{SCHEMA}.region")).unionByName(supplier_catalog(spark.table(f"{SCHEMA}.supplier")))
+    return corpus_catalog(spark).unionByName(derived)

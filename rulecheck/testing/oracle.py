@@ -15,11 +15,14 @@ from rulecheck.testing.corpus import (
     CORPUS,
     DOMAIN,
     EXECUTION_ID,
-    FAMILY_ACTIVE_BELOW,
-    FAMILY_ID_OFFSET,
-    FAMILY_QUEUE,
-    FAMILY_SQL_HEAD,
     FIC_MIS_DATE,
+    REGION_ID_OFFSET,
+    REGION_QUEUE,
+    REGION_SQL_HEAD,
+    REGION_SQL_TAIL,
+    SUPPLIER_ID_OFFSET,
+    SUPPLIER_QUEUE,
+    SUPPLIER_SQL_HEAD,
     UNRESOLVED,
     CorpusRule,
 )
@@ -41,12 +44,18 @@ def catalog_cte() -> str:
          CAST(c6 AS VARCHAR) AS DQ_SOR, CAST(c7 AS VARCHAR) AS DQ_SQL, CAST(c8 AS VARCHAR) AS DQ_DESC
   FROM (VALUES {rows}) v(c0, c1, c2, c3, c4, c5, c6, c7, c8)
   UNION ALL
-  SELECT CAST(s_suppkey + {FAMILY_ID_OFFSET} AS DECIMAL(38,0)),
+  SELECT CAST(r_regionkey + {REGION_ID_OFFSET} AS DECIMAL(38,0)), 'REGION-' || r_name, CAST({REGION_QUEUE} AS DECIMAL(38,0)),
+         'Y', {q(DOMAIN)}, 'global_temp', r_name,
+         {q(REGION_SQL_HEAD + 'WHERE n.n_regionkey = ')} || CAST(r_regionkey AS VARCHAR) || {q(REGION_SQL_TAIL)},
+         'late shipments by supplier of one region'
+  FROM region
+  UNION ALL
+  SELECT CAST(s_suppkey + {SUPPLIER_ID_OFFSET} AS DECIMAL(38,0)),
          CASE WHEN s_nationkey = 13 THEN NULL ELSE 'S' || CAST(s_suppkey AS VARCHAR) END,
-         CAST({FAMILY_QUEUE} AS DECIMAL(38,0)),
-         CASE WHEN s_acctbal < {FAMILY_ACTIVE_BELOW} THEN 'Y' ELSE 'N' END,
-         {q(DOMAIN)}, 'global_temp', s_name, {q(FAMILY_SQL_HEAD)} || CAST(s_suppkey AS VARCHAR),
-         'per-supplier late shipments'
+         CAST({SUPPLIER_QUEUE} AS DECIMAL(38,0)),
+         CASE WHEN s_acctbal < 0 THEN 'N' ELSE 'Y' END,
+         CASE WHEN s_acctbal < 0 THEN 'EIDF' ELSE {q(DOMAIN)} END, 'global_temp', s_name,
+         {q(SUPPLIER_SQL_HEAD)} || CAST(s_suppkey AS VARCHAR), 'shipments of one supplier'
   FROM supplier
 )"""
 
@@ -90,7 +99,7 @@ def sor_expr(x: str) -> str:
 def pct_expr(f: str, t: str) -> str:
     a = f"(abs(CAST({f} AS HUGEINT)) * 10000)"
     return (
-        f"CASE WHEN {t} > 0 THEN CAST(sign({f}) * ({a} // {t} + CASE WHEN 2 * ({a} % {t}) > {t} "
+        f"CASE WHEN {t} > 0 THEN TRY_CAST(sign({f}) * ({a} // {t} + CASE WHEN 2 * ({a} % {t}) > {t} "
         f"OR (2 * ({a} % {t}) = {t} AND (({a} // {t}) % 2) = 1) THEN 1 ELSE 0 END) / 100 AS DECIMAL(5,2)) "
         f"ELSE CAST(0 AS DECIMAL(5,2)) END"
     )
@@ -103,13 +112,15 @@ def run_stamps(execution_id: str = EXECUTION_ID, domain: str = DOMAIN) -> str:
     )
 
 
-def normalised_sql(summary: str, keys: str, status_cols: bool = True) -> str:
-    """Result rows (comparable columns) of a successful summary."""
-    tail = ", 'SUCCESS' AS EXECUTION_STATUS, CAST(NULL AS VARCHAR) AS ERROR_TEXT" if status_cols else ""
+def normalised_sql(summary: str, keys: str, carried: tuple[str, ...] = ()) -> str:
+    """Result rows (comparable columns) of a successful summary; ``carried`` columns
+    of it may be used in ``keys``."""
+    tail = ", 'SUCCESS' AS EXECUTION_STATUS, CAST(NULL AS VARCHAR) AS ERROR_TEXT"
+    more = "".join(f"s.{c}, " for c in carried)
     return f"""SELECT {keys}, {run_stamps()}, n.SOR, n.TOTAL_COUNT, n.TOTAL_DOLLAR_AMOUNT, n.FAIL_COUNT, n.FAIL_DOLLAR_AMOUNT,
   {pct_expr('n.FAIL_COUNT', 'n.TOTAL_COUNT')} AS FAIL_COUNT_PERCENTAGE,
   {pct_expr('n.FAIL_DOLLAR_AMOUNT', 'n.TOTAL_DOLLAR_AMOUNT')} AS FAIL_DOLLAR_PERCENTAGE{tail}
-FROM (SELECT {sor_expr('s.SOR')} AS SOR, {long_expr('s.TOTAL_COUNT')} AS TOTAL_COUNT,
+FROM (SELECT {more}{sor_expr('s.SOR')} AS SOR, {long_expr('s.TOTAL_COUNT')} AS TOTAL_COUNT,
         {long_expr('s.TOTAL_DOLLAR_AMOUNT')} AS TOTAL_DOLLAR_AMOUNT, {long_expr('s.FAIL_COUNT')} AS FAIL_COUNT,
         {long_expr('s.FAIL_DOLLAR_AMOUNT')} AS FAIL_DOLLAR_AMOUNT
       FROM ({summary}) s) n"""
@@ -122,43 +133,52 @@ def rule_keys(rule: CorpusRule) -> str:
     )
 
 
-def rule_rows_sql(rule: CorpusRule) -> str:
-    """Comparable result rows of one corpus rule (success or failure)."""
-    if rule.error is None:
-        return normalised_sql(duck_rule_text(rule), rule_keys(rule))
-    if rule.error == UNRESOLVED:
-        err = f"(SELECT {unresolved_message_expr(rendered_expr())} FROM catalog WHERE DQ_CHK_ID = {q(rule.chk_id)})"
-    else:
-        err = rule.error
+def failure_row_sql(rule: CorpusRule, err: str, when: str = "true") -> str:
     return (
         f"SELECT {rule_keys(rule)}, {run_stamps()}, 'NA' AS SOR, CAST(0 AS BIGINT) AS TOTAL_COUNT, "
         f"CAST(0 AS BIGINT) AS TOTAL_DOLLAR_AMOUNT, CAST(0 AS BIGINT) AS FAIL_COUNT, CAST(0 AS BIGINT) AS FAIL_DOLLAR_AMOUNT, "
         f"CAST(0 AS DECIMAL(5,2)) AS FAIL_COUNT_PERCENTAGE, CAST(0 AS DECIMAL(5,2)) AS FAIL_DOLLAR_PERCENTAGE, "
-        f"'FAILED' AS EXECUTION_STATUS, CAST({err} AS VARCHAR) AS ERROR_TEXT"
+        f"'FAILED' AS EXECUTION_STATUS, CAST({err} AS VARCHAR) AS ERROR_TEXT WHERE {when}"
     )
 
 
-def family_rows_sql(queue: int = FAMILY_QUEUE) -> str:
-    """Comparable rows of the per-supplier queue: one GROUP BY over lineitem
-    stands in for one rule per supplier."""
+def value_failure_sql(rule: CorpusRule) -> str:
+    """Rows of a rule whose values decide: it fails when a measure of any summary row is
+    not an integer, or a percentage would exceed 999.99; else its rows count."""
+    summary = duck_rule_text(rule)
+    measures = ("TOTAL_COUNT", "TOTAL_DOLLAR_AMOUNT", "FAIL_COUNT", "FAIL_DOLLAR_AMOUNT")
+    read = ", ".join(f"TRY_CAST(CAST({m} AS VARCHAR) AS DOUBLE) AS {m}" for m in measures)
+    no_integer = " OR ".join(f"NOT regexp_full_match(COALESCE(CAST({m} AS VARCHAR), '0'), '[+-]?[0-9]+')" for m in measures)
+    beyond = " OR ".join(f"(CASE WHEN {t} > 0 THEN abs({f}) * 100 / {t} >= 999.995 ELSE false END)" for f, t in (("FAIL_COUNT", "TOTAL_COUNT"), ("FAIL_DOLLAR_AMOUNT", "TOTAL_DOLLAR_AMOUNT")))
+    bad = f"(EXISTS (SELECT 1 FROM ({summary}) s WHERE {no_integer}) OR EXISTS (SELECT 1 FROM (SELECT {read} FROM ({summary}) s) v WHERE {beyond}))"
+    good = normalised_sql(f"SELECT SOR, {read} FROM ({summary}) s", rule_keys(rule))
+    return f"SELECT * FROM ({failure_row_sql(rule, rule.error, bad)}) UNION ALL SELECT * FROM ({good}) WHERE NOT {bad}"
+
+
+def rule_rows_sql(rule: CorpusRule) -> str:
+    """Comparable result rows of one corpus rule (success or failure)."""
+    if rule.by_value:
+        return value_failure_sql(rule)
+    if rule.error is None:
+        return normalised_sql(duck_rule_text(rule), rule_keys(rule))
+    if rule.error == UNRESOLVED:
+        return failure_row_sql(rule, f"(SELECT {unresolved_message_expr(rendered_expr())} FROM catalog WHERE DQ_CHK_ID = {q(rule.chk_id)})")
+    return failure_row_sql(rule, rule.error)
+
+
+def region_rows_sql() -> str:
+    """Comparable rows of the region queue: one GROUP BY over all line items stands in
+    for the rules."""
     asof = q(AS_OF_DT)
-    summary = f"""SELECT sel.DQ_ID, sel.DQ_CHK_ID, sel.DQ_SOR AS SOR, COALESCE(a.tc, 0) AS TOTAL_COUNT, a.td AS TOTAL_DOLLAR_AMOUNT,
-         a.fc AS FAIL_COUNT, a.fd AS FAIL_DOLLAR_AMOUNT
-  FROM {selected(queue)} sel LEFT JOIN (
-    SELECT l_suppkey, COUNT(*) AS tc, SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS td,
-           SUM(CASE WHEN l_shipdate > CAST({asof} AS TIMESTAMP) THEN 1 ELSE 0 END) AS fc,
-           SUM(CASE WHEN l_shipdate > CAST({asof} AS TIMESTAMP) THEN CAST(l_extendedprice AS DECIMAL(18,2)) END) AS fd
-    FROM lineitem GROUP BY l_suppkey) a ON a.l_suppkey = CAST(sel.DQ_ID AS BIGINT) - {FAMILY_ID_OFFSET}"""
-    return f"""SELECT CAST(n.DQ_ID AS BIGINT) AS DQ_ID, COALESCE(n.DQ_CHK_ID, 'None') AS DQ_CHK_ID,
-  CAST({queue} AS BIGINT) AS DQ_QUEUE_ID, {run_stamps()}, n.SOR, n.TOTAL_COUNT, n.TOTAL_DOLLAR_AMOUNT,
-  n.FAIL_COUNT, n.FAIL_DOLLAR_AMOUNT,
-  {pct_expr('n.FAIL_COUNT', 'n.TOTAL_COUNT')} AS FAIL_COUNT_PERCENTAGE,
-  {pct_expr('n.FAIL_DOLLAR_AMOUNT', 'n.TOTAL_DOLLAR_AMOUNT')} AS FAIL_DOLLAR_PERCENTAGE,
-  'SUCCESS' AS EXECUTION_STATUS, CAST(NULL AS VARCHAR) AS ERROR_TEXT
-FROM (SELECT s.DQ_ID, s.DQ_CHK_ID, {sor_expr('s.SOR')} AS SOR, {long_expr('s.TOTAL_COUNT')} AS TOTAL_COUNT,
-        {long_expr('s.TOTAL_DOLLAR_AMOUNT')} AS TOTAL_DOLLAR_AMOUNT, {long_expr('s.FAIL_COUNT')} AS FAIL_COUNT,
-        {long_expr('s.FAIL_DOLLAR_AMOUNT')} AS FAIL_DOLLAR_AMOUNT
-      FROM ({summary}) s) n"""
+    summary = f"""SELECT sel.DQ_ID, sel.DQ_CHK_ID, a.SOR, a.TOTAL_COUNT, a.TOTAL_DOLLAR_AMOUNT, a.FAIL_COUNT, a.FAIL_DOLLAR_AMOUNT
+  FROM {selected(REGION_QUEUE)} sel JOIN (
+    SELECT n_regionkey, s_name AS SOR, COUNT(*) AS TOTAL_COUNT, SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS TOTAL_DOLLAR_AMOUNT,
+           SUM(CASE WHEN l_shipdate > CAST({asof} AS TIMESTAMP) THEN 1 ELSE 0 END) AS FAIL_COUNT,
+           SUM(CASE WHEN l_shipdate > CAST({asof} AS TIMESTAMP) THEN CAST(l_extendedprice AS DECIMAL(18,2)) END) AS FAIL_DOLLAR_AMOUNT
+    FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+    GROUP BY n_regionkey, s_suppkey, s_name) a ON a.n_regionkey = CAST(sel.DQ_ID AS BIGINT) - {REGION_ID_OFFSET}"""
+    keys = f"CAST(n.DQ_ID AS BIGINT) AS DQ_ID, n.DQ_CHK_ID, CAST({REGION_QUEUE} AS BIGINT) AS DQ_QUEUE_ID"
+    return normalised_sql(summary, keys, carried=("DQ_ID", "DQ_CHK_ID"))
 
 
 def with_catalog(body: str) -> str:
@@ -185,24 +205,3 @@ def ticking_times_sql(order_by: str) -> str:
         f"strftime({base} + to_seconds(2 * {k}), '%Y-%m-%d %H:%M:%S') AS EXECUTION_START_DT, "
         f"strftime({base} + to_seconds(2 * {k} + 1), '%Y-%m-%d %H:%M:%S') AS EXECUTION_END_DT"
     )
-
-
-__all__ = [
-    "catalog_cte",
-    "duck_rule_text",
-    "family_rows_sql",
-    "normalised_sql",
-    "pct_expr",
-    "q",
-    "queue_chk_ids",
-    "rendered_expr",
-    "rule_rows_sql",
-    "rules_rows_sql",
-    "selected",
-    "sor_expr",
-    "long_expr",
-    "ticking_times_sql",
-    "unresolved_expr",
-    "unresolved_message_expr",
-    "with_catalog",
-]

@@ -12,7 +12,6 @@ if REPO not in sys.path:
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-from rulecheck.session import ensure_checkpoint_dir  # noqa: E402
 from rulecheck.sources.tables import register_parquet_tables  # noqa: E402
 from rulecheck.testing import corpus as C  # noqa: E402
 
@@ -27,11 +26,12 @@ def spark():
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.warehouse.dir", os.path.join(scratch, "warehouse"))
+        .config("spark.checkpoint.dir", os.path.join(scratch, "checkpoints"))
+        .config("spark.sql.session.timeZone", "UTC")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("OFF")
-    ensure_checkpoint_dir(session, os.path.join(scratch, "checkpoints"))
     yield session
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rulecheck.functions.measures import (
     UnsupportedMeasureType,
-    exact_percent,
+    exact_percents,
     measure_to_long,
     sor_label,
 )
@@ -88,7 +88,7 @@ def test_percent_grid_matches_exact_half_even(spark):
         .select((F.col("id") % n).alias("fail"), (F.col("id") / n).cast("bigint").alias("total"))
         .where((F.col("total") >= 1) & (F.col("fail") <= F.col("total")))
     )
-    got = exact_percent(grid, "fail", "total", "pct").collect()
+    got = exact_percents(grid, [("fail", "total", "pct")]).collect()
     assert len(got) == sum(t + 1 for t in range(1, n))
     bad = [(r.fail, r.total, r.pct) for r in got if r.pct != half_even_percent(r.fail, r.total)]
     assert bad == []
@@ -107,14 +107,14 @@ def test_percent_edges(spark):
         (-9_223_372_036_854_775_808, 9_223_372_036_854_775_807),
     ]
     df = spark.createDataFrame(rows, "fail bigint, total bigint")
-    got = [r.pct for r in exact_percent(df, "fail", "total", "pct").collect()]
+    got = [r.pct for r in exact_percents(df, [("fail", "total", "pct")]).collect()]
     assert got == [half_even_percent(f, t) for f, t in rows]
 
 
 def test_percent_out_of_range_raises(spark):
     df = spark.createDataFrame([(1000, 1)], "fail bigint, total bigint")
     with pytest.raises(PySparkException, match="does not fit"):
-        exact_percent(df, "fail", "total", "pct").collect()
+        exact_percents(df, [("fail", "total", "pct")]).collect()
 
 
 def test_overflow_guard_matches_rounding(spark):
@@ -132,3 +132,29 @@ def test_overflow_guard_matches_rounding(spark):
         else:
             with pytest.raises(PySparkException, match="does not fit"):
                 guarded.collect()
+
+
+def test_labels_print_like_python(spark):
+    import math
+    import struct
+    from datetime import datetime
+
+    doubles = [1e16, 1e15, 1.5e7, 12345678.9, 1e-4, 0.00012345, 1e-5, 123.456e-9, -2.5e20, 0.5, -7.0, 1e100, 3.0e-10, math.nan, math.inf, -math.inf, 9007199254740993.0]
+    df = spark.createDataFrame([(x,) for x in doubles], "v double")
+    got = [r[0] for r in df.select(sor_label(F.col("v"), df.schema["v"].dataType)).collect()]
+    assert got == [str(x) for x in doubles]
+    floats = [0.1, 1e10, 16777216.0, 3.4e38]
+    df = spark.createDataFrame([(x,) for x in floats], "v float")
+    got = [r[0] for r in df.select(sor_label(F.col("v"), df.schema["v"].dataType)).collect()]
+    assert got == [str(struct.unpack("f", struct.pack("f", x))[0]) for x in floats]
+    times = [datetime(2024, 1, 2, 3, 4, 0, 500000), datetime(2024, 1, 2), datetime(2024, 1, 2, 3, 4, 5, 1)]
+    for kind in ("timestamp", "timestamp_ntz"):
+        df = spark.createDataFrame([(x,) for x in times], f"v {kind}")
+        got = [r[0] for r in df.select(sor_label(F.col("v"), df.schema["v"].dataType)).collect()]
+        assert got == [str(x) for x in times]
+    for empty, full in (("CAST('' AS BINARY)", "CAST('a' AS BINARY)"), ("slice(array('a'), 1, 0)", "array('a')"), ("map_from_arrays(array(), array())", "map('a', 1)")):
+        df = spark.sql(f"SELECT {empty} AS v")
+        assert df.select(sor_label(F.col("v"), df.schema["v"].dataType)).first()[0] == "NA"
+        df = spark.sql(f"SELECT {full} AS v")
+        with pytest.raises(Exception, match="no label text"):
+            df.select(sor_label(F.col("v"), df.schema["v"].dataType)).collect()

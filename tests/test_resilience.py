@@ -19,14 +19,14 @@ SCRIPT = textwrap.dedent(
     from pyspark.sql import SparkSession, functions as F
     from pyspark.sql.types import LongType
     from rulecheck import RunConfig, ParquetSink, run_queue
-    from rulecheck.session import ensure_checkpoint_dir, checkpoint_root
+    from rulecheck.session import checkpoint_root
     from rulecheck.sources.tables import register_parquet_tables
 
     # local[2,3]: two threads, every task may be attempted three times
     spark = (SparkSession.builder.master("local[2,3]").config("spark.ui.enabled", "false")
-             .config("spark.sql.shuffle.partitions", "4").getOrCreate())
+             .config("spark.sql.shuffle.partitions", "4")
+             .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="rulecheck-resilience-")).getOrCreate())
     spark.sparkContext.setLogLevel("OFF")
-    ensure_checkpoint_dir(spark, lambda: tempfile.mkdtemp(prefix="rulecheck-resilience-"))
     register_parquet_tables(spark, "/root/testdata/sf0.001", ["region", "orders"])
 
     def lose_first_attempt(x):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rulecheck import RunConfig, run_queue
 from rulecheck.operators.execute import RunContext, execute_rule
-from rulecheck.operators.normalise import SummaryContractError, normalise_summary, summary_positions, with_percentages
+from rulecheck.operators.normalise import SummaryContractError, normalise_summary, with_percentages
 from rulecheck.plans.run import assemble_results
 from rulecheck.schema import RESULT_SCHEMA
 from rulecheck.session import new_staging_dir
@@ -33,14 +33,14 @@ def config(**kw):
 
 def one_rule(spark, sql, seq=0):
     ctx = RunContext("x", C.FIC_MIS_DATE, C.AS_OF_DT, C.DOMAIN, new_staging_dir(spark, "x"), C.TickingClock())
-    rule = Rule(seq, 1, "T", 1, sql, sql, tuple(re.findall(r"\$[a-zA-Z_]+", sql)))
+    rule = Rule(seq, 1, "T", 1, sql, tuple(re.findall(r"\$[a-zA-Z_]+", sql)))
     outcome = execute_rule(spark, rule, ctx)
     return outcome, ctx
 
 
 def test_contract_missing_sorted_and_first_wins(spark):
     with pytest.raises(SummaryContractError, match=r"\['FAIL_COUNT', 'FAIL_DOLLAR_AMOUNT', 'TOTAL_DOLLAR_AMOUNT'\]"):
-        summary_positions(spark.sql("SELECT 1 AS sor, 2 AS Total_Count"))
+        normalise_summary(spark.sql("SELECT 1 AS sor, 2 AS Total_Count"))
     df = spark.sql(
         "SELECT 'a' AS sor, 7 AS total_count, 9 AS TOTAL_COUNT, 0 AS total_dollar_amount, "
         "1 AS fail_count, 0 AS fail_dollar_amount, 'extra' AS x"
@@ -153,16 +153,17 @@ def test_parallel_equals_sequential(spark, catalog):
     assert sorted(seq, key=key) == sorted(par, key=key)
 
 
-def test_generated_queue_grows_with_suppliers(spark, catalog):
-    rules = collect_rules(prepared_rules(catalog, C.FAMILY_QUEUE, C.DOMAIN, C.FIC_MIS_DATE, C.AS_OF_DT))
-    active = spark.table("global_temp.supplier").where(F.col("s_acctbal") < C.FAMILY_ACTIVE_BELOW).count()
-    assert len(rules) == active
+def test_region_queue_has_one_rule_per_region(spark, catalog):
+    rules = collect_rules(prepared_rules(catalog, C.REGION_QUEUE, C.DOMAIN, C.FIC_MIS_DATE, C.AS_OF_DT))
+    assert len(rules) == spark.table("global_temp.region").count()
 
 
-def test_result_plan_reads_staged_rows_with_broadcast_stamp(spark, catalog):
+def test_result_plan_has_no_forced_join(spark, catalog):
     run = run_queue(spark, catalog.where(F.col("DQ_CHK_ID").isin("C01", "C13")), config())
-    plan = run.results._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "FileScan parquet" in plan
+    logical = run.results._jdf.queryExecution().logical().toString()
+    assert "strategy=broadcast" not in logical and "ResolvedHint" not in logical
+    # both sides are stored, so Spark joins by their real sizes
+    assert run.results._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 2
 
 
 def test_cleanup_removes_staged_rows(spark, catalog):
@@ -195,13 +196,24 @@ def test_domain_must_be_known():
     assert config(domain="XYZ", allowed_domains=()).domain == "XYZ"
 
 
-def test_collected_order_equals_spark_order(spark, catalog):
-    from rulecheck.sources.catalog import order_rules
+def test_rules_are_numbered_in_order_across_ranges(spark):
+    from rulecheck.sources.catalog import ID_RANGE, number_rules
 
-    prepared = prepared_rules(catalog, C.FAMILY_QUEUE, C.DOMAIN, C.FIC_MIS_DATE, C.AS_OF_DT)
-    in_spark = [(r.DQ_ID, r.DQ_CHK_ID) for r in order_rules(prepared).collect()]
-    collected = [(r.dq_id, r.chk_id) for r in collect_rules(prepared)]
-    assert collected == in_spark
+    ids = [7, 7, None, 3, ID_RANGE, ID_RANGE - 1, 5 * ID_RANGE + 2, -4]
+    rows = [(d, f"K{i}", queue) for queue in (1, 2) for i, d in enumerate(ids)]
+    df = spark.createDataFrame(rows, "DQ_ID bigint, DQ_CHK_ID string, DQ_QUEUE_ID bigint")
+    got = [(r.DQ_QUEUE_ID, r.DQ_CHK_ID) for r in number_rules(df).orderBy("DQ_QUEUE_ID", "RULE_SEQ").collect()]
+    # a null id counts as 0 for its range and comes first in it
+    want = ["K7", "K2", "K3", "K0", "K1", "K5", "K4", "K6"]
+    assert got == [(q, k) for q in (1, 2) for k in want]
+
+
+def test_no_window_over_a_whole_queue(spark, catalog):
+    from rulecheck.sources.catalog import number_rules, project_catalog
+
+    plan = number_rules(project_catalog(catalog))._jdf.queryExecution().executedPlan().toString()
+    windows = [ln for ln in plan.split("\n") if "Window [" in ln and "row_number" in ln]
+    assert windows and all("__range" in ln for ln in windows)
 
 
 def test_comments_and_trailing_semicolon(spark, tables):
@@ -233,3 +245,105 @@ def test_decimal_keys_truncate_like_int(spark):
     )
     row = run_queue(spark, df, config()).results.first()
     assert (row.DQ_ID, row.DQ_CHK_ID, row.DQ_QUEUE_ID, row.EXECUTION_STATUS) == (7, "7", 1, "SUCCESS")
+
+
+def test_cancelled_run_writes_nothing_and_starts_no_further_rule(spark, tables):
+    import threading
+    import uuid
+
+    from rulecheck import ParquetSink
+    from rulecheck.operators.execute import RunCancelled
+    from rulecheck.session import checkpoint_root
+
+    slow = (
+        "SELECT 'X' AS SOR, COUNT(*) AS TOTAL_COUNT, 0 AS TOTAL_DOLLAR_AMOUNT, 0 AS FAIL_COUNT, 0 AS FAIL_DOLLAR_AMOUNT "
+        "FROM range(0, 4000000000, 1, 4) a WHERE sha2(CAST(id AS STRING), 512) = 'x'"
+    )
+    df = spark.createDataFrame(
+        [(i, f"R{i}", 1, "Y", "FMR", slow) for i in range(3)],
+        "DQ_ID bigint, DQ_CHK_ID string, DQ_QUEUE_ID bigint, DQ_LRI string, DQ_DMN string, DQ_SQL string",
+    )
+    sc, group, seen = spark.sparkContext, f"cancel-{uuid.uuid4().hex}", {}
+    target = f"{checkpoint_root(spark)}/cancelled-{uuid.uuid4().hex}"
+
+    def cancel_when_running():
+        stop = threading.Event()
+        for _ in range(600):
+            jobs = [sc.statusTracker().getJobInfo(j) for j in sc.statusTracker().getJobIdsForGroup(group)]
+            if any(j and j.status == "RUNNING" and seen.setdefault("started", True) for j in jobs) and seen.get("rules"):
+                stop.wait(0.5)
+                sc.cancelJobGroup(group)
+                return
+            stop.wait(0.05)
+
+    clock = C.TickingClock()
+
+    def counting():
+        seen["rules"] = seen.get("rules", 0) + 1
+        return clock()
+
+    watcher = threading.Thread(target=cancel_when_running)
+    sc.setJobGroup(group, "to be cancelled", interruptOnCancel=False)
+    try:
+        watcher.start()
+        with pytest.raises(RunCancelled):
+            run_queue(spark, df, config(clock=counting), ParquetSink(target))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        sc.setLocalProperty("spark.job.description", None)
+        watcher.join()
+    assert seen["rules"] == 1  # the first rule's start, nothing after it
+    path = sc._jvm.org.apache.hadoop.fs.Path(target)
+    assert not path.getFileSystem(sc._jsc.hadoopConfiguration()).exists(path)
+
+
+def test_runs_on_one_session_overlap(spark, tables):
+    import threading
+    from datetime import datetime
+
+    text = (
+        "SELECT 'X' AS SOR, COUNT(*) AS TOTAL_COUNT, 0 AS TOTAL_DOLLAR_AMOUNT, 1/0 AS FAIL_COUNT, 0 AS FAIL_DOLLAR_AMOUNT "
+        "FROM range(0, 6000000, 1, 1) WHERE sha2(CAST(id AS STRING), 256) = 'x'"
+    )
+    df = spark.createDataFrame(
+        [(1, "R", 1, "Y", "FMR", text)], "DQ_ID bigint, DQ_CHK_ID string, DQ_QUEUE_ID bigint, DQ_LRI string, DQ_DMN string, DQ_SQL string"
+    )
+    before, runs = spark.conf.get("spark.sql.ansi.enabled"), []
+    threads = [threading.Thread(target=lambda: runs.append(run_queue(spark, df, config(clock=datetime.now)))) for _ in range(2)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    a, b = (r.outcomes[0] for r in runs)
+    assert a.succeeded and b.succeeded, (a.error, b.error)  # 1/0 is null: both were analysed without ANSI mode
+    assert a.start < b.end and b.start < a.end
+    assert spark.conf.get("spark.sql.ansi.enabled") == before
+
+
+def test_whole_error_text_is_kept_outside_the_results_table(spark, catalog):
+    run = run_queue(spark, catalog.where(F.col("DQ_CHK_ID").isin("C29", "C30")), config(queue_id=5))
+    assert all(len(o.error) > 4000 for o in run.outcomes)
+    assert {len(r.ERROR_MESSAGE) for r in run.results.collect()} == {4000}
+
+
+def test_checkpoint_folder_must_be_named_on_a_cluster():
+    from rulecheck.session import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(ValueError, match="No checkpoint directory"):
+        ensure_checkpoint_dir(Session())

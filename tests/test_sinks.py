@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from datetime import datetime
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
 from rulecheck import JdbcSink, ParquetSink, RunConfig, TableSink, run_queue
+from rulecheck.schema import RESULT_SCHEMA
 from rulecheck.session import checkpoint_root
 from rulecheck.sources.catalog import read_catalog_jdbc
 from rulecheck.testing import corpus as C
@@ -31,6 +34,28 @@ def test_parquet_append_keeps_duplicates(spark, catalog):
     back = sink.read(spark)
     assert back.count() == 4
     assert back.where("EXECUTION_STATUS = 'FAILED'").count() == 2
+    assert back.columns == RESULT_SCHEMA.names
+    # the staged rows are gone, the run's results now come from the sink
+    assert first.staging_dir is None and second.results.count() == 4
+
+
+def test_partitioned_sinks_give_back_what_was_written(spark):
+    now = datetime(2024, 1, 1)
+    rows = [
+        (1, "A", 1, "e", date, "2000-12-31", "FMR", "NA", 1, 2, 3, 4, Decimal("1.00"), Decimal("2.00"), "SUCCESS", None, now, now, now)
+        for date in ("2024-01-15", "", None)
+    ]
+    df = spark.createDataFrame(rows, RESULT_SCHEMA)
+    for sink in (ParquetSink(f"{checkpoint_root(spark)}/parts-{uuid.uuid4().hex}", ("RUN_FIC_MIS_DATE", "DQ_QUEUE_ID")), TableSink(f"parts_{uuid.uuid4().hex[:8]}")):
+        sink.append(df)
+        back = sink.read(spark)
+        assert back.columns == df.columns
+        assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
+
+
+def test_jdbc_sink_bounds_its_writers_only_when_told():
+    assert "numPartitions" not in JdbcSink("jdbc:x", "T").writer_options()
+    assert JdbcSink("jdbc:x", "T", num_partitions=3).writer_options()["numPartitions"] == "3"
 
 
 def test_table_sink(spark, catalog):
@@ -114,3 +139,13 @@ def test_failed_write_aborts_the_run(spark, catalog):
         fh.write("x")  # a plain file where the results folder should be
     with pytest.raises(Exception):
         run_queue(spark, catalog.where(F.col("DQ_CHK_ID").isin("C05")), config(), ParquetSink(target))
+
+
+def test_command_line_run(spark, catalog):
+    from rulecheck.__main__ import main
+
+    root = f"{checkpoint_root(spark)}/job-{uuid.uuid4().hex}"
+    catalog.write.parquet(f"{root}/catalog")
+    args = ["--queue", "1", "--domain", "FMR", "--fic-mis-date", C.FIC_MIS_DATE, "--as-of-dt", C.AS_OF_DT, "--parallel", "4"]
+    tally = main(["--catalog", f"{root}/catalog", "--results", f"{root}/results", *args])
+    assert tally["RULES_TOTAL"] == 20 and ParquetSink(f"{root}/results").read(spark).count() == tally["RESULT_ROWS"]

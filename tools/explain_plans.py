@@ -9,7 +9,6 @@ import contextlib
 import io
 import os
 import sys
-import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -18,7 +17,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from rulecheck import RunConfig, run_queue  # noqa: E402
 from rulecheck.operators.normalise import normalise_summary  # noqa: E402
-from rulecheck.session import ansi_mode, checkpoint_root, ensure_checkpoint_dir  # noqa: E402
+from rulecheck.session import checkpoint_root, ensure_checkpoint_dir, non_ansi  # noqa: E402
 from rulecheck.sources.catalog import collect_rules, prepared_rules, project_catalog, select_rules  # noqa: E402
 from rulecheck.sources.tables import register_parquet_tables  # noqa: E402
 from rulecheck.testing import corpus as C  # noqa: E402
@@ -39,7 +38,7 @@ def main() -> None:
     spark = SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "16").getOrCreate()
     spark.sparkContext.setLogLevel("OFF")
     spark.conf.set("spark.sql.maxMetadataStringLength", "400")
-    ensure_checkpoint_dir(spark, lambda: tempfile.mkdtemp(prefix="rulecheck-plans-"))
+    ensure_checkpoint_dir(spark)
     register_parquet_tables(spark, sf_dir, C.TABLES)
     catalog = C.test_catalog(spark)
     stored_path = f"{checkpoint_root(spark)}/rulecheck-plans-catalog"
@@ -54,13 +53,13 @@ def main() -> None:
         )
     )
     rules = {r.chk_id: r for r in collect_rules(prepared_rules(catalog, C.QUEUE, C.DOMAIN, C.FIC_MIS_DATE, C.AS_OF_DT))}
-    family = collect_rules(prepared_rules(catalog, C.FAMILY_QUEUE, C.DOMAIN, C.FIC_MIS_DATE, C.AS_OF_DT))[0]
+    family = collect_rules(prepared_rules(catalog, C.REGION_QUEUE, C.DOMAIN, C.FIC_MIS_DATE, C.AS_OF_DT))[0]
     for title, rule in (
         ("Rule C03 (join + GROUP BY) with the normaliser on top: what its staged write executes", rules["C03"]),
         ("Rule C02 (window over duplicate keys) with the normaliser", rules["C02"]),
         ("A supplier-family rule: the supplier filter is pushed into the lineitem scan", family),
     ):
-        with ansi_mode(spark, enabled=False):
+        with non_ansi(spark):
             sections.append((title, formatted(normalise_summary(spark.sql(rule.rendered_sql)))))
     run = run_queue(
         spark,
