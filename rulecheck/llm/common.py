@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rulecheck.session import checkpoint_root
+from rulecheck.session import ensure_checkpoint_dir
 
 
 _shipped: set[str] = set()
@@ -46,7 +46,7 @@ def kept_in_worker(key: str, make: Callable[[], object]):
 
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/llm-staging/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{ensure_checkpoint_dir(spark)}/llm-staging/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
