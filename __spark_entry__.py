@@ -249,7 +249,8 @@ def q_sor_default(spark: SparkSession, sf_dir: str) -> DataFrame:
         "FROM global_temp.customer GROUP BY ROLLUP(c_mktsegment, c_nationkey)"
     )
     values = spark.sql(
-        "SELECT c_custkey AS k, CAST(c_acctbal AS FLOAT) AS f, c_acctbal * power(10, c_custkey % 31 - 15) AS d, c_acctbal < 0 AS b, "
+        "SELECT c_custkey AS k, CAST(c_acctbal AS FLOAT) AS f, c_acctbal < 0 AS b, "
+        "CAST(concat(CAST(CAST(round(c_acctbal * 100) AS BIGINT) AS STRING), 'e', CAST(c_custkey % 31 - 15 AS STRING)) AS DOUBLE) AS d, "
         "timestamp_micros(1700000000000000 + c_custkey * 250000) AS t, CAST('' AS BINARY) AS e, slice(array(1), 1, 0) AS a "
         "FROM global_temp.customer"
     )
@@ -462,9 +463,10 @@ def _oracles() -> dict[str, str]:
             "CAST(n AS BIGINT) AS N FROM (SELECT c_mktsegment AS seg, c_nationkey AS nation, COUNT(*) AS n "
             "FROM customer GROUP BY ROLLUP(c_mktsegment, c_nationkey)) t UNION ALL "
             "SELECT c_custkey, CASE WHEN c_acctbal = 0 THEN 'NA' ELSE CAST(CAST(CAST(c_acctbal AS FLOAT) AS DOUBLE) AS VARCHAR) END, "
-            "CASE WHEN c_acctbal = 0 THEN 'NA' ELSE CAST(c_acctbal * power(10, c_custkey % 31 - 15) AS VARCHAR) END, "
+            "CASE WHEN c_acctbal = 0 THEN 'NA' ELSE CAST(CAST(CAST(CAST(round(c_acctbal * 100) AS BIGINT) AS VARCHAR) || 'e' || CAST(c_custkey % 31 - 15 AS VARCHAR) AS DOUBLE) AS VARCHAR) END, "
             "CASE WHEN c_acctbal < 0 THEN 'True' ELSE 'NA' END, "
-            "strftime(make_timestamp(1700000000000000 + c_custkey * 250000), CASE WHEN c_custkey % 4 = 0 THEN '%Y-%m-%d %H:%M:%S' ELSE '%Y-%m-%d %H:%M:%S.%f' END), "
+            "strftime(make_timestamp(1700000000000000 + c_custkey * 250000), '%Y-%m-%d %H:%M:%S') || "
+            "CASE WHEN c_custkey % 4 = 0 THEN '' ELSE strftime(make_timestamp(1700000000000000 + c_custkey * 250000), '.%f') END, "
             "'NANA', CAST(0 AS BIGINT) FROM customer"
         ),
         "fail_count_pct": O.with_catalog(

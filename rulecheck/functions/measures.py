@@ -86,25 +86,23 @@ def sor_label(c: Column, dtype: DataType) -> Column:
 
 
 def float_text(c: Column) -> Column:
-    """A double as Python prints it: plain from 1e-4 to below 1e16, else with an exponent
-    of at least two digits. Spark's text has the same digits, in another layout."""
-    text = F.abs(c).cast("string")
-    exponent = F.coalesce(F.regexp_extract(text, r"E(-?\d+)$", 1).try_cast("int"), F.lit(0))
-    digits = F.regexp_replace(F.regexp_replace(F.regexp_replace(text, r"E.*$", ""), r"\.0$", ""), r"\.", "")
+    """A double as Python prints it: its fewest digits (15, 16 or 17 at most) that read
+    back as the same value, plain from 1e-4 to below 1e16, else with an exponent of at
+    least two digits."""
+    size = F.abs(c)
+    fifteen, sixteen, all_digits = (F.format_string(f"%.{n}e", size) for n in (14, 15, 16))
+    text = F.when(fifteen.cast("double") == size, fifteen).when(sixteen.cast("double") == size, sixteen).otherwise(all_digits)
+    exponent = F.substring_index(text, "e", -1).cast("int")
+    digits = F.regexp_replace(F.replace(F.substring_index(text, "e", 1), F.lit("."), F.lit("")), r"(?<=.)0+$", "")
     rest = F.substr(digits, F.lit(2))
     padded = F.rpad(digits, F.greatest(exponent + 1, F.length(digits)), F.lit("0"))
     behind = F.substr(padded, exponent + 2)
-    plain_large = F.concat(F.substr(padded, F.lit(1), exponent + 1), F.lit("."), F.when(behind == "", "0").otherwise(behind))
-    plain_small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
+    plain = F.concat(F.substr(padded, F.lit(1), exponent + 1), F.lit("."), F.when(behind == "", "0").otherwise(behind))
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
     power = F.concat(F.when(exponent < 0, "-").otherwise("+"), F.when(F.abs(exponent) < 10, "0").otherwise(""), F.abs(exponent).cast("string"))
     scientific = F.concat(F.substr(digits, F.lit(1), F.lit(1)), F.when(rest == "", "").otherwise(F.concat(F.lit("."), rest)), F.lit("e"), power)
-    laid_out = (
-        F.when(~text.contains("E"), text)
-        .when((exponent >= 16) | (exponent < -4), scientific)
-        .when(exponent > 0, plain_large)
-        .otherwise(plain_small)
-    )
-    special = F.when(F.isnan(c), "nan").when(F.abs(c) == float("inf"), F.when(c < 0, "-inf").otherwise("inf"))
+    laid_out = F.when((exponent >= 16) | (exponent < -4), scientific).when(exponent >= 0, plain).otherwise(small)
+    special = F.when(F.isnan(c), "nan").when(size == float("inf"), F.when(c < 0, "-inf").otherwise("inf"))
     return F.coalesce(special, F.concat(F.when(c < 0, "-").otherwise(""), laid_out))
 
 
