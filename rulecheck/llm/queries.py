@@ -14,6 +14,7 @@ from rulecheck.llm.language import op6_language
 from rulecheck.llm.packing import op9_packing
 from rulecheck.llm.quality import op3_quality
 from rulecheck.llm.substrings import OP4_SQL, op4_substrings
+from rulecheck.llm.topk import OP5_SQL, op5_topk
 from rulecheck.llm.warc import op8_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_fingerprints": op2_fingerprints,
     "op3_quality": op3_quality,
     "op4_substrings": op4_substrings,
+    "op5_topk": op5_topk,
     "op6_language": op6_language,
     "op7_jaccard": op7_jaccard,
     "op8_warc": op8_warc,
@@ -31,4 +33,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op1_chat": OP1_SQL,
     "op4_substrings": OP4_SQL,
+    "op5_topk": OP5_SQL,
 }
