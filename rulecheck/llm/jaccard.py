@@ -69,7 +69,7 @@ def needed(sizes: np.ndarray | int, other: np.ndarray | int, num: int, den: int)
 
 
 def _squeeze(*arrays: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T.tobytes() for a in arrays))
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.dtype.itemsize).T.tobytes() for a in arrays))
 
 
 def _expand(data: bytes, *kinds: str) -> list[np.ndarray]:
@@ -150,20 +150,23 @@ def _facts(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
 
 
 def _count(homes: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One bucket: the facts about repeated tokens, with a class of frequency, sent to their documents' homes."""
-    facts, marks, number = [], [], 0
+    """One bucket: the facts about repeated tokens, with a class of frequency, sent to their
+    documents' homes in one row each; the set sizes that came along go on to their home."""
+    facts, marks, settled, sizes, number = [], [], [], [], 0
     for batch in batches:
         rows = batch.to_pydict()
         for b, f, m, s, z in zip(rows["bucket"], rows["facts"], rows["marks"], rows["settled"], rows["sizes"], strict=True):
             number = b
             if z is not None:
-                yield pa.RecordBatch.from_pydict({"home": [b], "bucket": [b], "sizes": [z], "facts": [None]}, schema=_HOME)
+                sizes.append(_expand(z, "<i8", "<i4", "<i4"))
             if f is not None:
                 facts.append(_unpack_facts(f))
             if m is not None:
                 marks.append(_expand(m, "<u8")[0])
-                k, t, r = _unpack_facts(s)
-                yield from _homeward(homes, b, k, t, r, np.full(len(k), FREQUENT, np.uint8))
+                settled.append(_unpack_facts(s))
+    if sizes:
+        packed = _squeeze(*[np.concatenate([z[i] for z in sizes]) for i in range(3)])
+        yield pa.RecordBatch.from_pydict({"home": [number], "bucket": [number], "sizes": [packed], "facts": [None]}, schema=_HOME)
     if not facts:
         return
     key, tie, rem = (np.concatenate([f[i] for f in facts]) for i in range(3))
@@ -178,7 +181,8 @@ def _count(homes: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
     kind = np.repeat(kind, times)
     keep = kind > 1
     order = order[keep]
-    yield from _homeward(homes, number, key[order], tie[order], rem[keep], kind[keep])
+    found = [(key[order], tie[order], rem[keep], kind[keep])] + [(*s, np.full(len(s[0]), FREQUENT, np.uint8)) for s in settled]
+    yield from _homeward(homes, number, *[np.concatenate([f[i] for f in found]) for i in range(4)])
 
 
 def _homeward(homes: int, bucket: int, key: np.ndarray, tie: np.ndarray, rem: np.ndarray, kind: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -211,7 +215,7 @@ def _assemble(num: int, den: int, batches: Iterator[pa.RecordBatch]) -> Iterator
     by = np.lexsort((token, kind, ft, fk))
     fk, ft, token, kind = fk[by], ft[by], token[by], kind[by]
     start = np.flatnonzero(np.concatenate([[True], (fk[1:] != fk[:-1]) | (ft[1:] != ft[:-1])])[: len(fk)])
-    where = {(int(fk[i]), int(ft[i])): (int(i), int(j)) for i, j in zip(start, np.append(start[1:], len(fk)), strict=True)}
+    where = {(int(fk[i]), int(ft[i])): (int(i), int(j)) for i, j in zip(start, np.append(start[1:], len(fk))[: len(start)], strict=True)}
     out: dict[str, list] = {name: [] for name in _DOCUMENT.names}
     held = 0
     for k, t, size in zip(key.tolist(), tie.tolist(), n.tolist(), strict=True):
