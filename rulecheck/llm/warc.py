@@ -49,10 +49,9 @@ def name_of(page_id: Column) -> Column:
 
 
 def base32(hexadecimal: Column) -> Column:
-    """Base32 text of a SHA-1 given in hexadecimal (160 bits are 32 digits, no padding)."""
-    bits = F.concat(*[F.lpad(F.conv(F.substring(hexadecimal, 1 + 10 * k, 10), 16, 2), 40, "0") for k in range(4)])
-    digits = F.transform(F.sequence(F.lit(0), F.lit(31)), lambda i: F.substr(F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"), (F.conv(F.substr(bits, i * 5 + 1, F.lit(5)), 2, 10) + 1).cast("int"), F.lit(1)))
-    return F.array_join(digits, "")
+    """Base32 text of a SHA-1 given in hexadecimal: its four quarters are 8 digits each (no padding)."""
+    digits = F.concat(*[F.lpad(F.conv(F.substring(hexadecimal, 1 + 10 * k, 10), 16, 32), 8, "0") for k in range(4)])
+    return F.translate(digits, "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
 
 def records(pages: DataFrame, min_payload: int = MIN_PAYLOAD) -> DataFrame:
@@ -71,8 +70,8 @@ def records(pages: DataFrame, min_payload: int = MIN_PAYLOAD) -> DataFrame:
     shared = digests.groupBy("sha").agg(F.max("page_id").alias("first"), F.count("*").alias("pages")).where("pages > 1").drop("pages")
     revisits = digests.join(shared, "sha").where("page_id <> first").select("page_id", "first").distinct()
     revisits = stage(revisits, "revisits")
-    joined = rows.join(revisits, "page_id", "left")
-    digest = base32(F.sha1(F.col("html").cast("binary")))
+    joined = rows.join(revisits, "page_id", "left").withColumn("sha", F.sha1(F.col("html").cast("binary")))
+    digest = base32(F.col("sha"))
     size = F.octet_length("html")
     again = F.col("first").isNotNull()
     head = F.concat(
