@@ -26,7 +26,7 @@ def segments(sorted_values: np.ndarray) -> list[tuple[int, int]]:
 
 def pack_places(key: np.ndarray, tie: np.ndarray, pos: np.ndarray) -> bytes:
     parts = [np.diff(key, prepend=key.dtype.type(0)), np.diff(tie, prepend=tie.dtype.type(0)), np.diff(pos, prepend=pos.dtype.type(0))]
-    flat = b"".join(p.astype(t).view(np.uint8).reshape(len(p), -1).T.tobytes() for p, t in zip(parts, ("<i8", "<i4", "<i4"), strict=True))
+    flat = b"".join(p.astype(t).view(np.uint8).reshape(len(p), np.dtype(t).itemsize).T.tobytes() for p, t in zip(parts, ("<i8", "<i4", "<i4"), strict=True))
     return zstandard.ZstdCompressor(level=1).compress(flat)
 
 
