@@ -51,5 +51,5 @@ def test_registered():
     names = e.queries()
     assert names["pipeline"] is p.run and "pipeline" not in e.oracle_sql()
     assert [n for n in names if n.startswith("op")] == [
-        "op1_chat", "op2_fingerprints", "op3_quality", "op4_substrings", "op6_language", "op7_jaccard", "op8_warc", "op9_packing", "op10_encoding",
+        "op1_chat", "op2_fingerprints", "op3_quality", "op4_substrings", "op5_topk", "op6_language", "op7_jaccard", "op8_warc", "op9_packing", "op10_encoding",
     ]
