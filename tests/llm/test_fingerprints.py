@@ -64,7 +64,8 @@ def test_odd_tables(spark):
     empty = [r for r in rows if r.doc_id == 3]
     assert empty[0].fingerprint == "" and {r.near_edited for r in empty} == {1.0}
     prints = f.fingerprint_documents(spark.createDataFrame([(1, "A b c"), (2, "a b  C"), (3, None)], kind)).collect()
-    assert [r.fingerprint == prints[0].fingerprint for r in prints] == [True, False, False] and prints[2].fingerprint == ""
+    # letter case and white space between words do not count
+    assert [r.fingerprint == prints[0].fingerprint for r in prints] == [True, True, False] and prints[2].fingerprint == ""
 
 
 def test_densification_follows_the_probe_sequence():
