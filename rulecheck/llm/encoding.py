@@ -20,7 +20,9 @@ length is encoded whole.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import unicodedata
 import uuid
@@ -160,7 +162,9 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, lexicon_words: int =
     sc = ship_package(docs.sparkSession).sparkContext
     model = load_model(tokenizer_path)
     name = f"lexicon-{uuid.uuid4().hex[:12]}.npy"
-    path = os.path.join(tempfile.mkdtemp(prefix="rulecheck-lexicon-"), name)
+    scratch = tempfile.mkdtemp(prefix="rulecheck-lexicon-")  # the driver serves the file while the application runs
+    atexit.register(shutil.rmtree, scratch, ignore_errors=True)
+    path = os.path.join(scratch, name)
     np.save(path, compile_lexicon(docs, model, lexicon_words))
     sc.addFile(path)
     shared = sc.broadcast(model)
