@@ -101,7 +101,8 @@ def search(vectors: DataFrame, queries: DataFrame, id_column: str, vector_column
         probes = open_queries.select("*", F.inline(F.array(*[F.struct(F.lit(j).alias("segment"), s.alias("near")) for j, s in enumerate(query_segments)])))
         probes = probes.select(*asking, "worst", "segment", "near", F.explode(F.lit(masks).cast("array<int>")).alias("mask"))
         probes = probes.withColumn("value", F.col("near").bitwiseXOR(F.col("mask"))).drop("near", "mask")
-        met = probes.join(index, ["segment", "value"])
+        # both sides are shuffled: the probes are many more than their source's size tells Spark
+        met = probes.hint("merge").join(index, ["segment", "value"])
         first = F.lit(True)
         for j, a in enumerate(apart):  # the entry's first nearest segment reports it, in that segment's round
             first = first & F.when(F.col("segment") > j, a > radius).otherwise(a >= radius)
