@@ -60,6 +60,7 @@ HOT_IN_BLOCK = 8  # documents of one block that make a token frequent
 FREQUENT = 255
 GROUP_TOKENS = 1 << 18
 QUERIES_PER_TASK = 512
+SALTS = 8
 _REM = np.uint64((1 << 48) - 1)
 
 
@@ -450,6 +451,14 @@ def link_across(groups: DataFrame, num: int, den: int) -> DataFrame:
     return rows.mapInArrow(lambda b: _compare(num, den, b), "a bigint, b bigint")
 
 
+def salted_join(documents: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """Documents joined to a table with one row per ``key``, of which one key may have a
+    large share of all documents: they are spread over SALTS partitions each."""
+    spread = documents.withColumn("salt", F.pmod(F.xxhash64("_k", "_h"), F.lit(SALTS)).cast("int"))
+    repeated = table.withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
+    return spread.join(repeated, [key, "salt"]).drop("salt")
+
+
 def jaccard_components(docs: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
     """``_k``, ``_h`` (key of a document, see ``keyed``), ``n`` (set size), and ``first_k``,
     ``first_h``: the key of the smallest document of its component; one row per document."""
@@ -465,9 +474,9 @@ def jaccard_components(docs: DataFrame, num: int = NUM, den: int = DEN) -> DataF
     joined = components(link_across(groups, num, den)).select(F.col("node").alias("label"), F.col("label").alias("whole"))
     of = groups.select("node", "label").join(joined, "label", "left").select("node", F.coalesce("whole", "label").alias("component"))
     of = reps.select("digest", "node").join(of, "node").select("digest", "component")
-    member = stage(able.select("_k", "_h", "n", "digest").join(of, "digest").select("_k", "_h", "n", "component"), "members")
+    member = stage(salted_join(able.select("_k", "_h", "n", "digest"), of, "digest").select("_k", "_h", "n", "component"), "members")
     first = member.groupBy("component").agg(F.min(F.struct("_k", "_h")).alias("first"))
-    linked = member.join(first, "component").select("_k", "_h", "n", F.col("first._k").alias("first_k"), F.col("first._h").alias("first_h"))
+    linked = salted_join(member, first, "component").select("_k", "_h", "n", F.col("first._k").alias("first_k"), F.col("first._h").alias("first_h"))
     alone = sets.where("digest IS NULL").select("_k", "_h", "n", F.col("_k").alias("first_k"), F.col("_h").alias("first_h"))
     return linked.unionByName(alone)
 
