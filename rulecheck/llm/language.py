@@ -135,7 +135,7 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, landmarks: int = LANDMA
     for r in sums.collect():  # one pair of sums per summing task, each of a fixed size
         gram += np.frombuffer(r["gram"]).reshape(m, m)
         target += np.frombuffer(r["target"]).reshape(m, -1)
-    own = basis.astype(np.float64) @ basis.T.astype(np.float64)
+    own = (basis @ basis.T).astype(np.float64)
     level, vectors = np.linalg.eigh(own)
     keep = level > 1e-6 * level.max()
     white = vectors[:, keep] / np.sqrt(level[keep])  # kernel row -> Nyström coordinates
@@ -145,7 +145,7 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, landmarks: int = LANDMA
     penalty = RIDGE * np.trace(inner) / len(inner) * np.eye(len(inner))
     penalty[-1, -1] = 1e-9
     solved = lift @ np.linalg.solve(inner + penalty, lift.T @ target)
-    return Model(names, (basis.T.astype(np.float64) @ solved[:-1]).astype(np.float32), solved[-1])
+    return Model(names, np.ascontiguousarray((solved[:-1].T.astype(np.float32) @ basis).T), solved[-1])
 
 
 def predict(model: Model, raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
