@@ -18,8 +18,10 @@ payload with a magic was split into are joined again.
 
 Cases: null and empty html are empty payloads; a null page id has an empty
 name and is always a response; repeated rows are written once each (equal ones
-are all responses or all revisits); an empty table makes archives without records; other columns are ignored. A
-chain that breaks off (a truncated archive) keeps the records before the break.
+are all responses or all revisits); of one page id with several payloads, each
+payload is a response or a revisit by itself; an empty table makes archives
+without records; other columns are ignored. A chain that breaks off (a truncated
+archive) keeps the records before the break.
 """
 
 from __future__ import annotations
@@ -58,20 +60,22 @@ def records(pages: DataFrame, min_payload: int = MIN_PAYLOAD) -> DataFrame:
     """Record texts (``value``), one per page.
 
     Digests are computed in a pass that moves no payloads; only pages that revisit
-    another one (staged, so that Spark knows their size) are joined to the payloads.
+    another one (staged, so that Spark knows their size) are joined to the payloads,
+    by page and payload.
     """
     rows = pages.select(
         F.col("page_id").cast("bigint").alias("page_id"),
         F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"),
         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"),
     )
-    digests = rows.select("page_id", F.unhex(F.sha1(F.col("html").cast("binary"))).alias("sha"), F.octet_length("html").alias("bytes"))
+    rows = rows.withColumn("sha", F.unhex(F.sha1(F.col("html").cast("binary"))))
+    digests = rows.select("page_id", "sha", F.octet_length("html").alias("bytes"))
     digests = digests.where((F.col("bytes") >= min_payload) & F.col("page_id").isNotNull())
     shared = digests.groupBy("sha").agg(F.max("page_id").alias("first"), F.count("*").alias("pages")).where("pages > 1").drop("pages")
-    revisits = digests.join(shared, "sha").where("page_id <> first").select("page_id", "first").distinct()
+    revisits = digests.join(shared, "sha").where("page_id <> first").select("page_id", "sha", "first").distinct()
     revisits = stage(revisits, "revisits")
-    joined = rows.join(revisits, "page_id", "left").withColumn("sha", F.sha1(F.col("html").cast("binary")))
-    digest = base32(F.col("sha"))
+    joined = rows.join(revisits, ["page_id", "sha"], "left")
+    digest = base32(F.hex("sha"))
     size = F.octet_length("html")
     again = F.col("first").isNotNull()
     head = F.concat(

@@ -62,6 +62,17 @@ def test_small_payloads_are_no_revisits(spark):
     assert kinds == {1: "response", 2: "response", 3: "revisit", 4: "response"}
 
 
+def test_one_page_id_over_several_payloads(spark):
+    """Each payload of a page id is a response or a revisit by itself; every row is written once."""
+    rows = [(1, "u", "A"), (1, "u", "B"), (2, "u", "A"), (3, "u", "C"), (3, "u", "D"), (4, "u", "C"), (5, "u", "D")]
+    path = staging_path(spark, "warc")
+    warc.write_archives(spark.createDataFrame(rows, "page_id bigint, url string, html string"), path)
+    found = warc.pages_of(warc.read_records(spark, path)).collect()
+    own = {(1, "A"): 2, (1, "B"): None, (2, "A"): None, (3, "C"): 4, (3, "D"): 5, (4, "C"): None, (5, "D"): None}
+    expected = [(i, 1, digest(t.encode()), "response" if of is None else "revisit", of or 0) for (i, t), of in own.items()]
+    assert sorted((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to or 0) for r in found) == sorted(expected)
+
+
 def test_empty_table(spark):
     path = staging_path(spark, "warc")
     warc.write_archives(spark.createDataFrame([], "page_id bigint, url string, html string"), path)
