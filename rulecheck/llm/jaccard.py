@@ -32,7 +32,7 @@ Tokens are 48 bits within their bucket, classes 128 bits.
 Cases: texts without words have an empty set and link with nothing, not even with
 each other; texts with fewer words than a shingle have one token, the whole
 sequence; a null ``doc_id`` counts as smaller than all others; rows of equal
-``doc_id`` are told apart by a hash of their text, repeated rows are equal sets;
+``doc_id`` are told apart by a 64-bit hash of their text, repeated rows are equal sets;
 an empty table gives no rows; other columns of ``docs`` are ignored. Texts are
 read whole.
 """
@@ -91,9 +91,9 @@ _BUCKET = pa.schema([("bucket", pa.int32()), ("facts", pa.binary()), ("marks", p
 _BUCKET_SQL = "bucket int, facts binary, marks binary, settled binary, sizes binary"
 _HOME = pa.schema([("home", pa.int32()), ("bucket", pa.int32()), ("sizes", pa.binary()), ("facts", pa.binary())])
 _HOME_SQL = "home int, bucket int, sizes binary, facts binary"
-_DOCUMENT_SQL = "_k bigint, _h int, n int, digest binary, tokens binary, g1 bigint, g2 bigint"
+_DOCUMENT_SQL = "_k bigint, _h bigint, n int, digest binary, tokens binary, g1 bigint, g2 bigint"
 _DOCUMENT = pa.schema(
-    [("_k", pa.int64()), ("_h", pa.int32()), ("n", pa.int32()), ("digest", pa.binary()), ("tokens", pa.binary()), ("g1", pa.int64()), ("g2", pa.int64())]
+    [("_k", pa.int64()), ("_h", pa.int64()), ("n", pa.int32()), ("digest", pa.binary()), ("tokens", pa.binary()), ("g1", pa.int64()), ("g2", pa.int64())]
 )
 
 
@@ -115,8 +115,8 @@ def _pack_facts(key: np.ndarray, tie: np.ndarray, rem: np.ndarray, *more: np.nda
 
 
 def _unpack_facts(data: bytes, *more: str) -> list[np.ndarray]:
-    key, tie, low, high, *rest = _expand(data, "<i8", "<i4", "<u4", "<u2", *more)
-    return [np.cumsum(key), np.cumsum(tie, dtype=np.int32), low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32), *rest]
+    key, tie, low, high, *rest = _expand(data, "<i8", "<i8", "<u4", "<u2", *more)
+    return [np.cumsum(key), np.cumsum(tie), low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32), *rest]
 
 
 def _facts(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,7 +159,7 @@ def _count(homes: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         for b, f, m, s, z in zip(rows["bucket"], rows["facts"], rows["marks"], rows["settled"], rows["sizes"], strict=True):
             number = b
             if z is not None:
-                sizes.append(_expand(z, "<i8", "<i4", "<i4"))
+                sizes.append(_expand(z, "<i8", "<i8", "<i4"))
             if f is not None:
                 facts.append(_unpack_facts(f))
             if m is not None:
@@ -204,14 +204,14 @@ def _assemble(num: int, den: int, batches: Iterator[pa.RecordBatch]) -> Iterator
         rows = batch.to_pydict()
         for b, z, f in zip(rows["bucket"], rows["sizes"], rows["facts"], strict=True):
             if z is not None:
-                sizes.append(_expand(z, "<i8", "<i4", "<i4"))
+                sizes.append(_expand(z, "<i8", "<i8", "<i4"))
             else:
                 k, t, r, c = _unpack_facts(f, "u1")
                 facts.append((k, t, np.uint64(b) << np.uint64(48) | r, c))
     if not sizes:
         return
     key, tie, n = (np.concatenate([s[i] for s in sizes]) for i in range(3))
-    fk, ft, token, kind = (np.concatenate([f[i] for f in facts]) for i in range(4)) if facts else (np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.uint64), np.zeros(0, np.uint8))
+    fk, ft, token, kind = (np.concatenate([f[i] for f in facts]) for i in range(4)) if facts else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint8))
     del facts
     by = np.lexsort((token, kind, ft, fk))
     fk, ft, token, kind = fk[by], ft[by], token[by], kind[by]
@@ -252,7 +252,7 @@ def keyed(docs: DataFrame) -> DataFrame:
     """Order key (null first), tie-break and text of documents, and all columns as ``_rest``."""
     return docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_k"),
-        F.hash(F.col("text").cast("string")).alias("_h"),
+        F.xxhash64(F.col("text").cast("string")).alias("_h"),
         F.col("text").cast("string").alias("text"),
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_rest"),
     )

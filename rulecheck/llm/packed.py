@@ -1,6 +1,6 @@
 """Compact rows for shuffling many small facts: hashes, and (document, position) places.
 
-A place is a document's order key (64 bits), a tie-break (32 bits) and a word
+A place is a document's order key (64 bits), a tie-break (64 bits) and a word
 position (32 bits). Arrays of places are stored as differences and compressed,
 so a run of places in one document costs about a byte each.
 """
@@ -26,15 +26,15 @@ def segments(sorted_values: np.ndarray) -> list[tuple[int, int]]:
 
 def pack_places(key: np.ndarray, tie: np.ndarray, pos: np.ndarray) -> bytes:
     parts = [np.diff(key, prepend=key.dtype.type(0)), np.diff(tie, prepend=tie.dtype.type(0)), np.diff(pos, prepend=pos.dtype.type(0))]
-    flat = b"".join(p.astype(t).view(np.uint8).reshape(len(p), np.dtype(t).itemsize).T.tobytes() for p, t in zip(parts, ("<i8", "<i4", "<i4"), strict=True))
+    flat = b"".join(p.astype(t).view(np.uint8).reshape(len(p), np.dtype(t).itemsize).T.tobytes() for p, t in zip(parts, ("<i8", "<i8", "<i4"), strict=True))
     return zstandard.ZstdCompressor(level=1).compress(flat)
 
 
 def unpack_places(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     flat = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
-    n = len(flat) // 16
+    n = len(flat) // 20
     out = []
-    for lo, width, kind in ((0, 8, "<i8"), (8, 4, "<i4"), (12, 4, "<i4")):
+    for lo, width, kind in ((0, 8, "<i8"), (8, 8, "<i8"), (16, 4, "<i4")):
         cells = flat[lo * n : (lo + width) * n].reshape(width, n).T
         out.append(np.cumsum(np.ascontiguousarray(cells).view(kind).ravel(), dtype=kind))
     return out[0], out[1], out[2]

@@ -20,7 +20,7 @@ Buckets and partitions follow ``spark.sql.shuffle.partitions``.
 
 Cases: null and empty texts have no words; texts under 20 words lose none; a
 null ``doc_id`` comes before all others; rows of equal ``doc_id`` follow the
-order of a hash of their texts, and rows equal in both are one document that is
+order of a 64-bit hash of their texts, and rows equal in both are one document that is
 there twice (both keep the same words); an empty table gives no rows. Other
 columns pass through whatever their names. Texts are read whole; a task holds
 one block of input, a long text alone.
@@ -277,12 +277,12 @@ def remove_repeats(docs: DataFrame, as_is: bool = False) -> DataFrame:
     others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
     keyed = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)).cast("long")).alias("_k"),
-        F.hash(F.col("text").cast("string")).alias("_h"),
+        F.xxhash64(F.col("text").cast("string")).alias("_h"),
         F.col("text").cast("string").alias("text"),
         F.struct(*others).alias("_rest"),
     )
     ranges = "array<struct<start:bigint,end:bigint>>"
-    place, sent = "_k bigint, _h int, at array<int>", "home int, places binary"
+    place, sent = "_k bigint, _h bigint, at array<int>", "home int, places binary"
 
     probes = keyed.select("_k", "_h", "text").mapInArrow(lambda b: _index_and_probes(buckets, b), "bucket int, probes binary, blocks binary, places binary")
     anchors = probes.repartitionById(buckets, "bucket").mapInArrow(lambda b: _anchors(buckets, b), sent)

@@ -158,6 +158,29 @@ def test_join_of_odd_tables(spark):
     assert sorted(((r.doc_id or 0), r.text) for r in jaccard.keep_first(df).collect()) == [(0, "a b"), (8, ""), (8, "")]
 
 
+def colliding():
+    """Texts of equal 32-bit hash (``F.hash``); the first repeats 25 of its words, the other none."""
+    p, q = (" ".join(f"{c}{i}" for i in range(n)) for c, n in (("p", 25), ("q", 60)))
+    return f"{p} {p} a6064", f"{q} b257127"
+
+
+def test_removal_keeps_texts_of_one_id_apart_whose_short_hashes_collide(spark):
+    a, b = colliding()
+    df = spark.createDataFrame([(None, a), (None, b), (5, a), (5, b)], "doc_id bigint, text string")
+    assert df.selectExpr("hash(text) AS h").distinct().count() == 1
+    first = substrings.remove_repeats(df.where("doc_id IS NULL")).collect()
+    assert sorted((r.n_words, r.n_removed) for r in first) == [(51, 25), (61, 0)]
+    assert b in [r.text for r in first]
+
+
+def test_join_keeps_texts_of_one_id_apart_whose_short_hashes_collide(spark):
+    texts = colliding()
+    for doc_id in (None, 5):
+        df = spark.createDataFrame([(doc_id, t) for t in texts], "doc_id bigint, text string")
+        assert sorted(r.text for r in jaccard.keep_first(df).collect()) == sorted(texts)
+        assert sorted(r.n for r in jaccard.jaccard_components(df).collect()) == sorted(len(word_set(t)) for t in texts)
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(i, i + 1) for i in range(100, 150)]
     star = [(5, i) for i in range(300, 400)]
