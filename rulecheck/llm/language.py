@@ -12,7 +12,8 @@ columns x languages, so scoring is a batched matrix product of presence rows
 with that matrix, divided by each text's norm. The model's size is fixed.
 
 Training uses at most about ``SAMPLE_ROWS`` texts, chosen by a hash of
-``doc_id``; their kernel rows are computed by the executors, which return sums
+``doc_id`` and text among different rows, so a repeated ``doc_id`` or row counts no
+more than it holds texts; their kernel rows are computed by the executors, which return sums
 of products (landmarks x landmarks), not rows. Every text is predicted whole.
 
 Cases: null texts and texts without a letter get ``und`` and score 0; rows with
@@ -93,20 +94,20 @@ def is_training(doc_id: Column) -> Column:
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, landmarks: int = LANDMARKS) -> Model:
     """Model learned from ``text`` and ``lang`` of a bounded sample of ``docs``."""
     spark = ship_package(docs.sparkSession)
-    known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang")).where("doc_id IS NOT NULL AND lang IS NOT NULL")
-    known = known.where(is_training(F.col("doc_id")))
-    per = known.groupBy("lang").agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "lang").collect()  # one row per language
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    rows = rows.where("doc_id IS NOT NULL AND lang IS NOT NULL").where(is_training(F.col("doc_id"))).withColumn("drawn", F.xxhash64("doc_id", "text"))
+    per = rows.select("lang", "drawn").distinct().groupBy("lang").agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "lang").collect()  # one row per language
     if not per:
         return Model([], np.zeros((COLUMNS, 0), np.float32), np.zeros(0))
     names = [r["lang"] for r in per]
     quota = sample_rows / len(names)
     share = F.create_map(*[F.lit(x) for r in per for x in (r["lang"], int(min(1.0, quota / r["rows"]) * (1 << 30)))])
     first = F.create_map(*[F.lit(x) for r in per for x in (r["lang"], int(min(1.0, landmarks / len(names) / r["rows"]) * (1 << 30)))])
-    dealt = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    rows = rows.where("doc_id IS NOT NULL AND lang IS NOT NULL").where(is_training(F.col("doc_id")))
-    sample = rows.where(dealt < F.element_at(share, F.col("lang")))
+    dealt = F.pmod(F.col("drawn"), F.lit(1 << 30))
+    sample = rows.where(dealt < F.element_at(share, F.col("lang"))).dropDuplicates(["lang", "drawn"])
     marks = sample.where(dealt < F.element_at(first, F.col("lang"))).select("text").toPandas()  # about ``landmarks`` texts
+    if marks.empty:
+        return Model([], np.zeros((COLUMNS, 0), np.float32), np.zeros(0))
     raw, offs = text_buffer(pa.array(sorted(t or "" for t in marks["text"]), pa.large_string()))
     basis = np.concatenate([_normed(presence(raw[offs[a] : offs[b]], offs[a : b + 1] - offs[a])) for a, b in slices(offs, BLOCK_BYTES, BLOCK_ROWS)])
     used = np.flatnonzero(basis.any(axis=0))
@@ -131,7 +132,7 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, landmarks: int = LANDMA
 
     m = basis.shape[0] + 1
     gram, target = np.zeros((m, m)), np.zeros((m, len(names)))
-    sums = sample.repartition(SUMMING_TASKS, "doc_id").mapInArrow(run, "gram binary, target binary")
+    sums = sample.repartition(SUMMING_TASKS, "drawn").select("doc_id", "text", "lang").mapInArrow(run, "gram binary, target binary")
     for r in sums.collect():  # one pair of sums per summing task, each of a fixed size
         gram += np.frombuffer(r["gram"]).reshape(m, m)
         target += np.frombuffer(r["target"]).reshape(m, -1)

@@ -66,6 +66,18 @@ def test_language_on_held_out_rows(spark):
     assert all(0 <= r.score <= 1 for r in got.values())
 
 
+def test_language_learns_from_repeated_ids(spark):
+    """A row there 1000 times, and an id of 1000 texts, count as the texts that they hold."""
+    kind = "doc_id bigint, text string, lang string"
+    repeated = spark.createDataFrame([(i, "the cat and the dog", "en") for i in (1, 3, 4, 5, 6, 7, 8) for _ in range(1000)], kind)
+    for doc_id in (1, 3, 4, 5, 6, 7, 8):
+        own = repeated.where(f"doc_id = {doc_id}")
+        learns = own.where(language.is_training(language.F.col("doc_id"))).count() > 0
+        assert language.fit(own, landmarks=8).languages == (["en"] if learns else [])
+    texts = spark.createDataFrame([(1, f"the cat and dog {chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}", "en") for i in range(1000)], kind)
+    assert language.fit(texts, landmarks=32).languages == ["en"]
+
+
 def test_language_of_odd_rows(spark):
     rows = [(i, "the cat and the dog " * 3, "en") for i in range(30)] + [(i, "le chat et le chien " * 3, "fr") for i in range(30, 60)]
     docs = spark.createDataFrame(rows + [(None, "x", "en"), (61, "y", None), (62, None, "fr")], "doc_id bigint, text string, lang string")
