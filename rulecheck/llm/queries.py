@@ -12,9 +12,12 @@ from rulecheck.llm.fingerprints import op2_fingerprints
 from rulecheck.llm.jaccard import op7_jaccard
 from rulecheck.llm.language import op6_language
 from rulecheck.llm.packing import op9_packing
+from rulecheck.llm.page_text import op12_main_text
+from rulecheck.llm.prefix_trie import OP11_SQL, op11_prefixes
 from rulecheck.llm.quality import op3_quality
 from rulecheck.llm.substrings import OP4_SQL, op4_substrings
 from rulecheck.llm.topk import OP5_SQL, op5_topk
+from rulecheck.llm.vector_codes import OP13_SQL, op13_codes
 from rulecheck.llm.warc import op8_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -28,10 +31,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_packing": op9_packing,
     "op10_encoding": op10_encoding,
+    "op11_prefixes": op11_prefixes,
+    "op12_main_text": op12_main_text,
+    "op13_codes": op13_codes,
 }
 
 ORACLES: dict[str, str] = {
     "op1_chat": OP1_SQL,
     "op4_substrings": OP4_SQL,
     "op5_topk": OP5_SQL,
+    "op11_prefixes": OP11_SQL,
+    "op13_codes": OP13_SQL,
 }
