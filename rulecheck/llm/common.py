@@ -9,7 +9,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -63,6 +63,24 @@ def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+NO_ID = -(1 << 63)
+
+
+def document_key() -> tuple[Column, Column]:
+    """``_k`` and ``_h``: order key and tie-break of documents. Rows of equal ``doc_id`` are told
+    apart by 63 bits of a hash of their text; a null id stands as NO_ID with the sign bit of
+    ``_h`` set, so it comes before all ids and is not taken for the smallest one."""
+    none = F.col("doc_id").cast("long").isNull()
+    bits = F.xxhash64(F.col("text").cast("string")).bitwiseAND(F.lit((1 << 63) - 1))
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
+    return key.alias("_k"), F.when(none, bits.bitwiseOR(F.lit(NO_ID))).otherwise(bits).alias("_h")
+
+
+def id_of(key: str, tie: str) -> Column:
+    """The document id of a key, null for none."""
+    return F.when((F.col(key) != F.lit(NO_ID)) | (F.col(tie) >= 0), F.col(key))
+
+
 def documents(docs: DataFrame, *columns: str) -> DataFrame:
     """The named columns of ``docs`` (``doc_id`` as long, ``text`` as string), and no
     others, so extra columns of the input can never clash with an operator's own."""

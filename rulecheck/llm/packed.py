@@ -1,7 +1,7 @@
 """Compact rows for shuffling many small facts: hashes, and (document, position) places.
 
-A place is a document's order key (64 bits), a tie-break (64 bits) and a word
-position (32 bits). Arrays of places are stored as differences and compressed,
+A place is a document's order key (64 bits), a tie-break (64 bits, see
+``common.document_key``) and a word position (32 bits). Arrays of places are stored as differences and compressed,
 so a run of places in one document costs about a byte each.
 """
 
@@ -10,6 +10,8 @@ from __future__ import annotations
 import numpy as np
 import zstandard
 
+from rulecheck.llm.kernels import mix
+
 U32 = np.uint32
 
 
@@ -40,7 +42,8 @@ def unpack_places(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return out[0], out[1], out[2]
 
 
-def home_of(key: np.ndarray, homes: int) -> np.ndarray:
-    """The partition in which all facts about a document meet."""
-    x = key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return bucket_of(x ^ (x >> np.uint64(31)), homes)
+def home_of(key: np.ndarray, tie: np.ndarray, homes: int) -> np.ndarray:
+    """The partition in which all facts about a document meet. Documents of one id (or
+    none) but different texts have different homes."""
+    x = mix(key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ mix(tie.view(np.uint64)))
+    return bucket_of(x, homes)

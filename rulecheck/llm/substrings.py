@@ -13,14 +13,15 @@ How it runs: texts are scanned once for the index and the probes, and shuffled
 once, by document; both later joins reuse that shuffle. Probes go to hash
 buckets as 32-bit remainders, each distinct one once per block of input (twice
 if it repeats there), so a passage that half of all documents share costs a few
-bytes per block. A false match of remainders only adds a candidate. Windows are
+bytes per block; places of a block that occurs twice in one block of input go
+straight to their documents. A false match of remainders only adds a candidate. Windows are
 compared by 64 bits plus a bucket from independent bits. A window that repeats
 inside a block of input is settled there; only its first occurrence travels.
 Buckets and partitions follow ``spark.sql.shuffle.partitions``.
 
 Cases: null and empty texts have no words; texts under 20 words lose none; a
 null ``doc_id`` comes before all others; rows of equal ``doc_id`` follow the
-order of a 64-bit hash of their texts, and rows equal in both are one document that is
+order of a 63-bit hash of their texts, and rows equal in both are one document that is
 there twice (both keep the same words); an empty table gives no rows. Other
 columns pass through whatever their names. Texts are read whole; a task holds
 one block of input, a long text alone.
@@ -32,10 +33,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rulecheck.llm.common import partitions, ship_package, stage
+from rulecheck.llm.common import document_key, partitions, ship_package, stage
 from rulecheck.llm.kernels import mix, rolling, slices, text_buffer, window_starts, words
 from rulecheck.llm.packed import bucket_of, home_of, pack_places, segments, unpack_places
 
@@ -61,7 +63,10 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _index_and_probes(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per bucket: remainders of all rolling runs, and the reference blocks with their places."""
+    """Per bucket: remainders of all rolling runs, and the reference blocks with their places.
+    A block whose words occur again in the same block of input is an anchor for sure: its
+    places are settled and travel under their documents' homes (``probes`` null), so a
+    bucket gets one place of a value from a block of input at most."""
     for batch in _blocks(batches):
         w = words(*text_buffer(batch.column("text")))
         start, row = window_starts(w.rows, BLOCK)
@@ -70,10 +75,14 @@ def _index_and_probes(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterat
             continue
         pos = start - w.rows[row]
         anchor = np.flatnonzero(pos % BLOCK == 0)
-        distinct, times = np.unique(value, return_counts=True)
+        distinct, inverse, times = np.unique(value, return_inverse=True, return_counts=True)
         probes = np.repeat(distinct, np.minimum(times, 2))
+        key, tie = batch.column("_k").to_numpy(), batch.column("_h").to_numpy()
+        settled = anchor[times[inverse[anchor]] > 1]
+        yield from _settled(buckets, key[row[settled]], tie[row[settled]], pos[settled].astype(np.int32))
+        anchor = anchor[times[inverse[anchor]] == 1]
         anchor = anchor[np.argsort(value[anchor], kind="stable")]
-        key, tie = batch.column("_k").to_numpy()[row[anchor]], batch.column("_h").to_numpy()[row[anchor]]
+        key, tie = key[row[anchor]], tie[row[anchor]]
         place, block_value = pos[anchor].astype(np.int32), value[anchor]
         edges = np.arange(buckets + 1)
         p_at = np.searchsorted(bucket_of(probes, buckets), edges)
@@ -92,10 +101,22 @@ def _index_and_probes(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterat
 _BUCKET = pa.schema([("bucket", pa.int32()), ("probes", pa.binary()), ("blocks", pa.binary()), ("places", pa.binary())])
 
 
+def _settled(homes: int, key: np.ndarray, tie: np.ndarray, pos: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for sent in _homeward(homes, key, tie, pos):
+        none = pa.nulls(len(sent), pa.binary())
+        yield pa.RecordBatch.from_arrays([sent.column("home"), none, none, sent.column("places")], schema=_BUCKET)
+
+
 def _anchors(homes: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One bucket: the reference blocks whose words occur at least twice."""
+    """One bucket: the reference blocks whose words occur at least twice. Settled places go on
+    to the home with the bucket's number as they come."""
     probes, blocks, places = [], [], []
-    for batch in batches:
+    for whole in batches:
+        done = whole.column("probes").is_null()
+        if whole.column("probes").null_count:
+            sent = whole.filter(done)
+            yield pa.RecordBatch.from_arrays([sent.column("bucket"), sent.column("places")], schema=_HOME)
+        batch = whole.filter(pa.compute.invert(done))
         probes += [np.frombuffer(x, np.uint32) for x in batch.column("probes").to_pylist()]
         for b, p in zip(batch.column("blocks").to_pylist(), batch.column("places").to_pylist(), strict=True):
             if b:
@@ -123,7 +144,7 @@ def _anchors(homes: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
 def _homeward(homes: int, key: np.ndarray, tie: np.ndarray, pos: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Places dealt to the homes of their documents, one compact row per home."""
     if len(key):
-        home = home_of(key, homes)
+        home = home_of(key, tie, homes)
         order = np.lexsort((pos, tie, key, home))
         out: dict[str, list] = {"home": [], "places": []}
         for lo, hi in segments(home[order]):
@@ -193,7 +214,7 @@ def _windows(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Rec
             if later.any():
                 k, t, p, r = key[of[later]], tie[of[later]], pos[later], place[later]
                 o = np.argsort(r, kind="stable")
-                home = bucket_of(mix(k.view(np.uint64)), buckets)[o]
+                home = home_of(k, t, buckets)[o]
                 yield from _pack_windows(home, np.zeros(0, np.uint64), k[o], t[o], p[o])
 
 
@@ -276,8 +297,7 @@ def remove_repeats(docs: DataFrame, as_is: bool = False) -> DataFrame:
     buckets = partitions(spark)
     others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
     keyed = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)).cast("long")).alias("_k"),
-        F.xxhash64(F.col("text").cast("string")).alias("_h"),
+        *document_key(),
         F.col("text").cast("string").alias("text"),
         F.struct(*others).alias("_rest"),
     )

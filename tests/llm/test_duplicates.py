@@ -8,10 +8,14 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from rulecheck.llm import jaccard, substrings
-from rulecheck.llm.components import components
+from rulecheck.llm.common import id_of
+from rulecheck.llm.components import _labelled, components
+from rulecheck.llm.packed import home_of
 
 SF = "/root/testdata/sf0.001"
 
@@ -187,3 +191,82 @@ def test_components_of_chains_and_stars(spark):
     found = {r.node: r.label for r in components(spark.createDataFrame([*chain, *star, (9, 9), (150, 100)], "a bigint, b bigint")).collect()}
     assert found == {i: 100 for i in range(100, 151)} | {5: 5, 9: 9} | {i: 5 for i in range(300, 400)}
     assert components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
+
+
+def test_rounds_grow_with_the_logarithm_of_a_chain(spark):
+    down = [(0, 1000)] + [(k, k - 1) for k in range(2, 1001)]
+    labels, rounds = _labelled(spark.createDataFrame(down, "a bigint, b bigint"))
+    assert {r.label for r in labels.collect()} == {0} and labels.count() == 1001
+    assert rounds <= 15
+
+
+def batch_of(texts):
+    df = pa.table({"_k": pa.array(range(len(texts)), pa.int64()), "_h": pa.array([7] * len(texts), pa.int64()), "text": texts})
+    return df.combine_chunks().to_batches()
+
+
+def test_a_passage_in_all_documents_fills_no_bucket_and_no_home():
+    """Bytes that a bucket and a home get stay near the median, though all documents share a passage."""
+    dice = random.Random(9)
+    passage = " ".join(f"p{i}" for i in range(40))
+    texts = [passage + " " + " ".join(f"w{dice.randrange(10**9)}" for _ in range(40)) for _ in range(8_000)]
+    for rows in (substrings._index_and_probes(8, iter(batch_of(texts))), jaccard._facts(8, iter(batch_of(texts)))):
+        size = Counter()
+        for b in rows:
+            for r in b.to_pylist():
+                size[r["bucket"]] += sum(len(x) for c, x in r.items() if c != "bucket" and x is not None)
+        assert len(size) == 8 and max(size.values()) <= 3 * np.median(list(size.values()))
+
+
+def test_homes_of_documents_without_id(spark):
+    df = spark.range(9_000).selectExpr("CASE WHEN id % 3 > 0 THEN id END AS doc_id", "'text ' || id AS text")
+    rows = jaccard.keyed(df).select("_k", "_h").toPandas()
+    at = home_of(rows["_k"].to_numpy(), rows["_h"].to_numpy(), 8)
+    counts = np.bincount(at, minlength=8)
+    assert counts.max() <= 2 * np.median(counts)
+
+
+def test_smallest_id_is_not_taken_for_none(spark):
+    text = " ".join(str(i) for i in range(30))
+    least = -(1 << 63)
+    rows = [(None, text), (least, text), (3, "other " * 3)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in named(jaccard.jaccard_components(df)).collect()), key=str)
+    assert found == sorted([(None, 26, None), (least, 26, None), (3, 1, 3)], key=str)
+    kept = jaccard.keep_first(df).collect()
+    assert sorted((r.doc_id, r.text) for r in kept if r.doc_id) == [(3, "other " * 3)] and len(kept) == 2
+    removed = {r._rest.doc_id: r.n_removed for r in substrings.remove_repeats(df).collect()}
+    assert removed == {None: 0, least: 30, 3: 0}
+    apart = spark.createDataFrame([(least, text), (5, text + " x")], "doc_id bigint, text string")
+    assert {(r.doc_id, r.component_id) for r in named(jaccard.jaccard_components(apart)).collect()} == {(least, least), (5, least)}
+
+
+def named(found):
+    return found.select(id_of("_k", "_h").alias("doc_id"), F.col("n").alias("n_shingles"), id_of("first_k", "first_h").alias("component_id"))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_join_where_most_tokens_are_shared_by_very_many(spark, seed):
+    """Sets of mostly frequent tokens, below and above the threshold with each other: the salted rows of the matrix."""
+    dice = random.Random(seed)
+    common = [f"c{i}" for i in range(44)]
+    texts = []
+    for i in range(420):
+        own = [f"o{seed}x{i}x{j}" for j in range(dice.choice([6, 9, 12]))]
+        texts.append(common + own)
+        if i % 6 == 0:  # a partner that shares most of its own words as well
+            texts.append(common + own[:-1] + [f"y{i}"])
+        if i % 50 == 0:
+            texts.append(common[: dice.choice([20, 40])])
+    texts = [" ".join(t) for t in texts]
+    sets = [word_set(t) for t in texts]
+    parent = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
+                a, b = parent[i], parent[j]
+                parent = [min(a, b) if x in (a, b) else x for x in parent]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(5)
+    got = {r._k: r.first_k for r in jaccard.jaccard_components(df).collect()}
+    assert 20 < len(set(parent)) < len(parent) and got == dict(enumerate(parent))
