@@ -24,7 +24,6 @@ import atexit
 import os
 import shutil
 import tempfile
-import unicodedata
 import uuid
 from collections import Counter
 from collections.abc import Iterator
@@ -32,9 +31,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark import SparkFiles
+from pyspark import Broadcast, SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from rulecheck.llm.bpe import BpeModel, encode_words, load_model
 from rulecheck.llm.common import documents, kept_in_worker, ship_package, stage
@@ -44,22 +44,25 @@ LEXICON_WORDS = 50_000
 CACHE_RUNS = 1_000_000
 COUNT_WORDS = 200_000
 BATCH_CHARS = 1 << 20
+LATIN_END = "\u0250"
 # Fixed value: the split pattern stated in the vocabulary file.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _SPLIT = regex.compile(SPLIT)
 
 
-def normalise(run: str) -> str:
-    """Composed form, white space folded, each character lower-cased by itself."""
-    if run.isascii():
-        return run.lower()
-    return "".join([c.lower() for c in unicodedata.normalize("NFC", run)])
+def split_words(library: Tokenizer, run: str) -> list[str]:
+    """Words of a run without special tokens.
 
-
-def split_words(run: str) -> list[str]:
-    """Words of a run without special tokens."""
-    text = normalise(run)
-    return [text] if text.isalpha() else _SPLIT.findall(text)
+    Below LATIN_END no character composes with another and letters are the same in
+    every Unicode version, so lower case is all there is to do; other runs go
+    through the tokenizer's own normaliser and splitter, whose tables may be older
+    than Python's.
+    """
+    if run.isascii() or max(run) < LATIN_END:
+        text = run.lower()
+        return [text] if text.isalpha() else _SPLIT.findall(text)
+    text = library.normalizer.normalize_str(run)
+    return [text[a:b] for _, (a, b) in library.pre_tokenizer.pre_tokenize_str(text)]
 
 
 def _blocks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
@@ -92,7 +95,7 @@ class WordEncoder:
             if any(s in r for s in self.model.special):
                 self.runs[r] = np.array(self.model.library.encode(r, add_special_tokens=False).ids, "<u4").tobytes()
             else:
-                parts[r] = split_words(r)
+                parts[r] = split_words(self.model.library, r)
         new = list({w for p in parts.values() for w in p}.difference(self.words))
         if new:
             coded = [w.encode() for w in new]
@@ -107,17 +110,18 @@ class WordEncoder:
             self.runs[r] = b"".join(map(self.words.__getitem__, p))
 
 
-def word_counts(docs: DataFrame, special: list[str]) -> DataFrame:
+def word_counts(docs: DataFrame, shared: Broadcast[BpeModel]) -> DataFrame:
     """Words of all texts with their counts (``word``, ``n``), summed before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter[str] = Counter()
+        model = shared.value
 
         def flush() -> pa.RecordBatch:
             total: Counter[str] = Counter()
             for r, n in seen.items():
-                if not any(s in r for s in special):
-                    for w in split_words(r):
+                if not any(s in r for s in model.special):
+                    for w in split_words(model.library, r):
                         total[w] += n
             seen.clear()
             return pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], names=["word", "n"])
@@ -148,9 +152,9 @@ def frequent_words(counts: DataFrame, most: int) -> list[str]:
     return [] if least is None else [r["word"] for r in counts.where(level >= least).select("word").collect()]
 
 
-def compile_lexicon(docs: DataFrame, model: BpeModel, lexicon_words: int = LEXICON_WORDS) -> np.ndarray:
+def compile_lexicon(docs: DataFrame, shared: Broadcast[BpeModel], lexicon_words: int = LEXICON_WORDS) -> np.ndarray:
     """Transducer of the corpus's frequent words."""
-    counts = stage(word_counts(docs, model.special), "word-counts")
+    counts, model = stage(word_counts(docs, shared), "word-counts"), shared.value
     words = [w.encode() for w in frequent_words(counts, lexicon_words)]
     ids, at = encode_words(model, words) if words else (np.zeros(0, np.int32), np.zeros(1, np.int64))
     return build(words, ids, at)
@@ -160,14 +164,13 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, lexicon_words: int =
     """``doc_id``, ``ids`` (array of token ids) and ``decoded`` (the text decoded
     from those ids, special tokens kept) of every document."""
     sc = ship_package(docs.sparkSession).sparkContext
-    model = load_model(tokenizer_path)
     name = f"lexicon-{uuid.uuid4().hex[:12]}.npy"
     scratch = tempfile.mkdtemp(prefix="rulecheck-lexicon-")  # the driver serves the file while the application runs
     atexit.register(shutil.rmtree, scratch, ignore_errors=True)
     path = os.path.join(scratch, name)
-    np.save(path, compile_lexicon(docs, model, lexicon_words))
+    shared = sc.broadcast(load_model(tokenizer_path))
+    np.save(path, compile_lexicon(docs, shared, lexicon_words))
     sc.addFile(path)
-    shared = sc.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = kept_in_worker(name, lambda: WordEncoder(shared.value, Lexicon.open(SparkFiles.get(name))))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import unicodedata
 import zlib
 from collections import defaultdict
 
@@ -138,3 +139,25 @@ def test_packing_of_odd_rows(spark):
     assert packing.pack_documents(df.where("false"), BYTES).collect() == []
     with pytest.raises(ValueError, match="powers of two"):
         packing.pack_documents(df, BYTES, tiers=(1000,))
+
+
+def test_every_mark_next_to_others_is_normalised_as_the_library_does():
+    """Python's Unicode tables may be newer than the library's."""
+    model = load_model(WORDS)
+    lib = Tokenizer.from_file(WORDS)
+    marks = [chr(c) for c in range(0x110000) if unicodedata.category(chr(c)) in ("Mn", "Mc", "Me")]
+    texts = [f"a{m}{o}b" for m in marks for o in "\u0301\u0327"] + [f"a{o}{m} \u00c9{m}" for m in marks for o in "\u0301\u0327"]
+    texts += ["\u1c89\u0411", "x\u1c89y", "\u0130stanbul \u0130\u0307", "\u03a3\u03a3", "\u00aa\u0149\u01c5 \u024f\u0250", "e\u0301\u00e9"]
+    own = encoding.WordEncoder(model, Lexicon(build([], np.zeros(0, np.int32), np.zeros(1, np.int64))))
+    got = [np.frombuffer(x, "<u4").tolist() for x in own.encode(texts)]
+    assert [t for t, g, e in zip(texts, got, lib.encode_batch(texts, add_special_tokens=False), strict=True) if g != e.ids] == []
+
+
+def test_all_latin_pairs_take_the_short_way_rightly():
+    model = load_model(WORDS)
+    lib = Tokenizer.from_file(WORDS)
+    low = [chr(c) for c in range(1, 0x250) if chr(c) != " "]
+    texts = [f"{a}{b}" for a in low for b in low[::7]] + [f"x{a}" for a in low]
+    own = encoding.WordEncoder(model, Lexicon(build([], np.zeros(0, np.int32), np.zeros(1, np.int64))))
+    got = [np.frombuffer(x, "<u4").tolist() for x in own.encode(texts)]
+    assert [t for t, g, e in zip(texts, got, lib.encode_batch(texts, add_special_tokens=False), strict=True) if g != e.ids] == []
