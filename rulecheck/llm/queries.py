@@ -18,7 +18,7 @@ from rulecheck.llm.quality import op3_quality
 from rulecheck.llm.substrings import OP4_SQL, op4_substrings
 from rulecheck.llm.topk import OP5_SQL, op5_topk
 from rulecheck.llm.vector_codes import OP13_SQL, op13_codes
-from rulecheck.llm.warc import op8_warc
+from rulecheck.llm.warc import OP8_SQL, op8_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
@@ -40,6 +40,7 @@ ORACLES: dict[str, str] = {
     "op1_chat": OP1_SQL,
     "op4_substrings": OP4_SQL,
     "op5_topk": OP5_SQL,
+    "op8_warc": OP8_SQL,
     "op11_prefixes": OP11_SQL,
     "op13_codes": OP13_SQL,
 }

@@ -21,7 +21,8 @@ name and is always a response; repeated rows are written once each (equal ones
 are all responses or all revisits); of one page id with several payloads, each
 payload is a response or a revisit by itself; an empty table makes archives
 without records; other columns are ignored. A chain that breaks off (a truncated
-archive) keeps the records before the break.
+archive) keeps the records before the break. A length that is no number of at most
+SIZE_DIGITS digits names no record.
 """
 
 from __future__ import annotations
@@ -42,6 +43,7 @@ CLOSE = "\r\n\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 SPLIT_AT = CLOSE + MAGIC
 MIN_PAYLOAD = 0
+SIZE_DIGITS = 18  # of a record's length; a longer number names no record, and sums with offsets stay below 2^63
 DATE = "2024-01-01T00:00:00Z"
 
 
@@ -109,10 +111,11 @@ def parse_head(chunk: bytes) -> tuple[int, int, str] | None:
     cut = len(chunk) if cut < 0 else cut
     try:
         head = chunk[:cut].decode()
-        size = int(dict(x.split(": ", 1) for x in head.split("\r\n"))["Content-Length"])
+        size = dict(x.split(": ", 1) for x in head.split("\r\n"))["Content-Length"]
     except (ValueError, KeyError):
         return None
-    return (cut + 4, size, head) if size >= 0 else None
+    digits = size.strip().lstrip("0") or "0"
+    return (cut + 4, int(digits), head) if digits.isascii() and digits.isdigit() and len(digits) <= SIZE_DIGITS else None
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, int, int, bytes]]:
@@ -166,29 +169,35 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Chunks of splits with a mark on those that the chains from the split's entries reach."""
+    """Chunks of splits with a mark on those that the chains from the split's entries reach, and the
+    cut-up record that each belongs to (``owner``); before the split's first record (``carried``),
+    chunks belong to one of an earlier split, if any."""
     for batch in batches:
         for row in batch.to_pylist():
             base, by_start = row["base"], {c["at"]: c for c in row["chunks"]}
-            reached = set()
+            reached: set[int] = set()
             for entry in row["entries"] or []:
                 at = entry - base
                 while at in by_start and at not in reached:
                     reached.add(at)
                     at = by_start[at]["next"]
-            out = [
-                {"file": row["file"], "block": row["block"], "number": i, "offset": base + c["at"], "reached": c["at"] in reached and c["head"] is not None}
-                | {k: c[k] for k in ("cut", "size", "head", "sha")}
-                for i, c in enumerate(row["chunks"])
-            ]
+            out, owner, carried = [], None, True
+            for i, c in enumerate(row["chunks"]):
+                own = {k: c[k] for k in ("cut", "size", "head")} | {"offset": base + c["at"]}
+                real = c["at"] in reached and c["head"] is not None
+                if real:
+                    owner, carried = own if c["sha"] is None else None, False
+                out.append(own | {"file": row["file"], "block": row["block"], "number": i, "reached": real, "sha": c["sha"], "owner": owner, "carried": carried})
             yield pa.RecordBatch.from_pylist(out, schema=_MARKED)
 
 
+_OWNER = pa.struct([("offset", pa.int64()), ("cut", pa.int64()), ("size", pa.int64()), ("head", pa.string())])
 _MARKED = pa.schema(
-    [("file", pa.string()), ("block", pa.int64()), ("number", pa.int64()), ("offset", pa.int64()), ("reached", pa.bool_())]
-    + [("cut", pa.int64()), ("size", pa.int64()), ("head", pa.string()), ("sha", pa.string())]
+    [("file", pa.string()), ("block", pa.int64()), ("number", pa.int64()), ("offset", pa.int64()), ("reached", pa.bool_()), ("cut", pa.int64())]
+    + [("size", pa.int64()), ("head", pa.string()), ("sha", pa.string()), ("owner", _OWNER), ("carried", pa.bool_())]
 )
-_MARKED_SQL = "file string, block bigint, number bigint, offset bigint, reached boolean, cut bigint, size bigint, head string, sha string"
+_OWNER_SQL = "struct<offset:bigint,cut:bigint,size:bigint,head:string>"
+_MARKED_SQL = f"file string, block bigint, number bigint, offset bigint, reached boolean, cut bigint, size bigint, head string, sha string, owner {_OWNER_SQL}, carried boolean"
 
 
 def _scan(spark: SparkSession, path: str) -> DataFrame:
@@ -223,10 +232,13 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     marked = blocks.join(_entries(blocks), ["file", "block"]).select("file", "block", "chunks", "base", "entries")
     marked = stage(marked.mapInArrow(_walk, _MARKED_SQL), "marked")
     whole = marked.where("reached AND sha IS NOT NULL").select("file", "offset", "size", "head", "sha")
-    owner = F.last(F.when(F.col("reached"), F.struct("offset", "cut", "size", "head", F.col("sha").isNull().alias("cutup"))), ignorenulls=True)
-    order = Window.partitionBy("file").orderBy("offset")
-    parts = marked.select("file", "block", "number", "offset", owner.over(order).alias("owner")).where("owner.cutup")
-    parts = stage(parts, "parts")
+    place = ["file", "block", "number", "offset"]
+    inside = marked.where("owner IS NOT NULL").select(*place, "owner")
+    last = F.max(F.when(F.col("reached"), F.struct("offset", F.col("sha").isNull().alias("cutup"), "owner"))).alias("last")
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)  # one row per split
+    carry = marked.groupBy("file", "block").agg(last).select("file", "block", F.last("last", ignorenulls=True).over(before).alias("open"))
+    outside = marked.where("carried").select(*place).join(carry.where("open.cutup"), ["file", "block"]).select(*place, F.col("open.owner").alias("owner"))
+    parts = stage(inside.unionByName(outside), "parts")
     if parts.isEmpty():  # no payload holds a magic, so none was cut up
         return whole
     texts = _scan(spark, path).mapInArrow(_numbered, "file string, block bigint, number bigint, data binary")
@@ -281,6 +293,19 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages_of(read_records(spark, path))
 
 
+# DuckDB: the records of all pages, without archives. Base32 digits are five bits of the SHA-1 each.
+OP8_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+s AS (SELECT page_id, strlen(html) AS n, sha1(html) AS x, max(page_id) OVER (PARTITION BY html) AS top FROM p),
+b AS (SELECT *, array_to_string(list_transform(range(1, 41), lambda i: lpad(bin(strpos('0123456789abcdef', x[i:i]) - 1), 4, '0')), '') AS bits FROM s)
+SELECT page_id, n::BIGINT AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + list_sum(list_transform(range(1, 6),
+    lambda j: CAST(bits[5 * k + j:5 * k + j] AS INTEGER) << (5 - j)))::INTEGER, 1)), '') AS payload_digest,
+  CASE WHEN page_id <> top THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id <> top THEN top END AS refers_to
+FROM b
+"""
+
+
 def pages_of(found: DataFrame) -> DataFrame:
     """The query's columns: length and digest of a response as read, of a revisit as declared."""
     response = field("WARC-Type") == "response"

@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 
+import duckdb
 import pytest
 
 from rulecheck.llm import warc
@@ -51,7 +52,40 @@ def test_hostile_payloads(spark, split):
 
 def test_query_over_the_table(spark):
     pages = [(r.page_id, r.url, r.html) for r in spark.read.parquet(f"{SF}/pages.parquet").collect()]
-    check(warc.op8_warc(spark, SF).collect(), pages)
+    found = warc.op8_warc(spark, SF)
+    rows = found.collect()
+    check(rows, pages)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{SF}/pages.parquet'")
+    wanted = con.sql(warc.OP8_SQL)
+    assert found.columns == wanted.columns and sorted(map(tuple, rows)) == sorted(wanted.fetchall())
+
+
+@pytest.mark.parametrize("split", ["128m", "600"])
+def test_lengths_beyond_any_file(spark, split):
+    """Numbers of 19, 20, 30 and 5000 digits behind a magic in a payload, alone and in a cut-up payload."""
+    fakes = [f"\r\n\r\nWARC/1.0\r\nWARC-Type: response\r\nContent-Length: {n}\r\n\r\nabc" for n in ("9" * 18, "9" * 19, "9" * 20, "1" * 30, "7" * 5000, "-5", "+3", "1_0", "\u0663")]
+    rows = [(i, "u", f) for i, f in enumerate(fakes)] + [(50, "u", "x".join(fakes) * 2), (51, "u", "plain"), (52, "u", "y" * 3000 + fakes[2])]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        path = staging_path(spark, "warc")
+        warc.write_archives(spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(1), path)
+        check(warc.pages_of(warc.read_records(spark, path)).collect(), rows)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+
+
+def test_repeated_rows_are_written_once_each(spark):
+    rows = [(1, "u", "A")] * 3 + [(2, "u", "A")] * 2 + [(None, "u", "A")] * 2 + [(3, "u", "B\r\n\r\n" + FAKE)] * 2
+    path = staging_path(spark, "warc")
+    warc.write_archives(spark.createDataFrame(rows, "page_id bigint, url string, html string"), path)
+    found = warc.pages_of(warc.read_records(spark, path)).collect()
+    assert sorted((r.page_id or 0, r.record_type, r.refers_to or 0) for r in found) == sorted(
+        [(1, "revisit", 2)] * 3 + [(2, "response", 0)] * 2 + [(0, "response", 0)] * 2 + [(3, "response", 0)] * 2
+    )
 
 
 def test_small_payloads_are_no_revisits(spark):
