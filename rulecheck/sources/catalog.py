@@ -139,31 +139,33 @@ def with_rendering(df: DataFrame, fic_mis_date: str, as_of_dt: str) -> DataFrame
 
 
 def prepared_rules(df: DataFrame, queue_id: int, domain: str, fic_mis_date: str, as_of_dt: str) -> DataFrame:
-    """Select, project, number and render: the whole catalog plan before the collect."""
+    """Select, project and render: the whole catalog plan before the collect, one scan."""
     check_catalog_columns(df)
-    return with_rendering(number_rules(project_catalog(select_rules(df, queue_id, domain))), fic_mis_date, as_of_dt)
+    return with_rendering(project_catalog(select_rules(df, queue_id, domain)), fic_mis_date, as_of_dt)
 
 
 def collect_rules(prepared: DataFrame) -> list[Rule]:
     """The one action on the catalog. The rule list is metadata (one row per rule that
     is about to run as a job of its own, with its text rendered once), the only thing a
     run brings to the driver; its length is the rule count, so no separate count job
-    runs. It is returned in execution order (:func:`number_rules`).
+    runs. The catalog is read once, so keys, texts and places come from the same rows,
+    also over JDBC; places follow from the collected keys, in the order of
+    :func:`number_rules` (which numbers catalogs of any size without a collect).
 
     A rule without a usable ``DQ_ID`` stops the run here, before any rule runs.
     """
-    rows = prepared.select("RULE_SEQ", "DQ_ID", "DQ_CHK_ID", "DQ_QUEUE_ID", "RENDERED_SQL", "UNRESOLVED").collect()
+    rows = prepared.select("DQ_ID", "DQ_CHK_ID", "DQ_QUEUE_ID", "RENDERED_SQL", "UNRESOLVED").collect()
     bad = [r["DQ_CHK_ID"] for r in rows if r["DQ_ID"] is None or r["DQ_QUEUE_ID"] is None]
     if bad:
         raise ValueError(f"Rules without an integer DQ_ID or DQ_QUEUE_ID: {bad}")
     return [
         Rule(
-            seq=int(r["RULE_SEQ"]),
+            seq=seq,
             dq_id=int(r["DQ_ID"]),
             chk_id=r["DQ_CHK_ID"],
             queue_id=int(r["DQ_QUEUE_ID"]),
             rendered_sql=r["RENDERED_SQL"],
             unresolved=tuple(r["UNRESOLVED"] or ()),
         )
-        for r in sorted(rows, key=lambda r: r["RULE_SEQ"])
+        for seq, r in enumerate(sorted(rows, key=lambda r: (r["DQ_ID"], r["DQ_CHK_ID"], r["RENDERED_SQL"] or "")))
     ]

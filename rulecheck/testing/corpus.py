@@ -31,6 +31,7 @@ QUEUE = 1
 REGION_QUEUE = 3
 SUPPLIER_QUEUE = 6
 RENDER_QUEUE = 9
+UNION_QUEUE = 7
 DOMAIN = "FMR"
 FIC_MIS_DATE = "2024-01-15"
 AS_OF_DT = "2000-12-31"
@@ -186,6 +187,12 @@ FROM (SELECT o_orderpriority, CAST(o_totalprice AS DECIMAL(18,2)) AS amt,
         ROW_NUMBER() OVER (PARTITION BY o_custkey, o_orderdate ORDER BY o_orderkey) AS rn FROM $ds.orders) x
 GROUP BY o_orderpriority"""
 
+# A summary that holds the same row twice, once per half.
+_C32_HALF = """SELECT o_orderstatus AS SOR, COUNT(*) AS TOTAL_COUNT, SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS TOTAL_DOLLAR_AMOUNT,
+  SUM(CASE WHEN o_orderdate > TIMESTAMP '$asofdt 00:00:00' THEN 1 ELSE 0 END) AS FAIL_COUNT, 0 AS FAIL_DOLLAR_AMOUNT
+FROM $ds.orders GROUP BY o_orderstatus"""
+_C32 = f"{_C32_HALF} UNION ALL {_C32_HALF}"
+
 # Expected ERROR_TEXT of failing rules, as DuckDB SQL expressions.
 ZERO_ROWS = "'DQ SQL returned zero rows.'"
 PARSE = "'[PARSE_SYNTAX_ERROR]'"
@@ -234,6 +241,10 @@ CORPUS: tuple[CorpusRule, ...] = (
     CorpusRule(31, "C31", _C31, queue=4, desc="ROW_NUMBER window per customer and day"),
     CorpusRule(29, "C29", _C29, queue=5, error=UNRESOLVED, desc="error text over 4000 characters"),
     CorpusRule(30, "C30", _C30, queue=5, error=RAISED, desc="runtime error text over 4000 characters"),
+    # equal rows within a summary and between rules, and a failure (queue 7)
+    CorpusRule(32, "C32", _C32, queue=UNION_QUEUE, desc="equal rows in one summary"),
+    CorpusRule(33, "C33", _C32_HALF, queue=UNION_QUEUE, desc="the same summary in another rule"),
+    CorpusRule(34, "C34", _C08, queue=UNION_QUEUE, error=ZERO_ROWS, desc="a failure among them"),
     # rendering cases (queue 9, never executed)
     CorpusRule(91, "R1", "$ds.t $dsx $vdo $DS", queue=RENDER_QUEUE, schema="S", sor=None),
     CorpusRule(92, "R2", "a $x ${y} $1 $_Z", queue=RENDER_QUEUE, schema="S", sor="V"),

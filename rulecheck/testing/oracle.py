@@ -105,6 +105,14 @@ def pct_expr(f: str, t: str) -> str:
     )
 
 
+#: The results table's row type, column by column in place.
+LAYOUT = (
+    "struct<DQ_ID:bigint,DQ_CHK_ID:string,DQ_QUEUE_ID:bigint,EXECUTION_ID:string,RUN_FIC_MIS_DATE:string,RUN_AS_OF_DT:string,RUN_DMN:string,"
+    "SOR:string,TOTAL_COUNT:bigint,TOTAL_DOLLAR_AMOUNT:bigint,FAIL_COUNT:bigint,FAIL_DOLLAR_AMOUNT:bigint,FAIL_COUNT_PERCENTAGE:decimal(5,2),"
+    "FAIL_DOLLAR_PERCENTAGE:decimal(5,2),EXECUTION_STATUS:string,ERROR_MESSAGE:string,EXECUTION_START_DT:timestamp,EXECUTION_END_DT:timestamp,CREATED_DT:timestamp>"
+)
+
+
 def run_stamps(execution_id: str = EXECUTION_ID, domain: str = DOMAIN) -> str:
     return (
         f"{q(execution_id)} AS EXECUTION_ID, {q(FIC_MIS_DATE)} AS RUN_FIC_MIS_DATE, "

@@ -347,3 +347,18 @@ def test_checkpoint_folder_must_be_named_on_a_cluster():
 
     with pytest.raises(ValueError, match="No checkpoint directory"):
         ensure_checkpoint_dir(Session())
+
+
+def test_a_run_reads_the_catalog_once(spark, catalog, tmp_path):
+    """One scan in the plan; places are those of the numbering in Spark."""
+    from rulecheck.sources.catalog import number_rules, project_catalog, select_rules
+
+    path = str(tmp_path / "catalog")
+    catalog.write.parquet(path)
+    stored = spark.read.parquet(path)
+    prepared = prepared_rules(stored, C.QUEUE, C.DOMAIN, C.FIC_MIS_DATE, C.AS_OF_DT)
+    plan = prepared._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan
+    rules = collect_rules(prepared)
+    numbered = number_rules(project_catalog(select_rules(stored, C.QUEUE, C.DOMAIN))).collect()
+    assert [(r.seq, r.dq_id, r.chk_id) for r in rules] == sorted((r.RULE_SEQ, r.DQ_ID, r.DQ_CHK_ID) for r in numbered)
