@@ -81,6 +81,15 @@ def id_of(key: str, tie: str) -> Column:
     return F.when((F.col(key) != F.lit(NO_ID)) | (F.col(tie) >= 0), F.col(key))
 
 
+def smallest(rows: DataFrame, most: int, *by: str) -> DataFrame:
+    """The rows of the ``most`` smallest hashes of some columns (``drawn``), for a bounded
+    sample that depends on the rows alone. Only hashes are sorted: each task keeps its
+    ``most`` smallest, and the cut is one number."""
+    drawn = rows.withColumn("drawn", F.xxhash64(*by))
+    cut = drawn.select("drawn").orderBy("drawn").limit(most).agg(F.max("drawn")).first()[0]
+    return drawn.where(F.col("drawn") <= F.lit(cut)) if cut is not None else drawn.where("false")
+
+
 def documents(docs: DataFrame, *columns: str) -> DataFrame:
     """The named columns of ``docs`` (``doc_id`` as long, ``text`` as string), and no
     others, so extra columns of the input can never clash with an operator's own."""

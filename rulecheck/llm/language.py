@@ -11,9 +11,10 @@ The landmarks, the whitening and the ridge weights fold into one matrix of
 columns x languages, so scoring is a batched matrix product of presence rows
 with that matrix, divided by each text's norm. The model's size is fixed.
 
-Training uses at most about ``SAMPLE_ROWS`` texts, chosen by a hash of
-``doc_id`` and text among different rows, so a repeated ``doc_id`` or row counts no
-more than it holds texts; their kernel rows are computed by the executors, which return sums
+Training uses at most ``SAMPLE_ROWS`` texts: per language, an equal share of those of
+smallest hash of ``doc_id`` and text among different rows, so a repeated ``doc_id`` or
+row counts no more than it holds texts; the first of them are the landmarks. Of more
+than LANDMARKS languages, the most frequent ones are learned. The texts'  kernel rows are computed by the executors, which return sums
 of products (landmarks x landmarks), not rows. Every text is predicted whole.
 
 Cases: null texts and texts without a letter get ``und`` and score 0; rows with
@@ -30,10 +31,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rulecheck.llm.common import ship_package
+from rulecheck.llm.common import ship_package, stage
 from rulecheck.llm.kernels import slices, text_buffer
 
 COLUMNS = 1 << 15
@@ -41,6 +42,7 @@ SPECTRUM = (1, 2, 3, 4)
 LANDMARKS, SAMPLE_ROWS, RIDGE = 256, 6_000, 1e-3
 BLOCK_BYTES, BLOCK_ROWS = 1 << 20, 256
 SUMMING_TASKS = 8
+SPARE = 1.25  # of a language's sample is drawn by a share of hashes, before the exact cut
 UNKNOWN = "und"
 _ASCII_LETTER = re.compile("[A-Za-z]")
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -96,16 +98,19 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, landmarks: int = LANDMA
     spark = ship_package(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = rows.where("doc_id IS NOT NULL AND lang IS NOT NULL").where(is_training(F.col("doc_id"))).withColumn("drawn", F.xxhash64("doc_id", "text"))
-    per = rows.select("lang", "drawn").distinct().groupBy("lang").agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "lang").collect()  # one row per language
+    per = rows.select("lang", "drawn").distinct().groupBy("lang").agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "lang").limit(landmarks).collect()
     if not per:
         return Model([], np.zeros((COLUMNS, 0), np.float32), np.zeros(0))
     names = [r["lang"] for r in per]
     quota = sample_rows / len(names)
-    share = F.create_map(*[F.lit(x) for r in per for x in (r["lang"], int(min(1.0, quota / r["rows"]) * (1 << 30)))])
-    first = F.create_map(*[F.lit(x) for r in per for x in (r["lang"], int(min(1.0, landmarks / len(names) / r["rows"]) * (1 << 30)))])
+    share = F.create_map(*[F.lit(x) for r in per for x in (r["lang"], int(min(1.0, SPARE * quota / r["rows"]) * (1 << 30)))])
     dealt = F.pmod(F.col("drawn"), F.lit(1 << 30))
-    sample = rows.where(dealt < F.element_at(share, F.col("lang"))).dropDuplicates(["lang", "drawn"])
-    marks = sample.where(dealt < F.element_at(first, F.col("lang"))).select("text").toPandas()  # about ``landmarks`` texts
+    # a language that is not learned has no share
+    sample = stage(rows.where(dealt < F.try_element_at(share, F.col("lang"))).dropDuplicates(["lang", "drawn"]), "sample")
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("drawn"))
+    places = sample.select("lang", "drawn", place.alias("place")).where(F.col("place") <= int(quota))
+    sample = stage(sample.join(F.broadcast(places), ["lang", "drawn"]), "sample")  # at most sample_rows places
+    marks = sample.where(F.col("place") <= landmarks // len(names)).select("text").toPandas()  # at most ``landmarks`` texts
     if marks.empty:
         return Model([], np.zeros((COLUMNS, 0), np.float32), np.zeros(0))
     raw, offs = text_buffer(pa.array(sorted(t or "" for t in marks["text"]), pa.large_string()))
@@ -136,6 +141,7 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, landmarks: int = LANDMA
     for r in sums.collect():  # one pair of sums per summing task, each of a fixed size
         gram += np.frombuffer(r["gram"]).reshape(m, m)
         target += np.frombuffer(r["target"]).reshape(m, -1)
+    shared.destroy()
     own = (basis @ basis.T).astype(np.float64)
     level, vectors = np.linalg.eigh(own)
     keep = level > 1e-6 * level.max()

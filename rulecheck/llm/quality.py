@@ -6,13 +6,15 @@ Features of a text are n-grams of its words (one and two words), of their shapes
 into ``DIMENSIONS`` weights. A feature's value is its count over the text's
 words, so a score is a sparse dot product, one sum over words per text.
 
-Training uses at most about ``SAMPLE_ROWS`` labelled rows, chosen by a hash of
-``doc_id``. Shards train side by side, each over its rows in a fixed order, and
-their weights are averaged; the weights (bounded by ``DIMENSIONS``) are all that
-reaches the driver, and are broadcast for scoring. Every text is scored whole.
+Training uses at most ``SAMPLE_ROWS`` rows: those of smallest hash of ``doc_id``,
+label and text among the different labelled rows of at most as many labels. Shards
+train side by side, each over its rows in a fixed order, in a task of its own, and
+their weights are averaged by their numbers of rows; the weights (bounded by
+``DIMENSIONS``) are all that reaches the driver, and are broadcast for scoring.
+Every text is scored whole.
 
 Cases: null and empty texts have no features and score by the intercept; rows
-with null ``doc_id`` or label never train; repeated rows train and score once
+with null ``doc_id`` or label never train; repeated rows train once and score once
 each; an empty table, or no labels, gives weights of 0 and scores of 0.5; extra
 columns are ignored, clashing names too.
 """
@@ -26,12 +28,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rulecheck.llm.common import documents, ship_package
+from rulecheck.llm.common import documents, ship_package, smallest, stage
 from rulecheck.llm.kernels import Words, mix, slices, text_buffer, words
 
 DIMENSIONS = 1 << 18
 SAMPLE_ROWS = 20_000
 SHARDS, EPOCHS = 4, 3
+SPARE = 1.25  # of the sample is drawn by a share of hashes, before the exact cut
+ROWS_AT = DIMENSIONS + 1  # stands for the number of rows among the weights' indexes
 ALPHA, BETA, L1, L2 = 2.0, 0.01, 1e-5, 1e-5
 INPUT_BYTES = 2 << 20
 _KINDS = np.zeros(256, np.uint8)  # 0 letter, 1 upper case, 2 digit, 3 mark
@@ -113,24 +117,28 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> n
     """Averaged weights of the shards. ``labels``: ``doc_id`` and ``label`` (0 or 1)."""
     ship_package(docs.sparkSession)
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("label").cast("int").alias("label")).where("doc_id IS NOT NULL AND label IS NOT NULL")
-    known = known.where(is_training(F.col("doc_id")))
-    dealt = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
-    share = min(1.0, sample_rows / max(1, known.count()))
-    chosen = known.where(dealt < int(share * (1 << 20)))
-    rows = documents(docs, "doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most about sample_rows pairs of numbers
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(SHARDS)).cast("int"))
-
-    def run(key: tuple, table: pa.Table) -> pa.Table:
-        table = table.sort_by([("dealt", "ascending"), ("doc_id", "ascending"), ("label", "ascending"), ("text", "ascending")])
-        w = train(table.column("text").to_pylist(), table.column("label").to_numpy())
-        at = np.flatnonzero(w)
-        return pa.table({"at": pa.array(at, pa.int32()), "weight": pa.array(w[at]), "rows": pa.array(np.full(len(at), len(table)), pa.int64())})
-
-    trained = rows.withColumn("dealt", F.xxhash64("doc_id", F.lit(23))).groupBy("shard").applyInArrow(run, "at int, weight double, rows bigint")
+    known = stage(smallest(known.where(is_training(F.col("doc_id"))).distinct(), sample_rows, "doc_id", "label"), "labels")
+    of = documents(docs, "doc_id", "text")
+    labelled = of.select("doc_id").join(F.broadcast(known), "doc_id").count()  # at most sample_rows labels; their ids may repeat
+    share = min(1.0, SPARE * sample_rows / max(1, labelled))
+    rows = of.join(F.broadcast(known), "doc_id").withColumn("drawn", F.xxhash64("doc_id", "label", "text"))
+    rows = stage(rows.where(F.pmod(F.col("drawn"), F.lit(1 << 30)) < int(share * (1 << 30))).dropDuplicates(["drawn"]), "training")
+    rows = smallest(rows, sample_rows, "doc_id", "label", "text")
+    rows = rows.withColumn("shard", F.pmod("drawn", F.lit(SHARDS)).cast("int")).select("shard", "drawn", "label", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if len(b)]
+        if held:
+            table = pa.Table.from_batches(held).sort_by([("drawn", "ascending")])
+            w = train(table.column("text").to_pylist(), table.column("label").to_numpy())
+            at = np.append(np.flatnonzero(w), ROWS_AT)
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(np.append(w[at[:-1]], 1.0) * len(table))], names=["at", "weight"])
+
+    trained = rows.repartitionById(SHARDS, "shard").mapInArrow(run, "at int, weight double")
     found = trained.groupBy("at").agg(F.sum("weight").alias("weight")).toPandas()
-    weights = np.zeros(DIMENSIONS + 1)
-    weights[found["at"].to_numpy()] = found["weight"].to_numpy() / SHARDS
-    return weights
+    weights = np.zeros(ROWS_AT + 1)
+    weights[found["at"].to_numpy()] = found["weight"].to_numpy()
+    return weights[:ROWS_AT] / max(weights[ROWS_AT], 1.0)
 
 
 def score_documents(docs: DataFrame, weights: np.ndarray) -> DataFrame:

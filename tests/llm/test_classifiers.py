@@ -102,3 +102,72 @@ def test_presence_is_of_whole_grams_inside_one_text():
     parts = language.presence(raw, np.array([0, 3, 5]))
     assert whole.sum() == 3 + 3 + 3 + 2  # a b c, ab bc ca, abc bca cab, abca bcab
     assert parts[0].sum() == 3 + 2 + 1 and parts[1].sum() == 2 + 1
+
+
+def test_training_is_plain_follow_the_regularised_leader():
+    """The same updates, feature by feature in dictionaries."""
+    texts, labels = ["good words, good Words here", "x1 x1 x1 !!", "", "other words here"], np.array([1, 0, 1, 1])
+    z, n = {}, {}
+
+    def weight(i):
+        zi = z.get(i, 0.0)
+        if abs(zi) <= quality.L1:
+            return 0.0
+        return -(zi - (quality.L1 if zi > 0 else -quality.L1)) / ((quality.BETA + n.get(i, 0.0) ** 0.5) / quality.ALPHA + quality.L2)
+
+    for _ in range(quality.EPOCHS):
+        for text, label in zip(texts, labels.tolist(), strict=True):
+            index, _, count = quality.features(*quality.text_buffer(quality.pa.array([text], quality.pa.large_string())))
+            value = {quality.DIMENSIONS: 1.0}
+            for i in index.tolist():
+                value[i] = value.get(i, 0.0) + 1.0 / count[0]
+            dot = sum(weight(i) * v for i, v in value.items())
+            error = 1.0 / (1.0 + np.exp(-dot)) - label
+            for i, v in value.items():
+                w, g, old = weight(i), error * v, n.get(i, 0.0)
+                z[i] = z.get(i, 0.0) + g - ((old + g * g) ** 0.5 - old**0.5) / quality.ALPHA * w
+                n[i] = old + g * g
+    got = quality.train(texts, labels)
+    assert set(np.flatnonzero(got).tolist()) <= set(z)
+    assert np.allclose([got[i] for i in z], [weight(i) for i in z], rtol=1e-4, atol=1e-6)
+
+
+def test_quality_sample_stays_at_its_bound(spark, monkeypatch):
+    """One id with very many texts and repeated labels: no more rows train than the sample has."""
+    docs = spark.range(6_000).selectExpr("IF(id < 5000, 3, id) AS doc_id", "concat('text ', id) AS text")
+    labels = spark.range(6_000).selectExpr("IF(id < 5000, 3, id) AS doc_id", "CAST(id % 2 AS INT) AS label")
+    seen = []
+    real = quality.smallest
+    monkeypatch.setattr(quality, "smallest", lambda rows, most, *by: seen.append(real(rows, most, *by)) or seen[-1])
+    assert quality.fit(docs, labels, sample_rows=200).any()
+    assert [s.count() for s in seen] == [200, 200]
+
+
+def test_language_model_is_the_direct_ridge_solution(spark):
+    """Dense kernel rows of every text against every landmark, solved at once."""
+    words = {"en": "the cat and dog", "fr": "le chat et chien", "de": "der hund und katze"}
+    dice = np.random.default_rng(3)
+    rows = [(i, " ".join(dice.choice(words[y].split(), 6)) + f" {y}{i}", y) for i, y in enumerate(["en", "fr", "de"] * 20)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language.fit(docs, landmarks=12)
+    learned = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2]
+    drawn = {r.text: r.drawn for r in docs.select("text", language.F.xxhash64("doc_id", "text").alias("drawn")).collect()}
+    marks = [t for y in words for t in sorted((r[1] for r in learned if r[2] == y), key=drawn.get)[:4]]
+
+    def kernel(texts, others):
+        a, b = (language.presence(*language.text_buffer(language.pa.array(x, language.pa.large_string()))).astype(float) for x in (texts, others))
+        return (a @ b.T) / np.sqrt(np.outer(a.sum(axis=1), b.sum(axis=1)))
+
+    level, vectors = np.linalg.eigh(kernel(marks, marks))
+    keep = level > 1e-6 * level.max()
+    coordinates = lambda texts: np.c_[kernel(texts, marks) @ vectors[:, keep] / np.sqrt(level[keep]), np.ones(len(texts))]
+    x = coordinates([r[1] for r in learned])
+    y = np.array([[r[2] == name for name in model.languages] for r in learned], float)
+    inner = x.T @ x
+    penalty = language.RIDGE * np.trace(inner) / len(inner) * np.eye(len(inner))
+    penalty[-1, -1] = 1e-9
+    asked = [r[1] for r in rows]
+    want = coordinates(asked) @ np.linalg.solve(inner + penalty, x.T @ y)
+    best, score = language.predict(model, *language.text_buffer(language.pa.array(asked, language.pa.large_string())))
+    assert best.tolist() == want.argmax(axis=1).tolist()
+    assert np.allclose(score, np.clip(want.max(axis=1), 0, 1), atol=1e-3)
