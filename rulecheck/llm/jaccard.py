@@ -177,12 +177,12 @@ def _count(homes: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
     facts, marks, sizes, number = [], [], [], 0
     for batch in batches:
         rows = batch.to_pydict()
-        for b, f, m, s, z in zip(rows["bucket"], rows["facts"], rows["marks"], rows["settled"], rows["sizes"], strict=True):
+        for b, f, m, z in zip(rows["bucket"], rows["facts"], rows["marks"], rows["sizes"], strict=True):
             number = b
             if z is not None:
                 sizes.append(_expand(z, "<i8", "<i8", "<i4"))
             if f is not None:
-                facts.append(_unpack_facts(f))
+                facts.append(f)
             if m is not None:
                 marks.append(_expand(m, "<u8")[0])
         done = [s for s in rows["settled"] if s is not None]
@@ -193,19 +193,20 @@ def _count(homes: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         yield pa.RecordBatch.from_pydict({"home": [number], "bucket": [number], "sizes": [packed], "facts": [None]}, schema=_HOME)
     if not facts:
         return
-    key, tie, rem = (np.concatenate([f[i] for f in facts]) for i in range(3))
-    del facts
-    order = np.argsort(rem, kind="stable")
-    rem = rem[order]
-    new = np.flatnonzero(np.concatenate([[True], rem[1:] != rem[:-1]])[: len(rem)])
-    times = np.diff(np.append(new, len(rem)))
+    # facts stay compressed but for their tokens, until it is known which tokens repeat
+    token, times = np.unique(np.concatenate([_unpack_facts(f)[2] for f in facts]), return_counts=True)
     kind = np.minimum(times, FREQUENT - 1).astype(np.uint8)
     if marks:
-        kind[np.isin(rem[new], np.concatenate(marks))] = FREQUENT
-    kind = np.repeat(kind, times)
-    keep = kind > 1
-    order = order[keep]
-    yield from _homeward(homes, number, key[order], tie[order], rem[keep], kind[keep])
+        kind[np.isin(token, np.concatenate(marks))] = FREQUENT
+    token, kind = token[kind > 1], kind[kind > 1]
+    found: list[list[np.ndarray]] = []
+    for f in facts if len(token) else ():
+        key, tie, rem = _unpack_facts(f)
+        at = np.minimum(np.searchsorted(token, rem), len(token) - 1)
+        held = token[at] == rem
+        found.append([key[held], tie[held], rem[held], kind[at[held]]])
+    if found:
+        yield from _homeward(homes, number, *[np.concatenate([f[i] for f in found]) for i in range(4)])
 
 
 def _homeward(homes: int, bucket: int, key: np.ndarray, tie: np.ndarray, rem: np.ndarray, kind: np.ndarray) -> Iterator[pa.RecordBatch]:

@@ -109,7 +109,7 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, landmarks: int = LANDMA
     sample = stage(rows.where(dealt < F.try_element_at(share, F.col("lang"))).dropDuplicates(["lang", "drawn"]), "sample")
     place = F.row_number().over(Window.partitionBy("lang").orderBy("drawn"))
     places = sample.select("lang", "drawn", place.alias("place")).where(F.col("place") <= int(quota))
-    sample = stage(sample.join(F.broadcast(places), ["lang", "drawn"]), "sample")  # at most sample_rows places
+    sample = sample.join(F.broadcast(places), ["lang", "drawn"])  # at most sample_rows places
     marks = sample.where(F.col("place") <= landmarks // len(names)).select("text").toPandas()  # at most ``landmarks`` texts
     if marks.empty:
         return Model([], np.zeros((COLUMNS, 0), np.float32), np.zeros(0))
