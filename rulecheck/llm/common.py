@@ -58,6 +58,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shuffled(table: DataFrame) -> DataFrame:
+    """``table`` as a side of a join that Spark shall not broadcast: tables of classes, nodes
+    and links grow with the input, and their size on disk says little about that in memory."""
+    return table.hint("merge")
+
+
 def partitions(spark: SparkSession) -> int:
     """Shuffle partitions of the session; they are set in proportion to the input."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from rulecheck.llm.common import staging_path
+from rulecheck.llm.common import shuffled, staging_path
 from rulecheck.session import delete_folder
 
 
@@ -38,13 +38,13 @@ def _labelled(edges: DataFrame) -> tuple[DataFrame, int]:
     labels, path = _written(both.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("label")), "labels")
     rounds = 0
     while True:
-        heard = both.join(labels.select(F.col("node").alias("other"), "label"), "other").groupBy("node").agg(F.min("label").alias("low"))
-        told = labels.join(heard, "node")
+        heard = both.join(shuffled(labels.select(F.col("node").alias("other"), "label")), "other").groupBy("node").agg(F.min("label").alias("low"))
+        told = labels.join(shuffled(heard), "node")
         own = told.select("node", F.least("label", "low").alias("near"), F.col("label").alias("was"))
         roots = told.where("low < label").select(F.col("label").alias("node"), F.col("low").alias("near"), F.lit(None).cast("bigint").alias("was"))
         hooked = own.unionByName(roots).groupBy("node").agg(F.min("near").alias("near"), F.max("was").alias("was"))
         above = hooked.select(F.col("node").alias("near"), F.col("near").alias("label"))
-        after = hooked.join(above, "near").select("node", "label", "was")
+        after = hooked.join(shuffled(above), "near").select("node", "label", "was")
         watched = Observation()
         after = after.observe(watched, F.count(F.when(F.col("label") < F.col("was"), 1)).alias("changed"))
         after, newer = _written(after, "labels")

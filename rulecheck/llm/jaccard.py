@@ -57,7 +57,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rulecheck.llm.common import NO_ID, document_key, id_of, partitions, ship_package, stage
+from rulecheck.llm.common import NO_ID, document_key, id_of, partitions, ship_package, shuffled, stage
 from rulecheck.llm.components import components
 from rulecheck.llm.kernels import mix, shingles, slices, text_buffer, words
 from rulecheck.llm.packed import bucket_of, home_of, segments
@@ -563,9 +563,9 @@ def link_across(groups: DataFrame, num: int, den: int) -> DataFrame:
     looked = stage(looked.mapInArrow(_distinct, "gid bigint, part bigint, node bigint, queries bigint"), "looked")
     salts = F.ceil(F.col("queries") / QUERIES_PER_TASK)
     sets = groups.select("node", "label", "n", "tokens")
-    queries = looked.join(sets, "node").select("gid", "part", F.pmod(F.xxhash64("node"), salts).alias("salt"), F.lit(True).alias("query"), "label", "n", "tokens")
+    queries = looked.join(shuffled(sets), "node").select("gid", "part", F.pmod(F.xxhash64("node"), salts).alias("salt"), F.lit(True).alias("query"), "label", "n", "tokens")
     targets = looked.groupBy("gid", "part").agg(F.max(salts).alias("salts"))
-    members = groups.select("gid", "label", "n", "tokens").join(targets, "gid")
+    members = groups.select("gid", "label", "n", "tokens").join(shuffled(targets), "gid")
     each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt")
     members = members.select("gid", "part", each, F.lit(False).alias("query"), "label", "n", "tokens")
     keys = ["gid", "part", "salt"]
@@ -578,7 +578,7 @@ def salted_join(rows: DataFrame, table: DataFrame, key: str, *by: str) -> DataFr
     share of all rows: they are spread over SALTS partitions each, by the columns ``by``."""
     spread = rows.withColumn("salt", F.pmod(F.xxhash64(*by), F.lit(SALTS)).cast("int"))
     repeated = table.withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
-    return spread.join(repeated, [key, "salt"]).drop("salt")
+    return spread.join(shuffled(repeated), [key, "salt"]).drop("salt")
 
 
 def jaccard_components(docs: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
@@ -593,11 +593,11 @@ def jaccard_components(docs: DataFrame, num: int = NUM, den: int = DEN) -> DataF
     met = meetings(groups, num, den)
     # labels only spare comparisons, so one step from root to root is enough here
     labels = met.groupBy(F.col("a").alias("root")).agg(F.min("b").alias("label"))
-    labelled = stage(groups.drop("sample", "g2").join(labels, "root", "left").withColumn("label", F.coalesce("label", "root")), "labelled")
+    labelled = stage(groups.drop("sample", "g2").join(shuffled(labels), "root", "left").withColumn("label", F.coalesce("label", "root")), "labelled")
     inside = groups.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
     links = inside.unionByName(met).unionByName(link_across(labelled, num, den))
     whole = components(links)
-    classes = reps.select("node", "digest", "first").join(whole, "node", "left").withColumn("component", F.coalesce("label", "node"))
+    classes = reps.select("node", "digest", "first").join(shuffled(whole), "node", "left").withColumn("component", F.coalesce("label", "node"))
     classes = stage(classes.select("digest", "component", "first"), "components")
     firsts = classes.groupBy("component").agg(F.min("first").alias("first"))
     of = salted_join(classes.select("digest", "component"), firsts, "component", "digest").select("digest", "first")
@@ -612,7 +612,7 @@ def keep_first(docs: DataFrame, num: int = NUM, den: int = DEN) -> DataFrame:
     links) to one of smaller ``doc_id``; of repeated rows one stays. Texts without words stay."""
     found = jaccard_components(docs, num, den)
     first = stage(found.where("_k = first_k AND _h = first_h").select("_k", "_h", "n").distinct(), "first")
-    kept = keyed(docs).join(first, ["_k", "_h"]).select("_k", "_h", "n", "_rest")
+    kept = keyed(docs).join(shuffled(first), ["_k", "_h"]).select("_k", "_h", "n", "_rest")
     copy = F.row_number().over(Window.partitionBy("_k", "_h").orderBy(F.lit(0)))
     one = kept.where("n > 0").withColumn("copy", copy).where("copy = 1")  # Spark keeps one row of a task's equal rows before the shuffle
     return one.select("_rest.*").unionByName(kept.where("n = 0").select("_rest.*"))

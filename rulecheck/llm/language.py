@@ -135,12 +135,20 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, landmarks: int = LANDMA
         if count:
             yield pa.RecordBatch.from_arrays([pa.array([gram.tobytes()]), pa.array([target.tobytes()])], names=["gram", "target"])
 
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            for parts in zip(batch.column("gram").to_pylist(), batch.column("target").to_pylist(), strict=True):
+                own = [np.frombuffer(x) for x in parts]
+                total = own if total is None else [a + b for a, b in zip(total, own, strict=True)]
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()]) for x in total], names=["gram", "target"])
+
     m = basis.shape[0] + 1
-    gram, target = np.zeros((m, m)), np.zeros((m, len(names)))
     sums = sample.repartition(SUMMING_TASKS, "drawn").select("doc_id", "text", "lang").mapInArrow(run, "gram binary, target binary")
-    for r in sums.collect():  # one pair of sums per summing task, each of a fixed size
-        gram += np.frombuffer(r["gram"]).reshape(m, m)
-        target += np.frombuffer(r["target"]).reshape(m, -1)
+    # one task adds the tasks' sums, each of a fixed size, as they come; the driver gets one pair
+    whole = sums.repartition(1).mapInArrow(add, "gram binary, target binary").first()
+    gram, target = np.frombuffer(whole["gram"]).reshape(m, m), np.frombuffer(whole["target"]).reshape(m, -1)
     shared.destroy()
     own = (basis @ basis.T).astype(np.float64)
     level, vectors = np.linalg.eigh(own)
