@@ -22,7 +22,8 @@ Cases: null text or role is empty; turns are ordered by turn number, then role,
 then text (nulls first), so repeated turns are all kept in a fixed order; an
 empty table gives no conversations; rows with a null id form one conversation
 with a null id; extra columns are ignored, whatever their names; texts have any
-length. A conversation is one string and one digest, so one task holds it whole.
+length, conversations any number of turns (the work grows in proportion to them).
+A conversation is one string and one digest, so one task holds it whole.
 """
 
 from __future__ import annotations
@@ -32,12 +33,13 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 END = "</turn>\n"
 HEAD = "### "
+ASSISTANT = "assistant"
 # What stands for a control string inside a text, in the order of escaping.
 ESCAPES = (("\\", "\\b"), ("</turn>", "\\e"), ("### ", "\\h"))
 SPEAKERS = (("human", "user"), ("prompter", "user"), ("gpt", "assistant"), ("bot", "assistant"), ("model", "assistant"))
@@ -170,45 +172,62 @@ def unescape(text: Column) -> Column:
     return reduce(lambda c, e: F.replace(c, F.lit(e[1]), F.lit(e[0])), reversed(ESCAPES), text)
 
 
+def _escaped(role: Column, text: Column) -> tuple[Column, Column]:
+    """A turn's head line and its body, as the template writes them."""
+    return F.concat(F.lit(HEAD), F.replace(escape(role), F.lit("\n"), F.lit("\\n")), F.lit("\n")), escape(text)
+
+
 def format_turns(turns: DataFrame) -> DataFrame:
     """One row per conversation: ``conv_id``, ``formatted``, and ``loss_spans``
     (start from 0 and length, in code points) of the assistant texts.
 
-    One shuffle by conversation brings the turns together; they are escaped behind it.
+    One shuffle by conversation brings the turns together in their order; places are
+    running sums of the lengths, so the work grows in proportion to the turns.
     """
-    grouped = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("t"))
-    parts = grouped.select(
-        "conv_id",
-        F.transform(
-            "t",
-            lambda t: F.struct(
-                F.concat(F.lit(HEAD), F.replace(escape(t["role"]), F.lit("\n"), F.lit("\\n")), F.lit("\n")).alias("head"),
-                escape(t["text"]).alias("body"),
-                (t["role"] == "assistant").alias("loss"),
-            ),
-        ).alias("s"),
+    head, body = _escaped(F.col("role"), F.col("text"))
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    length = (F.char_length(head) + F.char_length(body) + F.lit(len(END))).cast("bigint")
+    placed = turns.select("conv_id", "turn", "role", "text", F.sum(length).over(order).alias("until"))
+    piece = F.struct(
+        "until",
+        F.concat(head, body, F.lit(END)).alias("piece"),
+        F.char_length(body).cast("bigint").alias("length"),
+        (F.col("role") == ASSISTANT).alias("loss"),
     )
-    whole = F.transform("s", lambda s: F.concat(s["head"], s["body"], F.lit(END)))
-    lengths = F.transform("s", lambda s: F.struct(F.char_length(s["head"]).alias("head"), F.char_length(s["body"]).alias("body"), s["loss"].alias("loss")))
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<struct<start:bigint,length:bigint>>").alias("spans"))
+    grouped = placed.groupBy("conv_id").agg(F.array_sort(F.collect_list(piece)).alias("t"))
+    spans = F.transform(
+        F.filter("t", lambda p: p["loss"]),
+        lambda p: F.struct((p["until"] - F.lit(len(END)) - p["length"]).alias("start"), p["length"].alias("length")),
+    )
+    return grouped.select("conv_id", F.array_join(F.col("t")["piece"], "").alias("formatted"), spans.alias("loss_spans"))
+
+
+def _spans_are_assistant_texts(segments: Column, spans: Column) -> Column:
+    """Whether the mask's spans are exactly the assistant segments' texts, in order: one
+    walk over the segments that keeps the place reached and the number of spans met."""
+    skip = len(HEAD + ASSISTANT) + 1
+    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit(0).alias("met"), F.lit(True).alias("same"))
 
     def step(acc: Column, x: Column) -> Column:
-        span = F.struct((acc["at"] + x["head"]).alias("start"), x["body"].cast("bigint").alias("length"))
+        spoken = F.startswith(x, F.lit(f"{HEAD}{ASSISTANT}\n"))
+        span = F.get(spans, acc["met"])
+        fits = (span["start"] == acc["at"] + skip) & (span["length"] == F.char_length(x) - skip)
         return F.struct(
-            (acc["at"] + x["head"] + x["body"] + F.lit(len(END))).alias("at"),
-            F.when(x["loss"], F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"),
+            (acc["at"] + F.char_length(x) + F.lit(len(END))).alias("at"),
+            (acc["met"] + F.when(spoken, 1).otherwise(0)).alias("met"),
+            (acc["same"] & (~spoken | F.coalesce(fits, F.lit(False)))).alias("same"),
         )
 
-    return parts.select(
-        "conv_id",
-        F.array_join(whole, "").alias("formatted"),
-        F.aggregate(lengths, start, step, lambda acc: acc["spans"]).alias("loss_spans"),
-    )
+    return F.aggregate(segments, start, step, lambda acc: acc["same"] & (acc["met"] == F.size(spans)))
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
     """Parse formatted strings: ``conv_id``, ``turns`` (role, text) and ``loss_texts``,
-    the unescaped text under each span of the mask."""
+    the unescaped text under each span of the mask.
+
+    A mask that covers the assistant texts is checked in one walk and its texts come
+    from the split segments; any other mask is read span by span from the string.
+    """
     segments = F.filter(F.split("formatted", F.lit(END)), lambda x: x != "")
     head = lambda x: F.substring_index(x, "\n", 1)
     turns = F.transform(
@@ -218,11 +237,14 @@ def read_back(formatted: DataFrame) -> DataFrame:
             unescape(F.substr(x, F.char_length(head(x)) + 2)).alias("text"),
         ),
     )
+    spoken = F.filter(segments, lambda x: F.startswith(x, F.lit(f"{HEAD}{ASSISTANT}\n")))
+    texts = F.transform(spoken, lambda x: unescape(F.substr(x, F.lit(len(HEAD + ASSISTANT) + 2))))
     masked = F.transform(
         "loss_spans",
         lambda s: unescape(F.substr("formatted", (s["start"] + 1).cast("int"), s["length"].cast("int"))),
     )
-    return formatted.select("*", turns.alias("turns"), masked.alias("loss_texts"))
+    loss = F.when(_spans_are_assistant_texts(segments, F.col("loss_spans")), texts).otherwise(masked)
+    return formatted.select("*", turns.alias("turns"), loss.alias("loss_texts"))
 
 
 def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import time
 
 import duckdb
 import pytest
@@ -49,6 +50,42 @@ def test_loss_spans_are_code_points_of_the_formatted_text(spark):
     assert row.formatted[span.start : span.start + span.length] == "\U0001f600 \\hx"
 
 
+def test_a_mask_that_is_not_the_assistant_texts_is_read_by_its_spans(spark):
+    df = spark.createDataFrame([(1, i, r, t) for i, (r, t) in enumerate([("user", "one"), ("assistant", "two"), ("assistant", "")])], "conv_id bigint, turn bigint, role string, text string")
+    whole = chat.format_turns(chat.canonical_turns(df))
+    full = whole.first()
+    at = full.formatted.index("one")
+    masks = {
+        "only the user": [(at, 3)],
+        "one assistant": [tuple(full.loss_spans[0])],
+        "shifted": [(full.loss_spans[0].start + 1, 2), tuple(full.loss_spans[1])],
+        "none": [],
+        "all": [tuple(x) for x in full.loss_spans],
+    }
+    for name, mask in masks.items():
+        frame = spark.createDataFrame([(1, full.formatted, mask)], "conv_id bigint, formatted string, loss_spans array<struct<start:bigint,length:bigint>>")
+        assert chat.read_back(frame).first().loss_texts == [full.formatted[s : s + n] for s, n in mask], name
+
+
+def test_one_conversation_of_many_turns(spark):
+    """20,000 turns come back whole, and their cost is far from quadratic."""
+
+    def seconds(n):
+        turns = spark.range(n).selectExpr("5L AS conv_id", "id AS turn", "IF(id % 2 = 0, 'user', 'assistant') AS role", "concat('word </turn> ', id, repeat(' ### é', 8)) AS text")
+        began = time.monotonic()
+        row = chat.digest_columns(chat.read_back(chat.format_turns(turns))).first()
+        took = time.monotonic() - began
+        texts = [f"word </turn> {i}" + " ### é" * 8 for i in range(n)]
+        assert row.n_turns == n
+        assert row.turns_sha256 == hashlib.sha256("".join(f"{'assistant' if i % 2 else 'user'}\n{t}\n" for i, t in enumerate(texts)).encode()).hexdigest()
+        assert row.loss_sha256 == hashlib.sha256("".join(texts[1::2]).encode()).hexdigest()
+        return took
+
+    base = seconds(50)
+    small, large = seconds(2000), seconds(20000)
+    assert large - base < 25 * max(small - base, 0.5)
+
+
 def test_layouts_give_the_same_turns(spark):
     want = [("user", "q"), ("assistant", "a")]
     frames = [
