@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rulecheck.llm.common import documents, partitions, ship_package
+from rulecheck.llm.common import NO_ID, document_key, documents, partitions, ship_package
 from rulecheck.llm.kernels import mix, shingles, slices, text_buffer, words
 
 WIDTH, BINS, BITS = 5, 512, 4
@@ -125,47 +125,80 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     return documents(docs, "doc_id", "text").mapInArrow(run, "doc_id bigint, fingerprint string")
 
 
-def _key(doc_id: pa.Array) -> np.ndarray:
-    """Order of documents; a null id comes before all others."""
-    return doc_id.fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
+def _places(key: np.ndarray, tie: np.ndarray) -> np.ndarray:
+    """Order of documents as 16 bytes that compare like (key, tie-break)."""
+    both = np.stack([key, tie], axis=1).astype(np.int64).view(np.uint64) ^ np.uint64(1 << 63)
+    return both.astype(">u8").view("S16").ravel()
+
+
+def _batch_places(batch: pa.RecordBatch) -> np.ndarray:
+    return _places(*[batch.column(c).to_numpy(zero_copy_only=False) for c in ("_k", "_h")])
+
+
+def range_cuts(docs: DataFrame, parts: int) -> np.ndarray:
+    """Last places of all ranges but the highest, for ranges of about equally many rows.
+
+    They are quantiles of the ids. An id that fills several quantiles (or the null id) is
+    cut by its tie-break as often, so its rows spread over as many ranges.
+    """
+    if parts < 2:
+        return np.zeros(0, "S16")
+    ids = docs.select("_k", F.col("doc_id").isNull().alias("none"))
+    values, times = np.unique(ids.approxQuantile("_k", [k / parts for k in range(1, parts)], 0.2 / parts), return_counts=True)
+    exact = {}
+    hot = [v for v, n in zip(values.tolist(), times.tolist(), strict=True) if n > 1]
+    if hot:  # quantiles are doubles; the id itself is the most frequent one that rounds to it
+        rounded = F.col("_k").cast("double")
+        counts = ids.where(rounded.isin(hot)).groupBy("_k", "none").count()
+        exact = {r["v"]: r["id"] for r in counts.groupBy(rounded.alias("v")).agg(F.max_by(F.struct("_k", "none"), "count").alias("id")).collect()}
+    key, tie = [], []
+    for v, n in zip(values.tolist(), times.tolist(), strict=True):
+        k, none = exact.get(v, (int(min(v, 2.0**63 - 1024)), False))
+        low = NO_ID if none else 0
+        key += [k] * n
+        tie += [low + (1 << 63) * j // n for j in range(1, n)] + [(1 << 63) - 1]
+    return np.unique(_places(np.array(key, np.int64), np.array(tie, np.int64)))
 
 
 def neighbours(docs: DataFrame, parts: int) -> DataFrame:
-    """Rows of ``docs`` dealt to ranges of ``doc_id`` (``part``), and one more row per
+    """Rows of ``docs`` dealt to ranges of their order (``part``), and further rows per
     range (``guest``): the one that follows it in descending order, so every row meets
     its successor in its own range. The last row's successor is the first.
 
-    The ranges come from ids alone; the cut points and the greatest id of each range,
-    two numbers per partition, are all that the driver sees.
+    The cut points and the greatest place of each range, two numbers per partition, are
+    all that the driver sees. Only exact copies with one id cannot be told apart; each
+    batch sends one of them as a guest.
     """
-    quantiles = [k / parts for k in range(1, parts)]
-    bounds = np.unique(np.array(docs.approxQuantile("doc_id", quantiles, 0.2 / parts) if quantiles else [], np.float64).astype(np.int64))
+    docs = docs.select("doc_id", "text", *document_key())
+    bounds = range_cuts(docs, parts)
 
     def tops(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            key = _key(batch.column("doc_id"))
-            part = np.searchsorted(bounds, key)
-            order = np.lexsort((key, part))
-            last = np.flatnonzero(np.diff(part[order], append=-1))
-            yield pa.RecordBatch.from_arrays([pa.array(part[order][last], pa.int32()), pa.array(key[order][last])], names=["part", "top"])
-
-    highest = docs.select("doc_id").mapInArrow(tops, "part int, top bigint").groupBy("part").agg(F.max("top").alias("top")).collect()
-    highest = sorted((r["part"], r["top"]) for r in highest)
-    top = np.array([t for _, t in highest], np.int64)
-    host = np.roll(np.array([p for p, _ in highest], np.int32), -1)
+            place = _batch_places(batch)
+            part = np.searchsorted(bounds, place)
+            order = np.lexsort((place, part))
+            last = pa.array(order[np.flatnonzero(np.diff(part[order], append=-1))])
+            parts_of = pa.array(part, pa.int32()).take(last)
+            yield pa.RecordBatch.from_arrays([parts_of, batch.column("_k").take(last), batch.column("_h").take(last)], names=["part", "_k", "_h"])
+
+    highest = docs.select("_k", "_h").mapInArrow(tops, "part int, _k bigint, _h bigint").groupBy("part").agg(F.max(F.struct("_k", "_h")).alias("top")).collect()
+    highest = sorted((r["part"], r["top"]["_k"], r["top"]["_h"]) for r in highest)
+    top = _places(np.array([k for _, k, _ in highest], np.int64), np.array([h for _, _, h in highest], np.int64))
+    host = np.roll(np.array([p for p, _, _ in highest], np.int32), -1)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            key = _key(batch.column("doc_id"))
-            at = np.minimum(np.searchsorted(top, key), max(len(top) - 1, 0))
-            extra = np.flatnonzero(top[at] == key) if len(key) else np.zeros(0, np.int64)
-            rows = np.concatenate([np.arange(len(key)), extra])
-            part = np.concatenate([np.searchsorted(bounds, key), host[at[extra]]])
-            guest = np.arange(len(rows)) >= len(key)
+            place = _batch_places(batch)
+            at = np.minimum(np.searchsorted(top, place), max(len(top) - 1, 0))
+            extra = np.flatnonzero(top[at] == place) if len(place) else np.zeros(0, np.int64)
+            extra = extra[np.unique(at[extra], return_index=True)[1]]
+            rows = np.concatenate([np.arange(len(place)), extra])
+            part = np.concatenate([np.searchsorted(bounds, place), host[at[extra]]])
+            guest = np.arange(len(rows)) >= len(place)
             both = batch.take(pa.array(rows)) if len(extra) else batch
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(guest), both.column("doc_id"), both.column("text")], names=["part", "guest", "doc_id", "text"])
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(guest), *[both.column(c) for c in ("doc_id", "text", "_k", "_h")]], names=["part", "guest", "doc_id", "text", "_k", "_h"])
 
-    return docs.mapInArrow(deal, "part int, guest boolean, doc_id bigint, text string")
+    return docs.mapInArrow(deal, "part int, guest boolean, doc_id bigint, text string, _k bigint, _h bigint")
 
 
 def edited(text: str, following: str) -> str:
@@ -179,12 +212,12 @@ def edited_documents(docs: DataFrame) -> DataFrame:
 
     One shuffle by ranges of ``doc_id`` brings neighbours together; each task then
     streams its sorted rows and holds one block and the row after it. Rows of equal
-    ``doc_id`` follow each other in the order of their texts' hashes.
+    ``doc_id`` follow each other in descending order of their texts' hashes.
     """
     spark = ship_package(docs.sparkSession)
     parts = partitions(spark)
     dealt = neighbours(documents(docs, "doc_id", "text"), parts)
-    ordered = dealt.repartitionById(parts, "part").sortWithinPartitions("part", "guest", F.col("doc_id").desc_nulls_last(), F.xxhash64("text"))
+    ordered = dealt.repartitionById(parts, "part").sortWithinPartitions("part", "guest", F.col("_k").desc(), F.col("_h").desc())
     return ordered.mapInArrow(_compare, EDITED_SCHEMA)
 
 

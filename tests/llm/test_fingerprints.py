@@ -8,8 +8,11 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
 
 from rulecheck.llm import fingerprints as f
+from rulecheck.llm.common import document_key
 from rulecheck.llm.kernels import text_buffer
 
 SF = "/root/testdata/sf0.001"
@@ -54,6 +57,29 @@ def test_neighbours_meet_whatever_the_partitions(spark):
     assert got == {i: hashlib.sha256(c.encode()).hexdigest() for i, _, c, _ in expected(rows)}
 
 
+@pytest.mark.parametrize("hot", [None, 7, -(1 << 63), (1 << 60) + 1])
+def test_an_id_of_a_third_of_all_rows_spreads_over_the_ranges(spark, hot):
+    """The ranges stay even, and every row still meets the row after it, null ids last."""
+    base = 0 if hot in (None, 7) else hot
+    rows = [((hot if i % 3 == 0 else base + 10 * i), f"text {i} " + "ab" * (i % 5)) for i in range(3000)] + [(None, "x"), (None, "y")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    sizes = [r["count"] for r in f.neighbours(df, 8).where("NOT guest").groupBy("part").count().collect()]
+    assert sum(sizes) == len(rows) and max(sizes) <= 2 * sorted(sizes)[len(sizes) // 2]
+    ordered = [(r.doc_id, r.text) for r in df.select("doc_id", "text", *document_key()).orderBy(F.col("_k").desc(), F.col("_h").desc()).collect()]
+    want = [hashlib.sha256(f.edited(t, n).encode()).hexdigest() for (_, t), (_, n) in zip(ordered, ordered[1:] + ordered[:1], strict=True)]
+    got = [(r.doc_id, r.edited_sha256) for r in f.edited_documents(df).collect()]
+    assert sorted(map(str, got)) == sorted(str((i, w)) for (i, _), w in zip(ordered, want, strict=True))
+    ids = [i for i, _ in ordered]
+    assert ids == sorted((i for i in ids if i is not None), reverse=True) + [i for i in ids if i is None]
+
+
+def test_copies_with_one_id_are_guests_once_per_batch(spark):
+    df = spark.createDataFrame([(9, "same")] * 600 + [(i, f"t{i}") for i in range(300)], "doc_id bigint, text string").repartition(3)
+    dealt = f.neighbours(df, 6)
+    assert dealt.where("guest").count() <= 3 * 6
+    assert f.edited_documents(df).count() == 900
+
+
 def test_odd_tables(spark):
     kind = "doc_id bigint, text string"
     assert f.edited_documents(spark.createDataFrame([], kind)).collect() == []
