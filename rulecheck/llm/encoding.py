@@ -22,11 +22,13 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import shutil
 import tempfile
 import uuid
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -48,21 +50,35 @@ LATIN_END = "\u0250"
 # Fixed value: the split pattern stated in the vocabulary file.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _SPLIT = regex.compile(SPLIT)
+_BEYOND_LATIN = re.compile(f"[^\\x00-{chr(ord(LATIN_END) - 1)}]")
 
 
 def split_words(library: Tokenizer, run: str) -> list[str]:
-    """Words of a run without special tokens.
+    """Words of a run without special tokens, by the tokenizer's own normaliser and
+    splitter, whose tables may be older than Python's."""
+    text = library.normalizer.normalize_str(run)
+    return [text[a:b] for _, (a, b) in library.pre_tokenizer.pre_tokenize_str(text)]
+
+
+def split_runs(library: Tokenizer, runs: list[str]) -> list[list[str]]:
+    """Words of each run; the runs hold no space and no special token.
 
     Below LATIN_END no character composes with another and letters are the same in
-    every Unicode version, so lower case is all there is to do; other runs go
-    through the tokenizer's own normaliser and splitter, whose tables may be older
-    than Python's.
+    every Unicode version, so lower case is all there is to do, for all runs at once.
     """
-    if run.isascii() or max(run) < LATIN_END:
-        text = run.lower()
-        return [text] if text.isalpha() else _SPLIT.findall(text)
-    text = library.normalizer.normalize_str(run)
-    return [text[a:b] for _, (a, b) in library.pre_tokenizer.pre_tokenize_str(text)]
+    joined = " ".join(runs)
+    if _BEYOND_LATIN.search(joined):
+        plain = iter(split_runs(library, [r for r in runs if not _BEYOND_LATIN.search(r)]))
+        return [split_words(library, r) if _BEYOND_LATIN.search(r) else next(plain) for r in runs]
+    words = _SPLIT.findall
+    return [[r] if r.isalpha() else words(r) for r in joined.lower().split(" ")] if runs else []
+
+
+def holds_special(special: list[str], runs: list[str]) -> set[str]:
+    """The runs that hold a special token's text; all are searched at once first."""
+    joined = " ".join(runs)
+    found = [t for t in special if t in joined]
+    return {r for r in runs if any(t in r for t in found)} if found else set()
 
 
 def _blocks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
@@ -90,13 +106,12 @@ class WordEncoder:
         return [b"".join(map(self.runs.__getitem__, c)) for c in cut]
 
     def _learn(self, runs: set[str]) -> None:
-        parts = {}
-        for r in runs:
-            if any(s in r for s in self.model.special):
-                self.runs[r] = np.array(self.model.library.encode(r, add_special_tokens=False).ids, "<u4").tobytes()
-            else:
-                parts[r] = split_words(self.model.library, r)
-        new = list({w for p in parts.values() for w in p}.difference(self.words))
+        marked = holds_special(self.model.special, list(runs))
+        for r in marked:
+            self.runs[r] = np.array(self.model.library.encode(r, add_special_tokens=False).ids, "<u4").tobytes()
+        plain = list(runs.difference(marked))
+        parts = split_runs(self.model.library, plain)
+        new = list(set(chain.from_iterable(parts)).difference(self.words))
         if new:
             coded = [w.encode() for w in new]
             known = self.lexicon.lookup(coded)
@@ -106,8 +121,8 @@ class WordEncoder:
                 ids, at = encode_words(self.model, [coded[i] for i in unseen])
                 blob, ends = ids.astype("<u4").tobytes(), (at * 4).tolist()
                 self.words.update((new[i], blob[a:b]) for i, a, b in zip(unseen, ends, ends[1:], strict=False))
-        for r, p in parts.items():
-            self.runs[r] = b"".join(map(self.words.__getitem__, p))
+        ids_of = self.words.__getitem__
+        self.runs.update(zip(plain, [ids_of(p[0]) if len(p) == 1 else b"".join(map(ids_of, p)) for p in parts], strict=True))
 
 
 def word_counts(docs: DataFrame, shared: Broadcast[BpeModel]) -> DataFrame:
@@ -118,11 +133,12 @@ def word_counts(docs: DataFrame, shared: Broadcast[BpeModel]) -> DataFrame:
         model = shared.value
 
         def flush() -> pa.RecordBatch:
-            total: Counter[str] = Counter()
-            for r, n in seen.items():
-                if not any(s in r for s in model.special):
-                    for w in split_words(model.library, r):
-                        total[w] += n
+            total: dict[str, int] = {}
+            for r in holds_special(model.special, list(seen)):
+                del seen[r]
+            for words, n in zip(split_runs(model.library, list(seen)), seen.values(), strict=True):
+                for w in words:
+                    total[w] = total.get(w, 0) + n
             seen.clear()
             return pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], names=["word", "n"])
 
