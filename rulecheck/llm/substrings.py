@@ -281,7 +281,7 @@ def _cut(kind: pa.DataType, as_is: bool, batches: Iterator[pa.RecordBatch]) -> I
                 ranges.append([{"start": a, "end": b} for a, b in cut])
                 for a, b in reversed(cut):
                     del w[a:b]
-                kept.append(text or "" if as_is and not cut else b" ".join(w).decode())
+                kept.append(text if as_is and not cut else b" ".join(w).decode())
             yield pa.RecordBatch.from_arrays(
                 [part.column("_rest"), pa.array(kept, pa.string()), pa.array(n_words, pa.int64()), pa.array(removed, pa.int64()), pa.array(ranges, kind)],
                 names=["_rest", "text", "n_words", "n_removed", "removed"],
@@ -292,7 +292,7 @@ def remove_repeats(docs: DataFrame, as_is: bool = False) -> DataFrame:
     """``_rest`` (a struct of all other columns of ``docs``), ``text`` (kept words joined
     by one space), ``n_words``, ``n_removed`` and ``removed`` (word ranges) of every row.
 
-    ``as_is`` leaves the white space of texts that lose no word as it was."""
+    ``as_is`` leaves texts that lose no word as they were, null ones too."""
     spark = ship_package(docs.sparkSession)
     buckets = partitions(spark)
     others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]

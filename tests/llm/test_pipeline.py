@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import random
+
 import corpus_pipeline as p
 import public_tokenizers
+import pytest
 import test_duplicates as duplicates
 from tokenizers import Tokenizer
 
@@ -52,4 +55,68 @@ def test_registered():
     assert names["pipeline"] is p.run and "pipeline" not in e.oracle_sql()
     assert [n for n in names if n.startswith("op")] == [
         "op1_chat", "op2_fingerprints", "op3_quality", "op4_substrings", "op5_topk", "op6_language", "op7_jaccard", "op8_warc", "op9_packing", "op10_encoding",
+        "op11_prefixes", "op12_main_text", "op13_codes",
     ]
+
+
+WORDS = "the house on a hill was old and its doors were never shut since people came at any hour to ask what they wanted most".split()
+
+
+def odd_rows(spark):
+    """Rows with nulls, empty and very long texts, repeats, ties of ids and clashing columns."""
+    dice = random.Random(5)
+    texts = [" ".join(dice.choice(WORDS) for _ in range(60)) for _ in range(12)]
+    rows = [(i, "a", t, "en") for i, t in enumerate(texts)]
+    rows += [(None, None, " ".join(dice.choice(WORDS) for _ in range(50)), None), (20, "a", None, "en"), (21, "a", "", "en"), (21, "a", "", "en"), (22, "a", " .,\n 12 ", "en")]
+    rows += [(3, "b", texts[0] + " indeed", "en"), (30, "a", texts[4] + " so", "en"), (31, "b", texts[5], None), (31, "b", texts[5], None)]
+    rows += [(40, "c", " ".join(dice.choice(WORDS) for _ in range(60_000)), "en"), (41, "c", "  two\t\tblanks  stay here ", "en")]
+    full = [(*r, None if r[2] is None else len(r[2]), 7, "clash", 0.5, i) for i, r in enumerate(rows)]
+    return rows, spark.createDataFrame(full, "doc_id bigint, source string, text string, lang string, n_chars bigint, _k int, words string, score double, row int").repartition(3)
+
+
+@pytest.fixture
+def odd_folder(spark, tmp_path):
+    spark.createDataFrame([(0, 1), (1, 0), (2, 1), (None, 1), (4, None), (99, 0)], "doc_id bigint, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    return str(tmp_path)
+
+
+def test_odd_rows_in_every_stage(spark, odd_folder):
+    rows, docs = odd_rows(spark)
+    by_stage = {}
+    for name, step in p.STAGES[:-1]:
+        out = step(spark, docs, odd_folder)
+        assert out.columns == docs.columns and out.schema.simpleString() == docs.schema.simpleString()
+        by_stage[name] = {r.row: r for r in out.collect()}
+        whole = {r.row: r for r in docs.collect()}
+        if name != "substring_dedup":
+            assert all(whole[i] == r for i, r in by_stage[name].items())
+    scored = by_stage["quality_classifier"]
+    assert len({i in scored for i, r in enumerate(rows) if not r[2]}) == 1  # null and empty texts alike
+    spoken = by_stage["language_id"]
+    assert {i for i in range(len(rows)) if i not in spoken} == {i for i, r in enumerate(rows) if not any(c.isalpha() for c in r[2] or "")}
+    kept = by_stage["ngram_jaccard_join"]
+    wordless = {i for i, r in enumerate(rows) if not (r[2] or "").split()}
+    assert wordless <= set(kept)
+    gone = [rows[i][:2] for i in range(len(rows)) if i not in kept]
+    assert sorted(gone) == [(3, "b"), (30, "a"), (31, "b"), (31, "b")]
+    left = by_stage["substring_dedup"]
+    assert set(left) == set(range(len(rows)))
+    for i, r in enumerate(rows):
+        assert (left[i].text is None) == (r[2] is None) and left[i].n_chars == (None if r[2] is None else len(left[i].text))
+    assert left[len(rows) - 1].text == rows[-1][2]
+    last = {i: r[2] for i, r in enumerate(rows) if r[:2] in [(3, "b"), (30, "a"), (31, "b")]}
+    assert all(left[i].text.split() == t.split()[60:] for i, t in last.items())
+    pieces = p.pack(spark, docs, odd_folder).collect()
+    lib = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert sum(x.length for x in pieces) == sum(len(lib.encode(r[2] or "", add_special_tokens=False).ids) + 1 for r in rows)
+    assert sum(x.doc_id is None for x in pieces) >= 1
+
+
+def test_empty_table_in_every_stage(spark, odd_folder):
+    _, docs = odd_rows(spark)
+    empty = docs.where("false")
+    for name, step in p.STAGES:
+        out = step(spark, empty, odd_folder)
+        assert out.collect() == []
+        if name != "packing":
+            assert out.columns == docs.columns
