@@ -1,8 +1,10 @@
 """Exact top-k search of binary codes by incremental multi-index hashing.
 
 A vector's code has one bit per dimension: 1 where the value is above 0. Codes
-are cut into segments of 16 bits and indexed by (segment, value). Two codes at
-distance at most m (s + 1) - 1, in m segments, agree in one segment up to s
+are cut into m nearly equal segments of about log2(n) bits, n being the number of
+different codes, and indexed by (segment, value): a value then holds about one code
+however large the table is.
+Two codes at distance at most m (s + 1) - 1 agree in one segment up to s
 bits. So the search probes all values within s bits of each query segment, for
 s = 0, 1, 2, ..., verifies the full distance of what it finds, and drops a query
 as soon as its k-th verified distance is covered by that bound: nothing closer
@@ -12,8 +14,8 @@ Equal codes are one index entry with their k smallest ids, and equal queries are
 searched once, so a vector that a third of all rows share is one entry. An entry
 is reported in one round and by one segment only (its first nearest one), so
 nothing has to be made distinct. What stays between rounds is k rows per query,
-on shared storage. The driver sees the numbers of open queries, of rows, and of
-dimensions.
+on shared storage. The driver sees the numbers of different codes, of rows up to k,
+and of dimensions, and whether queries are open.
 
 Cases: a null vector has no code, it is neither query nor result; null and NaN
 values give bit 0; shorter vectors are filled up with 0; equal distances are
@@ -32,7 +34,8 @@ from pyspark.sql import functions as F
 from rulecheck.llm.common import stage
 
 K = 10
-SEGMENT_BITS = 16
+LEAST_BITS, MOST_BITS = 8, 32
+HALF_BITS = 16
 SALTS = 64
 
 
@@ -50,17 +53,41 @@ def codes(vectors: DataFrame, id_column: str, vector_column: str, dimensions: in
     return rows.select("id", *[word(k).alias(f"w{k}") for k in range(-(-dimensions // 64))])
 
 
-def segment_of(word: Column, place: int) -> Column:
-    """The ``place``-th 16 bits of a code word, from the lowest."""
-    return F.shiftrightunsigned(word, SEGMENT_BITS * place).bitwiseAND(F.lit((1 << SEGMENT_BITS) - 1)).cast("int")
+def segment_bounds(dimensions: int, entries: int) -> list[tuple[int, int]]:
+    """First and last (excluded) dimension of each segment: as many segments of nearly equal
+    width as make that width about log2 of the number of different codes."""
+    width = min(max(entries.bit_length(), LEAST_BITS), MOST_BITS)
+    m = -(-dimensions // width)
+    return [(dimensions * j // m, dimensions * (j + 1) // m) for j in range(m)]
 
 
-def _segments(prefix: str, dimensions: int) -> list[Column]:
-    out = []
-    for k in range(-(-dimensions // 64)):
-        used = min(64, dimensions - 64 * k)
-        out += [segment_of(F.col(f"{prefix}{k}"), p) for p in range(-(-used // SEGMENT_BITS))]
-    return out
+def segment_of(prefix: str, first: int, last: int, dimensions: int) -> Column:
+    """Dimensions ``first`` to ``last`` (excluded) of a code in words ``<prefix>0``, ``<prefix>1``, ..., as a number."""
+    value = F.lit(0).cast("bigint")
+    for k in range(first // 64, (last - 1) // 64 + 1):
+        held = min(64, dimensions - 64 * k)  # bits of this word, the first dimension in the highest
+        start, stop = max(first - 64 * k, 0), min(last - 64 * k, held)
+        piece = F.shiftrightunsigned(F.col(f"{prefix}{k}"), held - stop).bitwiseAND(F.lit((1 << (stop - start)) - 1))
+        value = F.shiftleft(value, stop - start).bitwiseOR(piece)
+    return value
+
+
+def _segments(prefix: str, dimensions: int, bounds: list[tuple[int, int]]) -> list[Column]:
+    return [segment_of(prefix, first, last, dimensions) for first, last in bounds]
+
+
+def _masks(bits: int, ones: int) -> list[int]:
+    """All numbers of some bits with a number of them set."""
+    return [sum(1 << b for b in chosen) for chosen in combinations(range(bits), ones)]
+
+
+def masks(width: int, radius: int) -> Column:
+    """Choices of ``radius`` bits of a segment, as an array of (low, high) lists: every mask is one
+    of ``low`` with one of ``high``, so that no list is longer than 2^HALF_BITS."""
+    low, high = min(width, HALF_BITS), max(width - HALF_BITS, 0)
+    kind = "array<bigint>"
+    splits = [(_masks(low, radius - h), [x << HALF_BITS for x in _masks(high, h)]) for h in range(max(0, radius - low), min(high, radius) + 1)]
+    return F.array(*[F.struct(F.lit(a).cast(kind).alias("low"), F.lit(b).cast(kind).alias("high")) for a, b in splits])
 
 
 def index_entries(coded: DataFrame, words: list[str], k: int) -> DataFrame:
@@ -83,7 +110,9 @@ def search(vectors: DataFrame, queries: DataFrame, id_column: str, vector_column
     words = [c for c in own.columns if c != "id"]
     entries = stage(index_entries(own, words, k), "codes")
     rows = own.limit(k).count()  # fewer rows than k can never fill k places
-    segments = _segments("w", dimensions)
+    bounds = segment_bounds(dimensions, entries.count())
+    widths = [last - first for first, last in bounds]
+    segments = _segments("w", dimensions, bounds)
     m = len(segments)
     pairs = F.array(*[F.struct(F.lit(j).alias("segment"), s.alias("value")) for j, s in enumerate(segments)])
     index = stage(entries.select(*words, "ids", F.inline(pairs)), "index")
@@ -93,13 +122,16 @@ def search(vectors: DataFrame, queries: DataFrame, id_column: str, vector_column
     open_queries = stage(open_queries.withColumn("worst", F.lit(dimensions)), "open")
     best = None
     found = []
-    own_segments, query_segments = _segments("w", dimensions), _segments("qw", dimensions)
+    own_segments, query_segments = segments, _segments("qw", dimensions, bounds)
     apart = [F.bit_count(a.bitwiseXOR(b)) for a, b in zip(own_segments, query_segments, strict=True)]
     distance = sum((F.bit_count(F.col(w).bitwiseXOR(F.col(q))) for w, q in zip(words, asking, strict=True)), F.lit(0))
-    for radius in range(SEGMENT_BITS + 1):
-        masks = [sum(1 << b for b in bits) for bits in combinations(range(SEGMENT_BITS), radius)]
-        probes = open_queries.select("*", F.inline(F.array(*[F.struct(F.lit(j).alias("segment"), s.alias("near")) for j, s in enumerate(query_segments)])))
-        probes = probes.select(*asking, "worst", "segment", "near", F.explode(F.lit(masks).cast("array<int>")).alias("mask"))
+    for radius in range(max(widths) + 1):
+        nears = [F.struct(F.lit(j).alias("segment"), s.alias("near"), F.lit(w).alias("width")) for j, (s, w) in enumerate(zip(query_segments, widths, strict=True))]
+        probes = open_queries.select("*", F.inline(F.array(*nears)))
+        wide = F.when(F.col("width") == max(widths), masks(max(widths), radius)).otherwise(masks(min(widths), radius))
+        probes = probes.select(*asking, "worst", "segment", "near", F.inline(wide))
+        probes = probes.select(*asking, "worst", "segment", "near", "high", F.explode("low").alias("mask"))
+        probes = probes.select(*asking, "worst", "segment", F.col("near").bitwiseXOR(F.col("mask")).alias("near"), F.explode("high").alias("mask"))
         probes = probes.withColumn("value", F.col("near").bitwiseXOR(F.col("mask"))).drop("near", "mask")
         # both sides are shuffled: the probes are many more than their source's size tells Spark
         met = probes.hint("merge").join(index, ["segment", "value"])

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import random
+from math import comb
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from rulecheck.llm import topk
 
@@ -60,3 +62,37 @@ def test_fewer_rows_than_k_and_empty_tables(spark):
     empty = df.where("false")
     assert topk.search(empty, empty, "vec_id", "embedding").collect() == []
     assert topk.search(df, empty, "vec_id", "embedding").collect() == []
+
+
+def test_segments_follow_the_number_of_codes():
+    assert topk.segment_bounds(64, 100_000) == [(0, 16), (16, 32), (32, 48), (48, 64)]
+    assert topk.segment_bounds(70, 1) == [(0, 7), (7, 15), (15, 23), (23, 31), (31, 38), (38, 46), (46, 54), (54, 62), (62, 70)]
+    assert topk.segment_bounds(64, 10**12) == [(0, 32), (32, 64)]
+    assert topk.segment_bounds(3, 10**12) == [(0, 3)]
+
+
+@pytest.mark.parametrize("width", [3, 16, 18])
+def test_masks_are_all_choices_of_bits_once(spark, monkeypatch, width):
+    monkeypatch.setattr(topk, "HALF_BITS", 11)
+    seen = set()
+    for radius in range(width + 1):
+        if comb(width, radius) > 5000:
+            continue
+        sets = spark.range(1).select(F.inline(topk.masks(width, radius))).collect()
+        made = [a | b for r in sets for a in r.low for b in r.high]
+        assert len(made) == comb(width, radius) and all(m.bit_count() == radius and m < 1 << width for m in made)
+        assert seen.isdisjoint(made) and len(set(made)) == len(made)
+        seen |= set(made)
+
+
+def test_segments_of_more_than_half_a_list(spark, monkeypatch):
+    """Wide segments across words of a code, their masks in two halves."""
+    monkeypatch.setattr(topk, "LEAST_BITS", 9)
+    monkeypatch.setattr(topk, "HALF_BITS", 5)
+    dice = random.Random(1)
+    rows = [(i, [dice.choice([-1.0, 1.0]) for _ in range(77)]) for i in range(60)]
+    rows += [(100 + i, [x * (-1 if dice.random() < 0.1 else 1) for x in v]) for i, v in rows[:40]]
+    df = spark.createDataFrame(rows, KIND)
+    asked = df.where("vec_id % 30 = 0")
+    got = topk.search(df, asked, "vec_id", "embedding", k=2)
+    assert sorted(map(tuple, got.collect())) == brute(rows, [r for r in rows if r[0] % 30 == 0], 2)
