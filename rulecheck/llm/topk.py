@@ -2,8 +2,8 @@
 
 A vector's code has one bit per dimension: 1 where the value is above 0. Codes
 are cut into m nearly equal segments of about log2(n) bits, n being the number of
-different codes, and indexed by (segment, value): a value then holds about one code
-however large the table is.
+different codes and no more, and indexed by (segment, value): a value then holds a few
+codes however large the table is.
 Two codes at distance at most m (s + 1) - 1 agree in one segment up to s
 bits. So the search probes all values within s bits of each query segment, for
 s = 0, 1, 2, ..., verifies the full distance of what it finds, and drops a query
@@ -54,9 +54,10 @@ def codes(vectors: DataFrame, id_column: str, vector_column: str, dimensions: in
 
 
 def segment_bounds(dimensions: int, entries: int) -> list[tuple[int, int]]:
-    """First and last (excluded) dimension of each segment: as many segments of nearly equal
-    width as make that width about log2 of the number of different codes."""
-    width = min(max(entries.bit_length(), LEAST_BITS), MOST_BITS)
+    """First and last (excluded) dimension of each segment: the fewest segments of nearly equal
+    width that are no wider than log2 of the number of different codes, so that on average no
+    probed value is empty (probes are shuffled, what they find is compared in place)."""
+    width = min(max(entries.bit_length() - 1, LEAST_BITS), MOST_BITS)
     m = -(-dimensions // width)
     return [(dimensions * j // m, dimensions * (j + 1) // m) for j in range(m)]
 

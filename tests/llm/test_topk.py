@@ -66,6 +66,7 @@ def test_fewer_rows_than_k_and_empty_tables(spark):
 
 def test_segments_follow_the_number_of_codes():
     assert topk.segment_bounds(64, 100_000) == [(0, 16), (16, 32), (32, 48), (48, 64)]
+    assert topk.segment_bounds(64, 65_535) == topk.segment_bounds(64, 9_000) == [(0, 12), (12, 25), (25, 38), (38, 51), (51, 64)]
     assert topk.segment_bounds(70, 1) == [(0, 7), (7, 15), (15, 23), (23, 31), (31, 38), (38, 46), (46, 54), (54, 62), (62, 70)]
     assert topk.segment_bounds(64, 10**12) == [(0, 32), (32, 64)]
     assert topk.segment_bounds(3, 10**12) == [(0, 3)]
