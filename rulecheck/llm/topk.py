@@ -55,8 +55,8 @@ def codes(vectors: DataFrame, id_column: str, vector_column: str, dimensions: in
 
 def segment_bounds(dimensions: int, entries: int) -> list[tuple[int, int]]:
     """First and last (excluded) dimension of each segment: the fewest segments of nearly equal
-    width that are no wider than log2 of the number of different codes, so that on average no
-    probed value is empty (probes are shuffled, what they find is compared in place)."""
+    width that are no wider than log2 of the number of different codes, so that a value
+    holds at least one code on average (from 2^LEAST_BITS codes to 2^(MOST_BITS + 1))."""
     width = min(max(entries.bit_length() - 1, LEAST_BITS), MOST_BITS)
     m = -(-dimensions // width)
     return [(dimensions * j // m, dimensions * (j + 1) // m) for j in range(m)]
