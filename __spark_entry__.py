@@ -41,8 +41,6 @@ from rulecheck.testing import corpus as C
 from rulecheck.testing import oracle as O
 
 FLAGSHIP_SF_DIR = "/root/testdata/sf0.001"
-#: Rules of queue 1 that succeed, or fail with a message of the engine's own.
-_LAYOUT_RULES = ["C01", "C03", "C07", "C08", "C09", "C11", "C12", "C20"]
 
 
 # ---------------------------------------------------------------------------
@@ -74,15 +72,23 @@ def _run(
     return run_queue(spark, catalog, _config(queue, domain, execution_id), sink)
 
 
-def comparable(results: DataFrame, with_times: bool = False) -> DataFrame:
-    """Result columns as compared with the oracle (see module docstring)."""
+def _error_text() -> F.Column:
+    """The class of an error raised by Spark, the whole text of the engine's own messages."""
     msg = F.col("ERROR_MESSAGE")
     cls = F.regexp_extract(msg, r"^\s*(\[[A-Z0-9_.]+\])", 1)
-    text = F.when(cls != F.lit(""), cls).otherwise(msg)
+    return F.when(cls != F.lit(""), cls).otherwise(msg)
+
+
+def _times_as_text() -> dict[str, F.Column]:
+    return {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in TIME_COLUMNS}
+
+
+def comparable(results: DataFrame, with_times: bool = False) -> DataFrame:
+    """Result columns as compared with the oracle (see module docstring)."""
     keep = [c for c in RESULT_COLUMNS if c not in TIME_COLUMNS and c != "ERROR_MESSAGE"]
-    cols = [F.col(c) for c in keep] + [text.alias("ERROR_TEXT")]
+    cols = [F.col(c) for c in keep] + [_error_text().alias("ERROR_TEXT")]
     if with_times:
-        cols += [F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in TIME_COLUMNS]
+        cols += _times_as_text().values()
     return results.select(*cols)
 
 
@@ -197,13 +203,13 @@ def q_run_metadata_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_result_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All 19 columns as they are, error messages whole and times as text under the
-    test clock, of rules whose messages are the engine's own; ``LAYOUT`` is the row type,
+    """All 19 columns of every rule of queue 1, the engine's own messages whole, Spark's
+    by their class and times as text under the test clock; ``LAYOUT`` is the row type,
     column by column in place."""
-    results = _run(spark, sf_dir, _LAYOUT_RULES).results
+    results = _run(spark, sf_dir).results
     held = results.select("*", F.expr("typeof(struct(*))").alias("LAYOUT"))
-    times = {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in TIME_COLUMNS}
-    return held.select(*[times.get(c, F.col(c)) for c in held.columns])
+    shown = _times_as_text() | {"ERROR_MESSAGE": _error_text().alias("ERROR_MESSAGE")}
+    return held.select(*[shown.get(c, F.col(c)) for c in held.columns])
 
 
 def q_result_union_all(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -460,8 +466,7 @@ def _oracles() -> dict[str, str]:
         ),
         "result_projection": O.with_catalog(
             f"SELECT r.* EXCLUDE (ERROR_TEXT), r.ERROR_TEXT AS ERROR_MESSAGE, t.EXECUTION_START_DT, t.EXECUTION_END_DT, t.EXECUTION_END_DT AS CREATED_DT, '{O.LAYOUT}' AS LAYOUT "
-            f"FROM ({O.rules_rows_sql(_LAYOUT_RULES)}) r JOIN (SELECT DQ_ID, {O.ticking_times_sql('DQ_ID')} FROM (SELECT CAST(DQ_ID AS BIGINT) AS DQ_ID "
-            f"FROM {O.selected(C.QUEUE)} WHERE DQ_CHK_ID IN ({', '.join(map(O.q, _LAYOUT_RULES))})) k) t ON r.DQ_ID = t.DQ_ID"
+            f"FROM ({queue1_rows}) r JOIN ({times}) t ON r.DQ_ID = t.DQ_ID"
         ),
         "placeholder_render": O.with_catalog(
             f"SELECT CAST(DQ_ID AS BIGINT) AS DQ_ID, DQ_CHK_ID, {render} AS RENDERED_SQL FROM catalog"
