@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from rulecheck.operators.execute import RunContext, execute_rule
 from rulecheck.operators.normalise import uppercase_columns
-from rulecheck.plans.run import RunConfig, RunResult, assemble_results, run_queue, tally_frame
+from rulecheck.plans.run import RunConfig, RunResult, assemble_results, run_queue, tally_frame, union_results
 from rulecheck.schema import RESULT_COLUMNS, TIME_COLUMNS
 from rulecheck.session import checkpoint_root, ensure_checkpoint_dir, new_staging_dir, non_ansi
 from rulecheck.sinks.results import ParquetSink
@@ -213,9 +213,11 @@ def q_result_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_result_union_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of all rules of a queue in which a summary holds equal rows, another rule
-    repeats its text and one fails; all rows come out. ``N_SAME`` counts equal rows of a rule."""
-    rows = comparable(_run(spark, sf_dir, queue=C.UNION_QUEUE).results)
+    """Rows of all rules of queue 1 and of a queue in which a summary holds equal rows,
+    another rule repeats its text and one fails; all rows come out. ``N_SAME`` counts the
+    rows of a rule with one label."""
+    runs = [_run(spark, sf_dir, queue=queue).results for queue in (C.QUEUE, C.UNION_QUEUE)]
+    rows = comparable(union_results(runs, spark))
     same = Window.partitionBy(*[c for c in rows.columns if c in ("DQ_ID", "SOR")])
     return rows.withColumn("N_SAME", F.count(F.lit(1)).over(same))
 
@@ -541,7 +543,7 @@ def _oracles() -> dict[str, str]:
         ),
         "result_union_all": O.with_catalog(
             "SELECT r.*, CAST(COUNT(*) OVER (PARTITION BY DQ_ID, SOR) AS BIGINT) AS N_SAME "
-            f"FROM ({O.rules_rows_sql(O.queue_chk_ids(C.UNION_QUEUE))}) r"
+            f"FROM ({O.rules_rows_sql(_QUEUE1 + O.queue_chk_ids(C.UNION_QUEUE))}) r"
         ),
         "rule_execute": _rules_oracle(["C02"]),
         "rule_failure_row": _rules_oracle(["C12", "C13", "C14", "C15", "C16", "C17", "C18", "C19", "C20"]),

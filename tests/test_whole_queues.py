@@ -69,3 +69,11 @@ def test_the_projection_has_every_rule_of_its_queue(spark, duck, made):
     said = {r.DQ_CHK_ID: r.ERROR_MESSAGE for r in rows if r.EXECUTION_STATUS == "FAILED"}
     assert said["C13"] == "[PARSE_SYNTAX_ERROR]" and said["C16"] == "[USER_RAISED_EXCEPTION]" and said["C20"] == "DQ_SQL is null"
     assert said["C12"].startswith("Unresolved placeholders in SQL: ['$foo']. Final SQL: SELECT ")
+
+
+def test_the_union_has_every_rule_of_its_queues(spark, duck, made):
+    _, rows = both(spark, duck, made, "result_union_all")
+    found = [(r.DQ_QUEUE_ID, r.DQ_CHK_ID) for r in rows]
+    assert set(found) == {(queue, c) for queue in (C.QUEUE, C.UNION_QUEUE) for c in O.queue_chk_ids(queue)}
+    alike = {c: sorted((r.SOR, r.TOTAL_COUNT, r.N_SAME) for r in rows if r.DQ_CHK_ID == c) for c in ("C32", "C33")}
+    assert alike == {"C32": [("F", 6, 2)] * 2 + [("O", 6, 2)] * 2, "C33": [("F", 6, 1), ("O", 6, 1)]}
