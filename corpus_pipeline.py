@@ -62,7 +62,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     ordered by ``doc_id``, null first, then by a hash of the text; rows equal in both are
     one document and lose the same words.
     """
-    found = substrings.remove_repeats(docs, as_is=True)
+    found = substrings.remove_repeats(docs, as_is=True, nulls=True)
     renewed = {"text": F.col("text"), "n_chars": F.char_length("text").cast("bigint")}
     return found.select(*[renewed.get(c, F.col(f"_rest.`{c}`")).alias(c) for c in docs.columns])
 

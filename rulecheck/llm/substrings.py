@@ -266,7 +266,7 @@ def spans(starts: np.ndarray, width: int) -> list[tuple[int, int]]:
     return list(zip(lo.tolist(), hi.tolist(), strict=True))
 
 
-def _cut(kind: pa.DataType, as_is: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cut(kind: pa.DataType, as_is: bool, nulls: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Kept text of each document."""
     for batch in batches:
         _, offs = text_buffer(batch.column("text"))
@@ -281,18 +281,19 @@ def _cut(kind: pa.DataType, as_is: bool, batches: Iterator[pa.RecordBatch]) -> I
                 ranges.append([{"start": a, "end": b} for a, b in cut])
                 for a, b in reversed(cut):
                     del w[a:b]
-                kept.append(text if as_is and not cut else b" ".join(w).decode())
+                kept.append(text if as_is and not cut and (nulls or text is not None) else b" ".join(w).decode())
             yield pa.RecordBatch.from_arrays(
                 [part.column("_rest"), pa.array(kept, pa.string()), pa.array(n_words, pa.int64()), pa.array(removed, pa.int64()), pa.array(ranges, kind)],
                 names=["_rest", "text", "n_words", "n_removed", "removed"],
             )
 
 
-def remove_repeats(docs: DataFrame, as_is: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, as_is: bool = False, nulls: bool = False) -> DataFrame:
     """``_rest`` (a struct of all other columns of ``docs``), ``text`` (kept words joined
     by one space), ``n_words``, ``n_removed`` and ``removed`` (word ranges) of every row.
 
-    ``as_is`` leaves texts that lose no word as they were, null ones too."""
+    ``as_is`` leaves texts that lose no word as they were; null ones become empty, with
+    ``nulls`` too they stay null."""
     spark = ship_package(docs.sparkSession)
     buckets = partitions(spark)
     others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
@@ -314,7 +315,7 @@ def remove_repeats(docs: DataFrame, as_is: bool = False) -> DataFrame:
     found = keyed.join(repeats, ["_k", "_h"], "left").select("_k", "_h", "text", "_rest", "at")
     kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     rest = found.schema["_rest"].dataType.simpleString()
-    return found.mapInArrow(lambda b: _cut(kind, as_is, b), f"_rest {rest}, text string, n_words bigint, n_removed bigint, removed {ranges}")
+    return found.mapInArrow(lambda b: _cut(kind, as_is, nulls, b), f"_rest {rest}, text string, n_words bigint, n_removed bigint, removed {ranges}")
 
 
 def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
