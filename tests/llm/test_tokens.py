@@ -34,6 +34,49 @@ def test_byte_level_ids_equal_the_library():
             assert np.frombuffer(ids, "<u4").tolist() == lib.encode(t, add_special_tokens=False).ids, t
 
 
+def test_distinct_pieces_are_merged_once(monkeypatch):
+    lib, model, merged = Tokenizer.from_file(BYTES), load_model(BYTES), []
+    monkeypatch.setattr(packing, "encode_words", lambda m, words: (merged.extend(words), encode_words(m, words))[1])
+    own = packing.ByteLevelEncoder(model)
+    block = ["a word*** word%%% word.\nWord word, 1word é", " word é***", "", "word 'word' word  word"]
+    for t, ids in zip(block * 2, own.encode(block) + own.encode(block), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == lib.encode(t, add_special_tokens=False).ids, t
+    assert len(merged) == len(set(merged))
+
+
+def test_every_code_point_is_split_as_the_library_does():
+    lib, own = Tokenizer.from_file(BYTES), packing.ByteLevelEncoder(load_model(BYTES))
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = [f"a{c}b1{c}2!{c}?" for c in points[:0x3000]] + [f"a{a}b1{b}2!{c}? {a}" for a, b, c in zip(points[::3], points[1::3], points[2::3], strict=False)]
+    for k in range(0, len(texts), 20000):
+        block = texts[k : k + 20000]
+        got = [np.frombuffer(x, "<u4").tolist() for x in own.encode(block)]
+        assert [t for t, g, e in zip(block, got, lib.encode_batch(block, add_special_tokens=False), strict=True) if g != e.ids] == []
+
+
+def test_apostrophes_and_white_space_are_split_as_the_library_does():
+    dice, signs = random.Random(9), [*"aAstrevmld1!' \n\t", "'", "'", " ", "'s", "'re", "'ll", "'S", " '", "é", "\xa0", "<|endoftext|>"]
+    lib, own = Tokenizer.from_file(BYTES), packing.ByteLevelEncoder(load_model(BYTES), cache_words=300)
+    for k in range(20):
+        block = ["".join(dice.choice(signs) for _ in range(dice.randint(0, 12))) for _ in range(500)]
+        block = [t.encode("ascii", "ignore").decode() for t in block] if k % 2 else block
+        got = [np.frombuffer(x, "<u4").tolist() for x in own.encode(block)]
+        assert [t for t, g, e in zip(block, got, lib.encode_batch(block, add_special_tokens=False), strict=True) if g != e.ids] == []
+
+
+def test_buffers_and_blocks_cover_all_documents_within_their_bounds():
+    dice = random.Random(2)
+    sizes = [dice.choice([0, 10, 5000, 300_000, 3_000_000]) if i % 7 else 0 for i in range(5000)]
+    buffers = list(packing._buffers(sizes))
+    assert [b for block in packing._blocks(buffers, sizes) for b in block] == buffers
+    assert [i for a, b in buffers for i in range(a, b)] == list(range(len(sizes)))
+    for a, b in buffers:
+        assert b - a <= 1024 and (b - a == 1 or sum(sizes[a : b - 1]) < packing.BUFFER_TOKENS * 4)
+    for block in packing._blocks(buffers, sizes):
+        assert len(block) == 1 or sum(sizes[block[0][0] : block[-1][0]]) < packing.BLOCK_BYTES
+    assert list(packing._blocks(packing._buffers([]), [])) == []
+
+
 @pytest.mark.parametrize("known", [[], ["the", "then", "other", "é", "aa"]])
 def test_word_ids_equal_the_library(known):
     lib, model = Tokenizer.from_file(WORDS), load_model(WORDS)
